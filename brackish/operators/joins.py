@@ -92,9 +92,8 @@ def overlapping_intervals(
     def spread(df, span, tag):
         own = F.col(f"_{tag}level")
         at = df.withColumn("_at", F.explode(F.filter(levels, lambda v: v >= own)))
-        last = F.col(span[1]).cast("double") * (1.0 - 2e-16)
-        cells = F.sequence(_cell(F.col(span[0]).cast("double"), F.col("_at")), _cell(last, F.col("_at")))
-        return at.withColumn("_cell", F.explode(F.when(F.size(cells) > 0, cells)))
+        first, last = (_cell(F.col(c).cast("double"), F.col("_at")) for c in span)
+        return at.withColumn("_cell", F.explode(F.sequence(first, last)))
 
     a, b = spread(l, left_span, "l"), spread(r, right_span, "r")
     a = a.select(*left.columns, "_llevel", F.col("_at").alias("_la"), F.col("_cell").alias("_lc"))
