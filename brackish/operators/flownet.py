@@ -48,8 +48,10 @@ def connect(lines: DataFrame, cell_area_m2: float, tolerance_m: float) -> DataFr
     An arc whose end meets several others is left unrouted (-1).
     """
     key = lambda x, y: F.struct(F.rint(F.col(x) / tolerance_m).alias("kx"), F.rint(F.col(y) / tolerance_m).alias("ky"))
-    keyed = lines.withColumns({"_from": key("x1", "y1"), "_to": key("x2", "y2"), "_len6": F.round("length", 6)})
-    arcs = running(keyed, [], ["_from", "_to", "_len6", "x1", "y1", "x2", "y2"], {"arcid": Run("row_index")}, _whole(keyed))
+    keyed = lines.withColumns(
+        {"_from": key("x1", "y1"), "_to": key("x2", "y2"), "_len6": F.round("length", 6), "_kx": F.rint(F.col("x1") / tolerance_m)}
+    )
+    arcs = running(keyed, [], ["_kx", "_from", "_to", "_len6", "x1", "y1", "x2", "y2"], {"arcid": Run("row_index")})
     ends = arcs.select(F.inline(F.array(
         F.struct(F.col("_from").alias("key"), (F.col("arcid") * 2).alias("at")),
         F.struct(F.col("_to").alias("key"), (F.col("arcid") * 2 + 1).alias("at")),
@@ -77,18 +79,10 @@ def connect(lines: DataFrame, cell_area_m2: float, tolerance_m: float) -> DataFr
     area = (F.col("cells") + F.col("local") / 2.0) * cell_area_m2
     routed = routed.withColumns({"meanmsq": area, "drainage_area_m2": F.col("cells") * F.lit(float(cell_area_m2))})
     return routed.withColumn("channel", channel_class(F.col("slope"), F.col("meanmsq"))).drop(
-        "_from", "_to", "_len6", "_n", "_next", "_up", "_sum"
+        "_from", "_to", "_len6", "_kx", "_n", "_next", "_up", "_sum"
     )
 
 
-def _whole(df: DataFrame):
-    """Arcs are cut along x of the upstream end; the key column itself is a struct."""
-    from brackish.operators.ordered import plan_slices, Slices
-
-    flat = plan_slices(df.select(F.col("_from.kx").alias("kx")), "kx")
-    return flat if flat.width is None else Slices("_from_kx", flat.width)
-
-
 def ordered_network(arcs: DataFrame) -> DataFrame:
     """Adds the longest-upstream-path order."""
     order = path_order(arcs.select("arcid", F.when(F.col("downarc") > 0, F.col("downarc")).alias("down")), "arcid", "down")
