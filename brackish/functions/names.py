@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,56 +37,65 @@ CURRENT_KEY = r"(?i)^{model}\.t(\d{{2}})z\.(\d{{8}})\.(fields|stations|regulargr
 LEGACY_KEY = r"(?i)^(?:nos\.)?{model}\.(fields|stations|regulargrid)\.(?:([nf])(\d{{3}})|(nowcast|forecast))\.(\d{{8}})\.t(\d{{2}})z\.nc$"
 
 
-def forecast_key(key: Column, model: str, cycles: tuple[int, ...] = (0, 6, 12, 18)) -> Column:
-    """Struct of what an archive key says, null when it is not one of the two namings.
+def regex_groups(text: Column, pattern: str, order: Sequence[int]) -> Column:
+    """Groups of one match as an array, in the given order; null where the text does not match."""
+    marks = "\u0001".join(f"${i}" for i in order)
+    return F.when(text.rlike(pattern), F.split(F.regexp_replace(text, pattern, marks), "\u0001"))
+
+
+def matched_rows(df: DataFrame, text: Column, patterns: Mapping[str, tuple[str, Sequence[int]]]) -> DataFrame:
+    """Rows that match one of the named patterns, with ``_m`` (form, groups).
+
+    The match is exploded rather than filtered: filters written on what is read
+    from it then stay above, and the pattern is run once per row.
+    """
+    found = [
+        F.when(text.rlike(p), F.struct(F.lit(form).alias("form"), regex_groups(text, p, order).alias("g")))
+        for form, (p, order) in patterns.items()
+    ]
+    return df.withColumn("_m", F.explode(F.array_compact(F.array(*found))))
+
+
+def forecast_keys(df: DataFrame, key: str, model: str, cycles: tuple[int, ...] = (0, 6, 12, 18)) -> DataFrame:
+    """What each archive key says: product, guidance, run, lead, valid time and span.
 
     Hourly objects carry ``n``/``f`` and a lead; station objects cover a cycle.
+    Keys that fit neither naming are dropped.
     """
-    name = base_name(key)
-    new, old = CURRENT_KEY.format(model=model), LEGACY_KEY.format(model=model)
-    is_new, is_old = name.rlike(new), name.rlike(old)
-
-    def either(new_index, old_index):
-        return F.when(is_new, group(name, new, new_index)).when(is_old, group(name, old, old_index))
-
-    day, hour = either(2, 5), either(1, 6)
-    run = F.try_to_timestamp(F.concat(day, hour), F.lit("yyyyMMddHH")).cast("timestamp_ntz")
-    product = F.lower(either(3, 1))
-    code, lead = F.lower(either(4, 2)), either(5, 3).cast("int")
-    whole = F.lower(either(6, 4))
-    stations = product == "stations"
-    archive = F.contains(key, F.lit("/access/"))
-    lead_ok = F.when(code == "n", lead.between(1, 6) | ((lead == 0) & archive)).when(code == "f", lead >= 1)
-    fits = (
-        run.isNotNull()
-        & F.hour(run).isin(*cycles)
-        & F.when(code.isNotNull(), ~stations & lead_ok).otherwise(stations & whole.isNotNull())
+    forms = {
+        "current": (CURRENT_KEY.format(model=model), (1, 2, 3, 4, 5, 6)),
+        "legacy": (LEGACY_KEY.format(model=model), (6, 5, 1, 2, 3, 4)),
+    }
+    named = df.withColumn("name", base_name(F.col(key)))
+    part = lambda i: F.nullif(F.col("_m.g")[i], F.lit(""))
+    read = matched_rows(named, F.col("name"), forms).withColumns(
+        {
+            "naming": F.col("_m.form"),
+            "run_time": F.try_to_timestamp(F.concat(part(1), part(0)), F.lit("yyyyMMddHH")).cast("timestamp_ntz"),
+            "product": F.lower(part(2)),
+            "_code": F.lower(part(3)),
+            "lead": part(4).cast("int"),
+            "_whole": F.lower(part(5)),
+        }
     )
-    guidance = F.coalesce(whole, F.when(code == "n", "nowcast").when(code == "f", "forecast"))
-    hours_ahead = F.when(code == "n", lead - 6).otherwise(lead)
-    valid = run + F.make_dt_interval(F.lit(0), hours_ahead)
-    hour_ = F.expr("interval 1 hour")
-    start = F.when(code.isNotNull(), valid).when(whole == "nowcast", run - 6 * hour_).otherwise(run)
+    code, lead, whole, run = F.col("_code"), F.col("lead"), F.col("_whole"), F.col("run_time")
+    archive = F.contains(F.col(key), F.lit("/access/"))
+    lead_ok = F.when(code == "n", lead.between(1, 6) | ((lead == 0) & archive)).otherwise(lead >= 1)
+    hourly = (F.col("product") != "stations") & lead_ok
+    fits = F.hour(run).isin(*cycles) & F.when(code.isNotNull(), hourly).otherwise((F.col("product") == "stations") & whole.isNotNull())
+    ahead = F.when(code == "n", lead - 6).otherwise(lead)
+    hour, tail = F.expr("interval 1 hour"), F.expr("interval 6 minutes")
+    timed = read.where(fits).withColumn("valid_time", run + F.make_dt_interval(F.lit(0), ahead))
+    start = F.when(whole == "nowcast", run - 6 * hour).when(whole == "forecast", run).otherwise(F.col("valid_time"))
     end = (
-        F.when(code.isNotNull(), valid + hour_)
-        .when(whole == "nowcast", run + F.expr("interval 6 minutes"))
-        .otherwise(run + F.expr("interval 2 days 6 minutes"))
-    )
-    return F.when(
-        F.coalesce(fits, F.lit(False)),
-        F.struct(
-            name.alias("name"),
-            F.when(is_new, "current").otherwise("legacy").alias("naming"),
-            product.alias("product"),
-            guidance.alias("guidance"),
-            whole.isNotNull().alias("aggregate"),
-            run.alias("run_time"),
-            lead.alias("lead"),
-            valid.alias("valid_time"),
-            start.alias("expected_start"),
-            end.alias("expected_end"),
-        ),
+        F.when(whole == "nowcast", run + tail)
+        .when(whole == "forecast", run + F.expr("interval 2 days") + tail)
+        .otherwise(F.col("valid_time") + hour)
     )
+    guidance = F.coalesce(whole, F.when(code == "n", "nowcast").otherwise("forecast"))
+    return timed.withColumns(
+        {"guidance": guidance, "aggregate": whole.isNotNull(), "expected_start": start, "expected_end": end}
+    ).drop("_m", "_code", "_whole")
 
 
 # Elevation tile name format, tile size and tiers (arc seconds).
@@ -98,28 +109,26 @@ def coordinate_token(hemisphere: Column, whole: Column, part: Column) -> Column:
     return F.when(F.lower(hemisphere).isin("s", "w"), -size).otherwise(size)
 
 
-def elevation_tile(name: Column) -> Column:
-    """Struct of tier, bounds, year and version from a tile name; null when not one."""
-    base = base_name(name)
-    g = [None, *[group(base, TILE_NAME, i) for i in range(1, 11)]]
-    lat, lon = coordinate_token(g[2], g[3], g[4]), coordinate_token(g[5], g[6], g[7])
-    north = F.when(F.lower(g[2]) == "s", lat + TILE_DEGREES).otherwise(lat)
-    tier = None
-    for code, arcsec in TILE_TIERS.items():
-        tier = F.when(g[1] == code, arcsec) if tier is None else tier.when(g[1] == code, arcsec)
-    return F.when(
-        base.rlike(TILE_NAME) & tier.isNotNull(),
-        F.struct(
-            F.concat(F.lit("tiled_"), g[1], F.lit("as")).alias("collection"),
-            F.round(lon, 8).alias("west"),
-            F.round(north - TILE_DEGREES, 8).alias("south"),
-            F.round(lon + TILE_DEGREES, 8).alias("east"),
-            F.round(north, 8).alias("north"),
-            tier.alias("resolution_arcsec"),
-            g[8].cast("int").alias("year"),
-            g[9].cast("int").alias("version"),
-        ),
+def elevation_tiles(df: DataFrame, name: str) -> DataFrame:
+    """Tier, bounds, year and version of tile names; other names are dropped."""
+    matched = matched_rows(df, base_name(F.col(name)), {"tile": (TILE_NAME, range(1, 11))})
+    m = lambda i: F.col("_m.g")[i - 1]
+    tier = F.element_at(F.create_map(*[F.lit(v) for pair in TILE_TIERS.items() for v in pair]), m(1))
+    read = matched.where(m(1).isin(*TILE_TIERS)).withColumns(
+        {
+            "collection": F.concat(F.lit("tiled_"), m(1), F.lit("as")),
+            "resolution_arcsec": tier,
+            "_lat": coordinate_token(m(2), m(3), m(4)),
+            "west": F.round(coordinate_token(m(5), m(6), m(7)), 8),
+            "year": m(8).cast("int"),
+            "version": m(9).cast("int"),
+            "_south": F.lower(m(2)) == "s",
+        }
     )
+    south = F.when(F.col("_south"), F.col("_lat")).otherwise(F.col("_lat") - TILE_DEGREES)
+    return read.withColumns(
+        {"south": F.round(south, 8), "north": F.round(south + TILE_DEGREES, 8), "east": F.round(F.col("west") + TILE_DEGREES, 8)}
+    ).drop("_m", "_lat", "_south")
 
 
 def covered_years(file_name: Column, pattern: str) -> Column:

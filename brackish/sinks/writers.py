@@ -60,7 +60,7 @@ def mesh_2dm_lines(nodes: DataFrame, triangles: DataFrame, chains: DataFrame, na
     )
     points = nodes.select(
         F.lit(2).alias("section"), F.col("node").alias("at"),
-        F.format_string("ND %d %.8f %.8f %.8f", F.col("node"), F.col("x"), F.col("y"), F.col("depth")).alias("line"),
+        F.format_string("ND %d %.12f %.12f %.4f", F.col("node"), F.col("x"), F.col("y"), F.col("depth")).alias("line"),
     )
     last = chains.groupBy("chain").agg(F.max("pos").alias("_last"))
     ended = chains.join(last, "chain")
@@ -71,12 +71,13 @@ def mesh_2dm_lines(nodes: DataFrame, triangles: DataFrame, chains: DataFrame, na
     return head.unionByName(cells).unionByName(points).unionByName(strings)
 
 
-def river_namelist(rivers: DataFrame, file_name: str, shares: str = "uniform") -> DataFrame:
-    """One block of settings per (river, node)."""
+def river_namelist(rivers: DataFrame, file_name: str, layers: int = 20) -> DataFrame:
+    """One block of settings per (river, node), spread evenly over the layers."""
+    shares = f"{layers}*{1.0 / layers:.11f}"
     block = F.concat_ws(
         "\n", F.lit(" &NML_RIVER"), F.concat(F.lit("  RIVER_NAME          = '"), F.col("river"), F.lit("',")),
         F.lit(f"  RIVER_FILE          = '{file_name}',"), F.concat(F.lit("  RIVER_GRID_LOCATION = "), F.col("node"), F.lit(",")),
-        F.lit(f"  RIVER_VERTICAL_DISTRIBUTION = '{shares}'"), F.lit(" /"),
+        F.lit(f"  RIVER_VERTICAL_DISTRIBUTION = {shares}"), F.lit("  /"),
     )
     return rivers.select("river", "node", block.alias("line"))
 

@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINT = "struct<x:double,y:double>"
-
-
 def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
     """(feature, part, ring, points) of polygon features and collections."""
     schema = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
@@ -46,7 +43,10 @@ def line_parts(wkb: Column) -> Column:
     return _decode(wkb)
 
 
-@F.pandas_udf(T._parse_datatype_string(f"array<array<{POINT}>>"))
+_POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(_POINT)))
 def _decode(column: pd.Series) -> pd.Series:
     def part(data: bytes, at: int):
         order = "<" if data[at] == 1 else ">"

@@ -105,13 +105,18 @@ def mesh_2dm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Data
 
 
 def grid_dat(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(nodes, triangles) of a grid file: cell rows of five numbers, then node rows of four."""
-    rows = _tokens(lines(spark, path)).where(~F.contains("text", F.lit("=")))
-    n = F.size("t")
-    cells = rows.where(n == 5).select(
+    """(nodes, triangles) of a grid file: two counts, the cells, then the nodes."""
+    rows = lines(spark, path)
+    count = F.substring_index("text", "=", -1)
+    head = rows.where(F.contains("text", F.lit("="))).groupBy("file").agg(
+        F.max_by(F.trim(count).try_cast("long"), F.col("line")).alias("_cells"), F.max("line").alias("_head")
+    )
+    body = _tokens(rows.where(~F.contains("text", F.lit("=")))).join(head, "file")
+    is_cell = F.col("line") - F.col("_head") <= F.col("_cells")
+    cells = body.where(is_cell).select(
         "file", *[F.col("t")[i].try_cast("long").alias(c) for i, c in enumerate(["tri", "n1", "n2", "n3"])]
     )
-    nodes = rows.where((n == 4) | (n == 3)).select(
+    nodes = body.where(~is_cell).select(
         "file", F.col("t")[0].try_cast("long").alias("node"), F.col("t")[1].try_cast("double").alias("x"),
         F.col("t")[2].try_cast("double").alias("y"), F.try_element_at("t", F.lit(4)).try_cast("double").alias("depth"),
     )
