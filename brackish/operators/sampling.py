@@ -28,7 +28,7 @@ def conservative_bytes(sample: DataFrame, size: str, total_rows: int) -> DataFra
     """
     return sample.agg(
         F.count(size).alias("files_probed"),
-        F.expr(f"percentile_disc(0.95) within group (order by `{size}`)").alias("sample_p95"),
+        F.expr(f"percentile_disc(0.95) within group (order by `{size}`)").cast("long").alias("sample_p95"),
         F.max(size).alias("sample_max"),
     ).withColumn("conservative_bytes", F.greatest("sample_p95", "sample_max") * F.lit(total_rows))
 

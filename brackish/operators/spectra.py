@@ -49,8 +49,8 @@ def power_spectrum(
     scale = dt_hours / (window**2).sum()
 
     def transform(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) < segment:
-            return pd.DataFrame({**{k: [] for k in group}, "bin": [], "power": []})
+        if len(pdf) < segment:  # an unfinished last segment, marked and dropped below
+            return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in group}, "bin": [-1], "power": [0.0]})
         x = pdf.sort_values("_i")["residual"].to_numpy()
         power = np.abs(np.fft.rfft((x - x.mean()) * window)) ** 2 * scale
         power[1 : -1 if segment % 2 == 0 else None] *= 2
@@ -58,7 +58,7 @@ def power_spectrum(
 
     types = dict(cut.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in group] + ["bin long", "power double"])
-    spectra = cut.groupBy(*group).applyInPandas(transform, schema)
+    spectra = cut.groupBy(*group).applyInPandas(transform, schema).where("bin >= 0")
     return spectra.groupBy(*keys, "bin").agg(F.avg("power").alias("power"), F.count(F.lit(1)).alias("segments")).withColumn(
         "cycles_per_hour", F.col("bin") / F.lit(segment * dt_hours)
     )

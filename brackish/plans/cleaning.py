@@ -91,8 +91,8 @@ def elevation_depth(spark, sf):
     """
     SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
       round(CASE WHEN l_linestatus = 'O' THEN l_quantity * 6.0 - 273.15 ELSE l_quantity END, 6) AS temperature_c,
-      CASE l_linenumber WHEN 1 THEN l_tax WHEN 2 THEN l_tax / 1000.0 WHEN 3 THEN l_tax / 1000.0 / 3600.0
-           WHEN 4 THEN l_tax / 1000.0 / 86400.0 END AS rain_raw,
+      round(1e9 * CASE l_linenumber WHEN 1 THEN l_tax WHEN 2 THEN l_tax / 1000.0 WHEN 3 THEN l_tax / 1000.0 / 3600.0
+           WHEN 4 THEN l_tax / 1000.0 / 86400.0 END, 5) AS rain,
       CASE WHEN (CASE WHEN l_linestatus = 'O' THEN l_quantity * 6.0 - 273.15 ELSE l_quantity END) < -100
              OR (CASE WHEN l_linestatus = 'O' THEN l_quantity * 6.0 - 273.15 ELSE l_quantity END) > 70 THEN 'out_of_range' END AS problem
     FROM lineitem""",
@@ -109,7 +109,7 @@ def unit_convert(spark, sf):
     rain = U.convert("precipitation", F.col("l_tax"), units)
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", F.round(temperature, 6).alias("temperature_c"),
-        rain.alias("rain_raw"), U.range_problem("air_temperature", temperature).alias("problem"),
+        F.round(rain * 1e9, 5).alias("rain"), U.range_problem("air_temperature", temperature).alias("problem"),
     )
 
 
