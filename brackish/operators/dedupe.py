@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brackish.operators.ordered import Run, running
+from brackish.operators.ordered import Run, plan_slices, running
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], preference: Sequence[Column]) -> DataFrame:
@@ -90,10 +90,11 @@ def covering_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str,
     Ordered by start, an interval [start, end) is needless exactly when an
     earlier one already reaches its end, so the greedy walk is a running maximum.
     """
-    reach = running(df, keys, [start, *order], {"_reach": Run("max", F.col(end)), "_row": Run("row_index")})
-    before = running(reach, keys, [start, *order], {"_before": Run("lag", F.col("_reach"))})
+    slices = plan_slices(df, start)
+    reach = running(df, keys, [start, *order], {"_reach": Run("max", F.col(end))}, slices)
+    before = running(reach, keys, [start, *order], {"_before": Run("lag", F.col("_reach"))}, slices)
     adds = F.col("_before").isNull() | (F.col(end) > F.col("_before"))
-    return before.withColumn("adds", adds).drop("_reach", "_before", "_row")
+    return before.withColumn("adds", adds).drop("_reach", "_before")
 
 
 def earliest_source(df: DataFrame, keys: Sequence[str], time: str, source_order: Sequence[Column]) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from brackish.functions.hydrology import channel_class
 from brackish.operators.graph import path_order
-from brackish.operators.ordered import Run, running
+from brackish.operators.ordered import Run, plan_slices, running
+from brackish.session import cut_lineage
 
 ABSOLUTE_CELLS, RELATIVE_CELLS, ELEVATION_TOLERANCE = 1e-6, 1e-12, 1e-6  # fixed values
 
@@ -51,7 +52,10 @@ def connect(lines: DataFrame, cell_area_m2: float, tolerance_m: float) -> DataFr
     keyed = lines.withColumns(
         {"_from": key("x1", "y1"), "_to": key("x2", "y2"), "_len6": F.round("length", 6), "_kx": F.rint(F.col("x1") / tolerance_m)}
     )
-    arcs = running(keyed, [], ["_kx", "_from", "_to", "_len6", "x1", "y1", "x2", "y2"], {"arcid": Run("row_index")})
+    cut = plan_slices(keyed, "_kx")
+    arcs = running(keyed, [], ["_kx", "_from", "_to", "_len6", "x1", "y1", "x2", "y2"], {"arcid": Run("row_index")}, cut)
+    # Everything below joins the numbered arcs to themselves: number them once.
+    arcs = cut_lineage(arcs)
     ends = arcs.select(F.inline(F.array(
         F.struct(F.col("_from").alias("key"), (F.col("arcid") * 2).alias("at")),
         F.struct(F.col("_to").alias("key"), (F.col("arcid") * 2 + 1).alias("at")),
@@ -85,6 +89,7 @@ def connect(lines: DataFrame, cell_area_m2: float, tolerance_m: float) -> DataFr
 
 def ordered_network(arcs: DataFrame) -> DataFrame:
     """Adds the longest-upstream-path order."""
+    arcs = cut_lineage(arcs)
     order = path_order(arcs.select("arcid", F.when(F.col("downarc") > 0, F.col("downarc")).alias("down")), "arcid", "down")
     return arcs.join(order, "arcid")
 

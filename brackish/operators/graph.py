@@ -29,9 +29,9 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
             F.inline(F.array(F.struct(F.col("u").alias("u"), F.least("m", "g").alias("p")), F.struct(F.col("p").alias("u"), F.col("m").alias("p"))))
         )
         new = cut_lineage(f.union(offers).groupBy("u").agg(F.min("p").alias("p")))
-        moved = new.join(f.withColumnRenamed("p", "old"), "u").where(F.col("p") != F.col("old")).limit(1).count()
+        moved = new.join(f.withColumnRenamed("p", "old"), "u").where(F.col("p") != F.col("old")).isEmpty()
         f = new
-        if not moved:
+        if moved:
             return f.select(F.col("u").alias("node"), F.col("p").alias("component"))
     raise RuntimeError("components did not settle")
 
@@ -44,13 +44,17 @@ def hop_distance(
     one = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
     both = cut_lineage(one.union(one.select("v", "u")).distinct())
     ring = cut_lineage(seeds.select(F.col(node).alias("u")).distinct().withColumn("d", F.lit(0)))
-    seen = ring
+    seen, before = ring, ring
     for hop in range(1, rounds):
+        # What a ring can reach is older by at most one ring: no growing table is searched.
         reached = ring.join(both, "u").select(F.col("v").alias("u")).distinct()
-        ring = cut_lineage(reached.join(seen, "u", "left_anti").withColumn("d", F.lit(hop)))
-        if not ring.limit(1).count():
+        known = ring.select("u").union(before.select("u"))
+        before, ring = ring, cut_lineage(reached.join(known, "u", "left_anti").withColumn("d", F.lit(hop)))
+        if ring.isEmpty():
             break
-        seen = cut_lineage(seen.union(ring))
+        seen = seen.union(ring)
+        if hop % 64 == 0:
+            seen = cut_lineage(seen)
     return nodes.select(node).join(seen.withColumnRenamed("u", node), node, "left").select(
         node, F.coalesce("d", F.lit(unreachable)).alias("distance")
     )
@@ -77,7 +81,7 @@ def path_order(arcs: DataFrame, arc: str, down: str) -> DataFrame:
             )
         )
         hops *= 2
-        if hops > most or not state.where("jump is not null").limit(1).count():
+        if hops > most or state.where("jump is not null").isEmpty():
             break
     cyclic = state.where("jump is not null").select(F.col("jump").alias("u")).distinct().withColumn("_cycle", F.lit(True))
     return state.join(cyclic, "u", "left").select(
@@ -104,7 +108,7 @@ def ring_order(arrows: DataFrame, a: str, b: str) -> DataFrame:
         back.select("u", "ring", F.when(F.col("u") != F.col("ring"), F.col("prev")).alias("jump"),
                     F.when(F.col("u") != F.col("ring"), 1).otherwise(0).cast("long").alias("steps"))
     )
-    while rank.where("jump is not null").limit(1).count():
+    while not rank.where("jump is not null").isEmpty():
         far = rank.select(F.col("u").alias("jump"), F.col("jump").alias("next"), F.col("steps").alias("more"))
         rank = cut_lineage(
             rank.join(far, "jump", "left").select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from brackish.functions.geo import degree_cell_area_m2
 from brackish.operators.nearest import k_nearest
-from brackish.operators.ordered import Run, running
+from brackish.operators.ordered import Run, Slices, running
 from brackish.session import cut_lineage
 
 GRAVITY = 9.807  # fixed value
@@ -174,13 +174,15 @@ def relax(
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         bj, bi = int(pdf["bj"].iloc[0]), int(pdf["bi"].iloc[0])
+        none = np.iinfo(np.int64).max
+        labels = np.array([none if pd.isna(v) else int(v) for v in pdf[lab]], dtype=np.int64)
         rows = pdf["j"].to_numpy() - bj * block + 1
         cols = pdf["i"].to_numpy() - bi * block + 1
         value = np.full((block + 2, block + 2), np.inf)
-        mark = np.full(value.shape, np.iinfo(np.int64).max)
+        mark = np.full(value.shape, none)
         open_ = np.zeros(value.shape, bool)
         value[rows, cols] = pdf[cost].fillna(np.inf).to_numpy()
-        mark[rows, cols] = pdf[lab].fillna(np.iinfo(np.int64).max).to_numpy().astype(np.int64)
+        mark[rows, cols] = labels
         open_[rows, cols] = True
         while True:
             best, tag = value.copy(), mark.copy()
@@ -192,7 +194,7 @@ def relax(
                 offer, origin = value[c, d] + weight * length, mark[c, d]
                 here = open_[a, b]
                 better = here & (offer < best[a, b] - 1e-9)
-                tied = here & ~better & np.isfinite(offer) & (np.abs(offer - best[a, b]) <= 1e-9) & (origin < tag[a, b])
+                tied = here & np.isfinite(offer) & (offer >= best[a, b] - 1e-9) & (offer <= best[a, b] + 1e-9) & (origin < tag[a, b])
                 best[a, b] = np.where(better, offer, best[a, b])
                 tag[a, b] = np.where(better | tied, origin, tag[a, b])
             if np.array_equal(best, value) and np.array_equal(tag, mark):
@@ -200,15 +202,15 @@ def relax(
             value, mark = best, tag
         own = (rows >= 1) & (rows <= block) & (cols >= 1) & (cols <= block)
         got, who = value[rows[own], cols[own]], mark[rows[own], cols[own]]
-        before, tags = pdf[cost].to_numpy()[own], pdf[lab].fillna(np.iinfo(np.int64).max).to_numpy()[own]
+        before, tags = pdf[cost].to_numpy()[own], labels[own]
         old = np.where(np.isnan(before), np.inf, before)
         known = np.isfinite(got)
         return pd.DataFrame(
             {
                 "j": pdf["j"].to_numpy()[own], "i": pdf["i"].to_numpy()[own],
                 cost: np.where(known, got, np.nan),
-                lab: pd.array(np.where(known, who, 0), dtype="Int64").copy() if known.all() else pd.Series(np.where(known, who, 0)).where(known).astype("Int64"),
-                "_changed": (got < old) | (known & (who != tags.astype(np.int64))),
+                lab: pd.Series(np.where(known, who, 0)).astype("Int64").where(known),
+                "_changed": (got < old) | (known & (who != tags)),
             }
         )
 
@@ -218,7 +220,7 @@ def relax(
         state = opened.groupBy("bj", "bi").applyInPandas(settle, schema)
         state = state.withColumn(cost, F.when(~F.isnan(cost), F.col(cost)))
         state = cut_lineage(state)
-        if not state.where("_changed").limit(1).count():
+        if state.where("_changed").isEmpty():
             break
     done = state.drop("_changed") if label else state.drop("_changed", lab)
     kept = work.select(F.col("j").cast("long").alias("j"), F.col("i").cast("long").alias("i"), *rest)
@@ -284,14 +286,14 @@ def cfl_report(grid: DataFrame, depth: str, size: str, cfl: float, target: float
     return grid.agg(F.min(dt).alias("recommended_step"), F.count_if(dt < target).alias("cells_below_target"))
 
 
-def cumulative_storage(grid: DataFrame, distance: str, flat: str, area: str) -> DataFrame:
+def cumulative_storage(grid: DataFrame, distance: str, flat: str, area: str, slices: Slices | None = None) -> DataFrame:
     """Area of all cells at least as far as each one, farthest first; unreachable stays null.
 
     Where nothing is reachable every cell gets the whole area.
     """
     far = grid.withColumns({"_far": -F.col(distance), "_tie": -F.col(flat)})
     reach = far.where(F.col(distance).isNotNull())
-    summed = running(reach, [], ["_far", "_tie"], {"storage": Run("sum", F.col(area))}).drop("_far", "_tie")
+    summed = running(reach, [], ["_far", "_tie"], {"storage": Run("sum", F.col(area))}, slices).drop("_far", "_tie")
     rest = grid.where(F.col(distance).isNull())
     total = grid.agg(F.sum(area).alias("_all"), F.count(distance).alias("_reach")).withColumn("_one", F.lit(1))
     alone = rest.withColumn("_one", F.lit(1)).join(total, "_one").withColumn(
@@ -327,7 +329,7 @@ def refine_cells(cells: DataFrame, target: Column, factor: float = 1.25, deepest
         done = marked.where(~F.col("_split")).drop("_split")
         leaves = done if leaves is None else leaves.unionByName(done)
         rest = marked.where("_split")
-        if not rest.limit(1).count():
+        if rest.isEmpty():
             break
         half = F.col("width") / 2.0
         quarter = F.col("width") / 4.0

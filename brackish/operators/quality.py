@@ -90,7 +90,7 @@ def unstable_attributes(df: DataFrame, key: str, attributes: Sequence[str]) -> D
 
 def require_empty(problems: DataFrame, message: str) -> None:
     """Fail closed: raise when a check frame has a row."""
-    if problems.limit(1).count():
+    if not problems.isEmpty():
         raise ValueError(message)
 
 

@@ -28,13 +28,16 @@ def with_quantiles(
     nearest_rank: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     accuracy: int = ACCURACY,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per group with an array of quantiles; nulls are left out.
 
     Linear interpolation between ranks, or the nearest rank (``ceil(p * n)``).
+    ``rows`` is an upper bound on the input when the caller knows one; without it
+    the rows are counted, which for a stored table reads only its footers.
     """
     narrow = df.select(*keys, value.cast("double").alias("_v"))
-    if df.count() <= rows_per_task:
+    if (df.count() if rows is None else rows) <= rows_per_task:
         if nearest_rank:
             each = [F.expr(f"percentile_disc({p!r}) within group (order by _v)") for p in probabilities]
             return narrow.groupBy(*keys).agg(F.array(*each).alias(out))

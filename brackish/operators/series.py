@@ -224,17 +224,19 @@ def asof_join(
     return merged.where("_side = 1").select("_row.*", *[F.col("_match")[c].alias(c) for c in carry])
 
 
-def daily_to_hourly(df: DataFrame, keys: Sequence[str], day: str, value: str, targets: DataFrame, out: str = "value") -> DataFrame:
+def daily_to_hourly(
+    df: DataFrame, keys: Sequence[str], day: str, value: str, targets: DataFrame, out: str = "value", slices: Slices | None = None
+) -> DataFrame:
     """Daily values placed at noon, linear in time, ends held."""
     noon = df.withColumn("t", F.col(day).cast("timestamp_ntz") + F.expr("interval 12 hours")).select(*keys, "t", value)
-    return interpolate_at(targets, noon, keys, "t", value, out, hold_ends=True)
+    return interpolate_at(targets, noon, keys, "t", value, out, hold_ends=True, slices=slices)
 
 
 def cadence(df: DataFrame, keys: Sequence[str], time: str, **sizing) -> DataFrame:
     """Median step per series in microseconds."""
     stepped = running(df.select(*keys, time), keys, [time], {"_prev": Run("lag", F.col(time))})
     step = micros(F.col(time)) - micros(F.col("_prev"))
-    q = with_quantiles(stepped, keys, step, [0.5], **sizing)
+    q = with_quantiles(stepped, keys, step, [0.5], rows=sizing.pop("rows", None) or df.count(), **sizing)
     return q.select(*keys, F.floor(F.col("quantiles")[0]).alias("cadence_us"))
 
 
@@ -242,17 +244,9 @@ def wide_gaps(df: DataFrame, keys: Sequence[str], time: str, factor: float = 3.0
     """Steps longer than ``factor`` times the median step of their series."""
     stepped = running(df.select(*keys, time), keys, [time], {"gap_start": Run("lag", F.col(time))})
     stepped = stepped.withColumn("_step", micros(F.col(time)) - micros(F.col("gap_start")))
-    q = with_quantiles(stepped, keys, F.col("_step"), [0.5], **sizing)
+    q = with_quantiles(stepped, keys, F.col("_step"), [0.5], rows=sizing.pop("rows", None) or df.count(), **sizing)
     median = q.select(*keys, F.floor(F.col("quantiles")[0]).alias("cadence_us"))
-    renamed = median.select(*[F.col(k).alias("_k_" + k) for k in keys], "cadence_us")
-    if keys:
-        test = None
-        for k in keys:
-            one = stepped[k].eqNullSafe(renamed["_k_" + k])
-            test = one if test is None else test & one
-        joined = stepped.join(renamed, test)
-    else:
-        joined = stepped.withColumn("_one", F.lit(1)).join(renamed.withColumn("_one", F.lit(1)), "_one")
+    joined = same_keys(stepped, median, keys)
     return joined.where(F.col("_step") > F.col("cadence_us") * factor).select(
         *keys, "gap_start", F.col(time).alias("gap_end"), (F.col("_step") / 1e6).alias("gap_seconds"),
         (F.col("cadence_us") / 1e6).alias("cadence_seconds"),
@@ -332,11 +326,12 @@ def repair_axes(
     """
     from brackish.session import cut_lineage
 
-    work = df.withColumn("repair_code", F.lit(0))
+    work = cut_lineage(df.withColumn("repair_code", F.lit(0)))
     left = work.where(F.col(value).isNull()).count()
+    cuts = {position: plan_slices(work, position) for _, position, _ in passes}
     for _ in range(rounds):
         for keys, position, code in passes:
-            filled = fill_line(work, keys, position, value, "_new")
+            filled = fill_line(work, keys, position, value, "_new", cuts[position])
             work = filled.withColumns(
                 {
                     "repair_code": F.when(

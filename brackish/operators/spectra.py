@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brackish.operators.metrics import same_keys
-from brackish.operators.ordered import Run, running
+from brackish.operators.ordered import Run, Slices, running
 
 # Period bands in hours (longest, shortest).
 TIDAL_HOURS = (34.0, 4.0)
@@ -31,14 +31,15 @@ def detrended(df: DataFrame, keys: Sequence[str], index: str, value: str) -> Dat
 
 
 def power_spectrum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, dt_hours: float, segment: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, dt_hours: float, segment: int,
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Averaged periodogram (half-overlapping Hann segments) of a regular series.
 
     A row belongs to at most two segments.  Each segment is transformed in its own
     task, so the memory needed is one segment, whatever the length of the series.
     """
-    numbered = running(df.select(*keys, *order, value), keys, order, {"_i": Run("row_index")})
+    numbered = running(df.select(*keys, *order, value), keys, order, {"_i": Run("row_index")}, slices)
     flat = detrended(numbered.withColumn("_i", F.col("_i") - 1), keys, "_i", value)
     hop = segment // 2
     last = F.floor(F.col("_i") / F.lit(hop))
@@ -116,12 +117,14 @@ def harmonic_fit(df: DataFrame, keys: Sequence[str], hours: str, value: str, spe
     return reduced.mapInPandas(solve, schema)
 
 
-def energetic_centre(df: DataFrame, keys: Sequence[str], time: str, energy: str, width: int) -> DataFrame:
+def energetic_centre(
+    df: DataFrame, keys: Sequence[str], time: str, energy: str, width: int, slices: Slices | None = None
+) -> DataFrame:
     """Time at the middle of the most energetic ``width`` records.
 
     The centred mean is a difference of running sums, so no wide frame is kept.
     """
-    summed = running(df.select(*keys, time, energy), keys, [time], {"_i": Run("row_index"), "_c": Run("sum", F.col(energy))})
+    summed = running(df.select(*keys, time, energy), keys, [time], {"_i": Run("row_index"), "_c": Run("sum", F.col(energy))}, slices)
     before, after = width // 2, (width - 1) // 2
     ends = summed.select(*keys, (F.col("_i") - after).alias("_i"), F.col("_c").alias("_hi"))
     begins = summed.select(*keys, (F.col("_i") + before + 1).alias("_i"), F.col("_c").alias("_lo"))

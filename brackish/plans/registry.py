@@ -34,4 +34,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from brackish.plans import cleaning, evaluation, selection, series, spatial  # noqa: F401
+    from brackish.plans import cleaning, evaluation, grids, meshes, selection, series, spatial, streams  # noqa: F401

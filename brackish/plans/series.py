@@ -8,7 +8,7 @@ from brackish.functions import geo as G
 from brackish.functions import timeaxis as T
 from brackish.functions.vectors import DEGREES_PER_HOUR
 from brackish.operators import joins, series, spectra
-from brackish.operators.ordered import Run, running
+from brackish.operators.ordered import Run, plan_slices, running
 from brackish.plans.cleaning import LONLAT_SQL, lonlat
 from brackish.plans.registry import query
 from brackish.sources.tables import table
@@ -126,7 +126,8 @@ def resample_linear(spark, sf):
     daily = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.avg("value").alias("v"))
     bounds = e.select("event_type").distinct().select("event_type", stamp("2024-01-02").alias("a"), stamp("2024-01-30").alias("b"))
     grid = series.time_grid(bounds, ["event_type"], "a", "b", 3600, "t")
-    return series.daily_to_hourly(daily, ["event_type"], "day", "v", grid, "value").select("event_type", "t", F.round("value", 6).alias("value"))
+    cut = plan_slices(e.withColumnRenamed("ts", "t"), "t")
+    return series.daily_to_hourly(daily, ["event_type"], "day", "v", grid, "value", cut).select("event_type", "t", F.round("value", 6).alias("value"))
 
 
 @query(
@@ -195,9 +196,10 @@ def block_mean(spark, sf):
 def running_distance(spark, sf):
     """Great-circle distance along each ordered chain of points."""
     pts = lonlat(spark, sf).select("o_custkey", "o_orderkey", "lon", "lat")
-    here = running(pts, ["o_custkey"], ["o_orderkey"], {"plon": Run("lag", F.col("lon")), "plat": Run("lag", F.col("lat"))})
+    cut = plan_slices(pts, "o_orderkey")
+    here = running(pts, ["o_custkey"], ["o_orderkey"], {"plon": Run("lag", F.col("lon")), "plat": Run("lag", F.col("lat"))}, cut)
     step = F.coalesce(G.haversine_km(F.col("plon"), F.col("plat"), F.col("lon"), F.col("lat")), F.lit(0.0))
-    return running(here.withColumn("step", step), ["o_custkey"], ["o_orderkey"], {"km": Run("sum", F.col("step"))}).select("o_orderkey", F.round("km", 5).alias("km"))
+    return running(here.withColumn("step", step), ["o_custkey"], ["o_orderkey"], {"km": Run("sum", F.col("step"))}, cut).select("o_orderkey", F.round("km", 5).alias("km"))
 
 
 @query(
@@ -350,19 +352,21 @@ def minimal_arc(df, keys, lon):
     return widest.select(*keys, F.round("w.start", 6).alias("start"), F.round(stop, 6).alias("stop"))
 
 
-def hourly(spark, sf):
+def hourly(spark, sf, slices):
     """Mean value per kind and hour on a complete hourly axis."""
     e = table(spark, sf, "events")
     means = e.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("t")).agg(F.avg("value").alias("v"))
     bounds = e.select("event_type").distinct().select("event_type", stamp("2024-01-01").alias("a"), stamp("2024-01-30").alias("b"))
     grid = series.time_grid(bounds, ["event_type"], "a", "b", 3600, "t")
-    return series.fill_line(grid.join(means, ["event_type", "t"], "left"), ["event_type"], "t", "v", "filled").select("event_type", "t", F.col("filled").alias("v"))
+    return series.fill_line(grid.join(means, ["event_type", "t"], "left"), ["event_type"], "t", "v", "filled", slices).select("event_type", "t", F.col("filled").alias("v"))
 
 
 @query("psd_peaks")
 def psd_peaks(spark, sf):
     """Strongest period per band of each hourly series (averaged periodogram)."""
-    spectrum = spectra.power_spectrum(hourly(spark, sf), ["event_type"], ["t"], "v", 1.0, 256)
+    axis = table(spark, sf, "events").withColumnRenamed("ts", "t")  # an hourly axis holds fewer rows than its events
+    slices = plan_slices(axis, "t")
+    spectrum = spectra.power_spectrum(hourly(spark, sf, slices), ["event_type"], ["t"], "v", 1.0, 256, slices)
     return spectra.band_peaks(spectrum, ["event_type"])
 
 

@@ -163,8 +163,8 @@ def triangles(spark, sf):
     "point_in_triangle",
     f"""
     WITH t AS (SELECT p_partkey AS tri, (p_partkey * 13 % 340) - 170.0::DOUBLE AS ax, (p_partkey * 17 % 150) - 75.0::DOUBLE AS ay, p_size / 5.0 AS s FROM part),
-    u AS (SELECT tri, ax, ay, ax + s AS bx, ay + 0.5 AS by, ax + 0.5 AS cx, ay + s AS cy FROM t),
-    d AS (SELECT o_orderkey, tri, (bx - ax) * (lat - ay) - (by - ay) * (lon - ax) AS d1, (cx - bx) * (lat - by) - (cy - by) * (lon - bx) AS d2, (ax - cx) * (lat - cy) - (ay - cy) * (lon - cx) AS d3 FROM ({LONLAT_SQL}), u)
+    u AS (SELECT tri, ax, ay, ax + s AS bx, ay + 0.5 AS b_y, ax + 0.5 AS cx, ay + s AS cy FROM t),
+    d AS (SELECT o_orderkey, tri, (bx - ax) * (lat - ay) - (b_y - ay) * (lon - ax) AS d1, (cx - bx) * (lat - b_y) - (cy - b_y) * (lon - bx) AS d2, (ax - cx) * (lat - cy) - (ay - cy) * (lon - cx) AS d3 FROM ({LONLAT_SQL}), u)
     SELECT o_orderkey, min(tri) AS tri FROM d WHERE NOT ((d1 < 0 OR d2 < 0 OR d3 < 0) AND (d1 > 0 OR d2 > 0 OR d3 > 0)) GROUP BY o_orderkey""",
 )
 def point_in_triangle(spark, sf):
@@ -250,7 +250,7 @@ def masked_bilinear(spark, sf):
       SELECT p_partkey, re, im, i, j, sqrt(pow((i * 0.1 - x) * 0.8, 2) + pow(j * 0.1 - y, 2)) AS d FROM (SELECT * FROM k WHERE re IS NOT NULL), (SELECT q.* FROM ("""
     + _QP_SQL
     + """) q LEFT JOIN r USING (p_partkey) WHERE r.re IS NULL)) GROUP BY p_partkey)
-    SELECT p.p_partkey, round(coalesce(r.re, CASE WHEN n.d <= 0.06 THEN n.re END), 6) AS re, round(coalesce(r.im, CASE WHEN n.d <= 0.06 THEN n.im END), 6) AS im, CASE WHEN r.re IS NOT NULL THEN 0 WHEN n.d <= 0.06 THEN 1 ELSE 2 END AS flag
+    SELECT p.p_partkey, round(coalesce(r.re, CASE WHEN n.d <= 0.06 THEN n.re END), 8) AS re, round(coalesce(r.im, CASE WHEN n.d <= 0.06 THEN n.im END), 8) AS im, CASE WHEN r.re IS NOT NULL THEN 0 WHEN n.d <= 0.06 THEN 1 ELSE 2 END AS flag
     FROM part p LEFT JOIN r USING (p_partkey) LEFT JOIN n USING (p_partkey)""",
 )
 def bilinear_complex(spark, sf):
@@ -258,19 +258,19 @@ def bilinear_complex(spark, sf):
     ok = (F.col("i") + F.col("j")) % 7 != 3
     g = grid(spark, sf).select("i", "j", F.when(ok, F.col("v")).alias("re"), F.when(ok, F.col("w")).alias("im"))
     b = grids.bilinear_complex(query_points(spark, sf), g, "p_partkey", ("x", "y"), (0.0, 0.0), (0.1, 0.1), (30, 25), lat_scale=0.8, most=0.06)
-    return b.select("p_partkey", F.round("re", 6).alias("re"), F.round("im", 6).alias("im"), "flag")
+    return b.select("p_partkey", F.round("re", 8).alias("re"), F.round("im", 8).alias("im"), "flag")
 
 
 @query(
     "nearest_cell",
     f"""
     WITH g AS ({_GRID_SQL}), p AS (SELECT p_partkey, least(greatest(ceil((x - 0.0) / 0.1 - 0.5), 0), 29)::BIGINT AS i, least(greatest(ceil((y - 0.0) / 0.1 - 0.5), 0), 24)::BIGINT AS j FROM ({_QP_SQL}))
-    SELECT p_partkey, i, j, round(v, 6) AS v FROM p LEFT JOIN g USING (i, j)""",
+    SELECT p_partkey, i, j, round(v, 8) AS v FROM p LEFT JOIN g USING (i, j)""",
 )
 def nearest_cell(spark, sf):
     """Nearest grid cell of each point and its value."""
     p = grids.nearest_cell(query_points(spark, sf), ("x", "y"), (0.0, 0.0), (0.1, 0.1), (30, 25))
-    return p.join(grid(spark, sf), ["i", "j"], "left").select("p_partkey", "i", "j", F.round("v", 6).alias("v"))
+    return p.join(grid(spark, sf), ["i", "j"], "left").select("p_partkey", "i", "j", F.round("v", 8).alias("v"))
 
 
 @query(
