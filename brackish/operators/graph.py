@@ -27,11 +27,12 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
         known = grand.join(least, "u")
         offers = known.select(
             F.inline(F.array(F.struct(F.col("u").alias("u"), F.least("m", "g").alias("p")), F.struct(F.col("p").alias("u"), F.col("m").alias("p"))))
-        )
-        new = cut_lineage(f.union(offers).groupBy("u").agg(F.min("p").alias("p")))
-        moved = new.join(f.withColumnRenamed("p", "old"), "u").where(F.col("p") != F.col("old")).isEmpty()
-        f = new
-        if moved:
+        ).withColumn("old", F.lit(None))
+        kept = f.select("u", "p", F.col("p").alias("old"))
+        new = cut_lineage(kept.union(offers).groupBy("u").agg(F.min("p").alias("p"), F.max("old").alias("old")))
+        settled = new.where("p <> old").isEmpty()
+        f = new.drop("old")
+        if settled:
             return f.select(F.col("u").alias("node"), F.col("p").alias("component"))
     raise RuntimeError("components did not settle")
 

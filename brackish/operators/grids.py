@@ -295,11 +295,9 @@ def cumulative_storage(grid: DataFrame, distance: str, flat: str, area: str, sli
     reach = far.where(F.col(distance).isNotNull())
     summed = running(reach, [], ["_far", "_tie"], {"storage": Run("sum", F.col(area))}, slices).drop("_far", "_tie")
     rest = grid.where(F.col(distance).isNull())
-    total = grid.agg(F.sum(area).alias("_all"), F.count(distance).alias("_reach")).withColumn("_one", F.lit(1))
-    alone = rest.withColumn("_one", F.lit(1)).join(total, "_one").withColumn(
-        "storage", F.when(F.col("_reach") == 0, F.col("_all"))
-    )
-    return summed.unionByName(alone.select(*summed.columns))
+    reachable, whole = grid.agg(F.count(distance), F.sum(area)).first()
+    alone = rest.withColumn("storage", F.lit(None if reachable else whole).cast("double"))
+    return summed.unionByName(alone)
 
 
 def smootherstep(v: Column) -> Column:

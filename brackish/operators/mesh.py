@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brackish.operators.graph import components, hop_distance, ring_order
+from brackish.operators.metrics import same_keys
+from brackish.operators.ordered import Run, Slices, running
 from brackish.operators.quantiles import with_quantiles
 
 
@@ -128,26 +129,24 @@ def quality_metrics(geometry: DataFrame, **sizing) -> DataFrame:
         F.count_if(F.col("signed_area") <= 0).alias("not_positive"),
     ).withColumn("quality_l3_sigma", F.col("quality_mean") - 3.0 * F.col("quality_std"))
     median = with_quantiles(geometry, [], q, [0.05, 0.5], **sizing)
-    one = lambda d: d.withColumn("_one", F.lit(1))
-    return one(stats).join(
-        one(median.select(F.col("quantiles")[0].alias("quality_p05"), F.col("quantiles")[1].alias("quality_median"))), "_one"
-    ).drop("_one")
+    named = median.select(F.col("quantiles")[0].alias("quality_p05"), F.col("quantiles")[1].alias("quality_median"))
+    return same_keys(stats, named, [])
 
 
-def chain_edges(chains: DataFrame, chain: str, position: str, node: str, closed: bool = True) -> DataFrame:
+def chain_edges(
+    chains: DataFrame, chain: str, position: str, node: str, closed: bool = True, slices: Slices | None = None
+) -> DataFrame:
     """Edges between consecutive nodes of each chain, closing the last to the first.
 
-    The successor comes from an equi-join on position, so a long chain is not
-    gathered.
+    The successor is a sliced lead, so a long chain is not gathered; closing needs
+    one row per chain.
     """
     here = chains.select(F.col(chain).alias("chain"), F.col(position).alias("pos"), F.col(node).alias("node"))
-    size = here.groupBy("chain").agg(F.min("pos").alias("_p0"), F.max("pos").alias("_p1"))
-    placed = here.join(size, "chain").where("_p1 > _p0")
-    last = F.col("pos") == F.col("_p1")
-    nxt = F.when(last, F.col("_p0") if closed else F.lit(None)).otherwise(F.col("pos") + 1)
-    aim = placed.withColumn("_next", nxt).where("_next is not null")
-    follow = here.select("chain", F.col("pos").alias("_next"), F.col("node").alias("next_node"))
-    return aim.join(follow, ["chain", "_next"]).select(
+    walked = running(here, ["chain"], ["pos"], {"next_node": Run("lead", F.col("node"))}, slices)
+    if closed:
+        first = here.groupBy("chain").agg(F.min_by("node", "pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        walked = walked.join(first, "chain").where("_n > 1").withColumn("next_node", F.coalesce("next_node", "_first"))
+    return walked.where("next_node is not null").select(
         "chain", "pos", "node", "next_node",
         F.least("node", "next_node").alias("a"), F.greatest("node", "next_node").alias("b"),
     )

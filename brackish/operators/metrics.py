@@ -24,10 +24,13 @@ def skill_scores(
     pairs = df.withColumns(
         {"_s": F.when(both, F.col(sim).cast("double")), "_o": F.when(both, F.col(obs).cast("double"))}
     )
-    dates = [F.min(F.when(both, F.col(time))).alias("date_start"), F.max(F.when(both, F.col(time))).alias("date_end")]
+    dates = []
+    if time:
+        when = F.when(both, F.col(time))
+        dates = [F.min(when).alias("date_start"), F.max(when).alias("date_end")]
     base = pairs.groupBy(*keys).agg(
         F.count(s).alias("n_pairs"),
-        *(dates if time else []),
+        *dates,
         F.covar_pop(s, o).alias("_cov"),
         F.stddev_pop(s).alias("_sd_s"),
         F.stddev_pop(o).alias("_sd_o"),
@@ -109,8 +112,9 @@ def distribution_summary(df: DataFrame, keys: Sequence[str], value: Column, **si
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join two one-row-per-group tables; null keys match each other."""
-    if not keys:
-        return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one", how).drop("_one")
+    if not keys:  # one row each: lay them over each other
+        both = left.unionByName(right, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns])
     renamed = right.select(*[F.col(k).alias("_r_" + k) for k in keys], *[c for c in right.columns if c not in keys])
     condition = None
     for k in keys:

@@ -93,7 +93,7 @@ def k_nearest(
             F.floor((F.col("_sy") - y0) / size).cast("long").alias("j"),
         )
 
-    depth = 0
+    depth = 1
     while depth < _DEEPEST:
         fullest = place.groupBy(cell_at(depth).alias("c")).count().agg(F.max("count")).first()[0]
         if fullest <= leaf_rows:
@@ -101,7 +101,7 @@ def k_nearest(
         depth += 1
 
     px, py = F.col("_px"), F.col("_py")
-    candidates = wanted.withColumn("_cell", F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")))
+    candidates = wanted
     for level in range(1, depth + 1):
         cells = place.groupBy(cell_at(level).alias("_child")).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_sx").alias("_w"), F.max("_sx").alias("_e"),
@@ -111,7 +111,17 @@ def k_nearest(
             F.floor(F.col("_child.i") / _SPLIT).cast("long").alias("i"),
             F.floor(F.col("_child.j") / _SPLIT).cast("long").alias("j"),
         )
-        opened = candidates.join(cells.withColumn("_cell", parent), "_cell")
+        if level == 1:  # at most sixteen cells: every point considers them all
+            first = [
+                F.struct(
+                    F.struct(F.lit(r["_child"]["i"]).cast("long").alias("i"), F.lit(r["_child"]["j"]).cast("long").alias("j")).alias("_child"),
+                    *[F.lit(r[c]).alias(c) for c in ("_n", "_w", "_e", "_s", "_nn")],
+                )
+                for r in cells.collect()
+            ]
+            opened = candidates.select("*", F.inline(F.array(*first)))
+        else:
+            opened = candidates.join(cells.withColumn("_cell", parent), "_cell")
         zero = F.lit(0.0)
         near_x = F.greatest(F.col("_w") - px, px - F.col("_e"), zero)
         near_y = F.greatest(F.col("_s") - py, py - F.col("_nn"), zero)

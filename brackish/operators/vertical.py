@@ -66,6 +66,15 @@ def pick_layer(df: DataFrame, column: Sequence[str], sigma: str, view: str, by_s
     raise ValueError("unknown layer view " + view)
 
 
+def layer_views(df: DataFrame, column: Sequence[str], sigma: str, layer: str) -> DataFrame:
+    """Surface, near-surface and bottom layer of every column, from one sort of it."""
+    place = F.row_number().over(W.partitionBy(*column).orderBy(F.abs(F.col(sigma)), layer))
+    at = lambda n: F.max(F.when(F.col("_r") == n, F.col(layer)))
+    return df.withColumn("_r", place).groupBy(*column).agg(
+        at(1).alias("surface"), F.coalesce(at(2), at(1)).alias("near_surface"), F.max_by(layer, "_r").alias("bottom")
+    )
+
+
 def depth_to_sigma(values: DataFrame, targets: DataFrame, column: Sequence[str], depth: str, value: str, out: str = "value") -> DataFrame:
     """Values on fixed depths carried to other depths of the same column, ends held."""
     return interpolate_at(targets, values, column, depth, value, out, hold_ends=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brackish.functions import documents as D
@@ -210,8 +211,8 @@ _SIGMA_SQL = """SELECT l_orderkey, l_linenumber AS layer, (l_linenumber - min(l_
 def sigma_columns(spark, sf):
     """The distinct line numbers of each order as a sigma axis from 0 at the top."""
     d = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("layer")).distinct()
-    top = d.groupBy("l_orderkey").agg(F.min("layer").alias("top"))
-    return d.join(top, "l_orderkey").select("l_orderkey", "layer", ((F.col("layer") - F.col("top")) / 8.0).alias("sigma"))
+    top = F.min("layer").over(W.partitionBy("l_orderkey"))  # a handful of layers each
+    return d.select("l_orderkey", "layer", ((F.col("layer") - top) / 8.0).alias("sigma"))
 
 
 @query(
@@ -242,8 +243,7 @@ def layer_weights(spark, sf):
 def layer_views(spark, sf):
     """Surface, near-surface and bottom layer of every water column."""
     s = sigma_columns(spark, sf)
-    view = lambda v: vertical.pick_layer(s, ["l_orderkey"], "sigma", v).select("l_orderkey", F.col("layer").alias(v))
-    return view("surface").join(view("near_surface"), "l_orderkey").join(view("bottom"), "l_orderkey")
+    return vertical.layer_views(s, ["l_orderkey"], "sigma", "layer")
 
 
 @query(
@@ -256,10 +256,9 @@ def layer_views(spark, sf):
 )
 def sigma_health(spark, sf):
     """Is the sigma axis of each column monotonic, nested and complete?"""
-    from brackish.operators.ordered import Run, running
-
     s = sigma_columns(spark, sf).withColumn("siglev", -F.col("layer") / 8.0)
-    levels = running(s, ["l_orderkey"], ["layer"], {"level": Run("row_index"), "_next": Run("lead", F.col("siglev"))})
+    down = W.partitionBy("l_orderkey").orderBy("layer")
+    levels = s.withColumns({"level": F.row_number().over(down).cast("long"), "_next": F.lead("siglev").over(down)})
     layers = levels.where("_next is not null").select("l_orderkey", F.col("level").alias("layer"), ((F.col("siglev") + F.col("_next")) / 2).alias("siglay"))
     return vertical.sigma_report(layers, levels.select("l_orderkey", "level", "siglev"), ["l_orderkey"])
 

@@ -62,7 +62,7 @@ def sediment_table(spark: SparkSession, path: str, columns: list[str], numeric:
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, text), numbered inside each file."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text")).where(F.trim("text") != "")
 
 
