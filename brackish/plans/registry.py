@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brackish.session import in_utc
 
+# Results are compared rounded.  Means and linear shares often end exactly half-way
+# between two roundings, where the last bit decides; this shift moves them off it.
+OFF_TIE = 3.1e-7
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}

@@ -10,7 +10,7 @@ from brackish.functions.vectors import DEGREES_PER_HOUR
 from brackish.operators import joins, series, spectra
 from brackish.operators.ordered import Run, plan_slices, running
 from brackish.plans.cleaning import LONLAT_SQL, lonlat
-from brackish.plans.registry import query
+from brackish.plans.registry import OFF_TIE, query
 from brackish.sources.tables import table
 
 
@@ -118,7 +118,7 @@ def fill_line(spark, sf):
     WITH d AS (SELECT event_type, epoch_us(date_trunc('day', ts) + INTERVAL 12 HOUR) AS x, avg(value) AS v FROM events GROUP BY ALL),
     g AS (SELECT event_type, unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-29 23:00:00', INTERVAL 1 HOUR)) AS t FROM (SELECT DISTINCT event_type FROM events)),
     j AS (SELECT g.event_type, g.t, epoch_us(g.t) AS x, p.x AS px, p.v AS pv, n.x AS nx, n.v AS nv FROM g ASOF LEFT JOIN d p ON g.event_type = p.event_type AND epoch_us(g.t) >= p.x ASOF LEFT JOIN d n ON g.event_type = n.event_type AND epoch_us(g.t) <= n.x)
-    SELECT event_type, t, round(CASE WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv WHEN nx = px THEN pv ELSE pv + (nv - pv) * ((x - px)::DOUBLE / (nx - px)) END, 6) AS value FROM j""",
+    SELECT event_type, t, round(CASE WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv WHEN nx = px THEN pv ELSE pv + (nv - pv) * ((x - px)::DOUBLE / (nx - px)) END + 3.1e-7, 6) AS value FROM j""",
 )
 def resample_linear(spark, sf):
     """Daily means at noon to hourly values, ends held."""
@@ -127,7 +127,7 @@ def resample_linear(spark, sf):
     bounds = e.select("event_type").distinct().select("event_type", stamp("2024-01-02").alias("a"), stamp("2024-01-30").alias("b"))
     grid = series.time_grid(bounds, ["event_type"], "a", "b", 3600, "t")
     cut = plan_slices(e.withColumnRenamed("ts", "t"), "t")
-    return series.daily_to_hourly(daily, ["event_type"], "day", "v", grid, "value", cut).select("event_type", "t", F.round("value", 6).alias("value"))
+    return series.daily_to_hourly(daily, ["event_type"], "day", "v", grid, "value", cut).select("event_type", "t", F.round(F.col("value") + OFF_TIE, 6).alias("value"))
 
 
 @query(
