@@ -31,6 +31,11 @@ def stated_bytes(json: Column, keys: Mapping[str, Sequence[str]]) -> Column:
     return F.when(F.coalesce(*found).isNotNull(), total)
 
 
+def canonical_hash(fields: Column) -> Column:
+    """SHA-256 of a string map as JSON with sorted keys: the same for any order of insertion."""
+    return F.sha2(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(fields)))), 256)
+
+
 def clean_dates(values: Column) -> Column:
     """Sorted distinct non-blank texts of an array."""
     trimmed = F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: F.trim(v))

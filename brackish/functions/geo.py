@@ -140,6 +140,24 @@ def in_ring(px: Column, py: Column, ring: Sequence[tuple[float, float]], boundar
     return inside | reduce(lambda a, b: a | b, touches) if boundary else inside
 
 
+def subdivisions(length: Column, spacing: Column) -> Column:
+    """Fractions (0 up to, not including, 1) that cut a length into equal pieces no longer than the spacing."""
+    pieces = F.greatest(F.lit(1), F.ceil(length / spacing)).cast("int")
+    return F.transform(F.sequence(F.lit(0), pieces - 1), lambda k: k / pieces)
+
+
+def metric_subdivisions(length: Column, start: Column, end: Column) -> Column:
+    """Fractions that cut a length into pieces of equal size relative to a target going linearly from start to end."""
+    growth = F.when(F.abs(end - start) > 1e-12, (end - start) / start)
+    total = F.when(growth.isNull(), length / start).otherwise(length * F.log1p(growth) / (end - start))
+    pieces = F.greatest(F.lit(1), F.ceil(total)).cast("int")
+    even = lambda k: k / pieces
+    return F.transform(
+        F.sequence(F.lit(0), pieces - 1),
+        lambda k: F.when(growth.isNull(), even(k)).otherwise(F.expm1(even(k) * F.log1p(growth)) / growth),
+    )
+
+
 def segments_cross(a: Sequence[Column], b: Sequence[Column], c: Sequence[Column], d: Sequence[Column]) -> Column:
     """Do closed segments ab and cd share a point?"""
 

@@ -22,9 +22,15 @@ def sigma_levels(levels: int, power: float = 1.0) -> list[float]:
     return [-((k / (levels - 1)) ** power) for k in range(levels)]
 
 
-def layer_of(view: str, by_depth: Column, count: Column) -> Column:
-    """Is this row (numbered from the surface) the layer a view asks for?"""
-    if view.startswith("index:"):
-        return by_depth == int(view.split(":", 1)[1]) + 1
-    wanted = {"surface": F.lit(1), "near_surface": F.least(F.lit(2), count), "bottom": count}
-    return by_depth == wanted[view]
+def coriolis_value(mode: str, y: Column, latitude: float | None = None) -> Column:
+    """Per-node value written for the Coriolis setting: zero, one latitude, or the node's own."""
+    key = mode.lower().replace("_", "-")
+    if key == "zero":
+        return F.lit(0.0)
+    if key in ("latitude", "constant-latitude"):
+        if latitude is None:
+            raise ValueError("a constant latitude is needed")
+        return F.lit(float(latitude))
+    if key in ("y-coordinate", "node-y"):
+        return y
+    raise ValueError("unknown mode " + mode)

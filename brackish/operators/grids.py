@@ -215,13 +215,21 @@ def relax(
         )
 
     schema = f"j long, i long, `{cost}` double, `{lab}` long, _changed boolean"
+    active = None  # blocks that saw a change in the round before; at first all
     for _ in range(rounds):
         opened = state.select("j", "i", cost, lab, F.inline(homes))
-        state = opened.groupBy("bj", "bi").applyInPandas(settle, schema)
-        state = state.withColumn(cost, F.when(~F.isnan(cost), F.col(cost)))
-        state = cut_lineage(state)
-        if state.where("_changed").isEmpty():
+        if active is not None:
+            opened = opened.join(active, ["bj", "bi"], "left_semi")
+        settled = opened.groupBy("bj", "bi").applyInPandas(settle, schema)
+        settled = settled.withColumn(cost, F.when(~F.isnan(cost), F.col(cost)))
+        if active is not None:
+            idle = state.withColumns({"bj": near("j", 0), "bi": near("i", 0), "_changed": F.lit(False)})
+            settled = settled.union(idle.join(active, ["bj", "bi"], "left_anti").select(*settled.columns))
+        state = cut_lineage(settled)
+        changed = state.where("_changed")
+        if changed.isEmpty():
             break
+        active = changed.select(F.inline(homes)).distinct()
     done = state.drop("_changed") if label else state.drop("_changed", lab)
     kept = work.select(F.col("j").cast("long").alias("j"), F.col("i").cast("long").alias("i"), *rest)
     return kept.join(done, ["j", "i"]) if rest else done

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brackish.functions.geo import in_triangle
+from brackish.functions.geo import cross, in_triangle
 
 _FINEST = 40
 
@@ -71,6 +71,21 @@ def locate_in_triangles(
     )
 
 
+def interpolate_in_triangles(
+    points: DataFrame, triangles: DataFrame, point_id: str, x: str, y: str, triangle_id: str,
+    corners: Sequence[tuple[str, str, str]],
+) -> DataFrame:
+    """Linear value inside the triangle that holds each point; corners are (x, y, value) columns."""
+    places = [(a, b) for a, b, _ in corners]
+    hit = locate_in_triangles(points, triangles, point_id, x, y, triangle_id, places).join(triangles, triangle_id)
+    (ax, ay, av), (bx, by, bv), (cx, cy, cv) = (tuple(F.col(c) for c in corner) for corner in corners)
+    px, py = F.col(x), F.col(y)
+    whole = cross(ax, ay, bx, by, cx, cy)
+    wa = F.try_divide(cross(bx, by, cx, cy, px, py), whole)
+    wb = F.try_divide(cross(cx, cy, ax, ay, px, py), whole)
+    return hit.select(point_id, triangle_id, (wa * av + wb * bv + (1.0 - wa - wb) * cv).alias("value"))
+
+
 def overlapping_intervals(
     left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str],
     keys: Sequence[str] = (),

@@ -186,3 +186,26 @@ def spacing(sources: DataFrame, source_id: str, xy: tuple[str, str] = ("x", "y")
     spots = sources.groupBy(*xy).agg(F.min(source_id).alias(source_id))
     pairs = k_nearest(spots, spots.withColumnRenamed(source_id, "_other"), source_id, "_other", xy, k=2)
     return pairs.where(F.col(source_id) != F.col("_other")).groupBy(source_id).agg(F.min("distance").alias("spacing"))
+
+
+def minimal_arc(df: DataFrame, keys: Sequence[str], lon: str) -> DataFrame:
+    """Shortest eastward (start, stop) that holds all longitudes of a group.
+
+    Longitudes are made distinct first, then each sees the next one east; the
+    complement of the widest gap is the arc.
+    """
+    turned = df.where(F.col(lon).isNotNull()).select(*keys, F.pmod(F.col(lon), F.lit(360.0)).alias(lon)).distinct()
+    east = running(turned, keys, [lon], {"_next": Run("lead", F.col(lon))})
+    first = turned.groupBy(*keys).agg(F.min(lon).alias("_first"))
+    met = east.join(first, list(keys))
+    gap = F.coalesce("_next", F.col("_first") + 360.0) - F.col(lon)
+    ends = F.struct(F.col(lon).alias("stop"), F.coalesce("_next", "_first").alias("start"))
+    widest = met.groupBy(*keys).agg(F.min_by(ends, F.struct(-gap, F.col(lon))).alias("w"))
+    stop = F.when(F.col("w.stop") < F.col("w.start"), F.col("w.stop") + 360.0).otherwise(F.col("w.stop"))
+    return widest.select(*keys, F.col("w.start").alias("start"), stop.alias("stop"))
+
+
+def far_from(points: DataFrame, primary: DataFrame, point_id: str, primary_id: str, tolerance: float, xy=("x", "y")) -> DataFrame:
+    """Fallback points that no primary point lies within ``tolerance`` of."""
+    near = k_nearest(points, primary, point_id, primary_id, xy).where(F.col("distance") <= tolerance)
+    return points.join(near.select(point_id), point_id, "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brackish.functions.timeaxis import from_micros, micros, snap, snap_offset_seconds, steps_within
+from brackish.functions.timeaxis import floor_to_step, from_micros, micros, snap, snap_offset_seconds, steps_within
 from brackish.operators.dedupe import earliest_source
 from brackish.operators.metrics import same_keys
 from brackish.operators.ordered import Run, Slices, axis_number, plan_slices, running
@@ -35,6 +35,23 @@ def time_grid(bounds: DataFrame, keys: Sequence[str], start: str, end: str, step
     )
 
 
+def regular_axis(
+    df: DataFrame, keys: Sequence[str], time: str, value: str, step_seconds: int, grid: DataFrame, slices: Slices | None = None
+) -> DataFrame:
+    """Records on a complete axis: the last record of a step wins, gaps are filled in time, ends held."""
+    placed = df.groupBy(*keys, floor_to_step(F.col(time), step_seconds).alias(time)).agg(F.max_by(value, F.col(time)).alias(value))
+    return fill_line(grid.join(placed, [*keys, time], "left"), keys, time, value, "filled", slices)
+
+
+def axis_regularity(df: DataFrame, keys: Sequence[str], position: str, tolerance: float, slices: Slices | None = None) -> DataFrame:
+    """Smallest and largest step of each axis, and whether they agree."""
+    at = axis_number(df, position)
+    stepped = running(df.select(*keys, position).distinct(), keys, [position], {"_prev": Run("lag", F.col(position))}, slices)
+    step = at - axis_number(stepped, "_prev")
+    out = stepped.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(step).alias("shortest"), F.max(step).alias("longest"))
+    return out.withColumn("regular", F.coalesce(F.col("longest") - F.col("shortest") <= tolerance, F.lit(False)))
+
+
 def missing_times(grid: DataFrame, available: DataFrame, on: Sequence[str]) -> DataFrame:
     """Expected times nothing was delivered for."""
     return grid.join(available.select(*on), list(on), "left_anti")

@@ -8,6 +8,7 @@ from brackish.functions import geo as G
 from brackish.functions import timeaxis as T
 from brackish.functions.vectors import DEGREES_PER_HOUR
 from brackish.operators import joins, series, spectra
+from brackish.operators import nearest as spatial_ops
 from brackish.operators.ordered import Run, plan_slices, running
 from brackish.plans.cleaning import LONLAT_SQL, lonlat
 from brackish.plans.registry import OFF_TIE, query
@@ -337,19 +338,8 @@ def interval_windows(spark, sf):
 def minimal_lon_interval(spark, sf):
     """Shortest arc that holds all longitudes of a group: the complement of the widest gap."""
     lon = G.lon_360(F.round((F.col("c_custkey") * 37 % 3000) / 10.0, 6) + 200.0)
-    return minimal_arc(table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), lon.alias("x")), ["k"], "x")
-
-
-def minimal_arc(df, keys, lon):
-    """(start, stop) per group; longitudes are made distinct first, then each sees the next one east."""
-    d = df.select(*keys, lon).distinct()
-    east = running(d, keys, [lon], {"_next": Run("lead", F.col(lon))})
-    first = d.groupBy(*keys).agg(F.min(lon).alias("_first"))
-    met = east.join(first, keys)
-    gap = F.coalesce("_next", F.col("_first") + 360.0) - F.col(lon)
-    widest = met.groupBy(*keys).agg(F.min_by(F.struct(F.col(lon).alias("stop"), F.coalesce("_next", "_first").alias("start")), F.struct(-gap, F.col(lon))).alias("w"))
-    stop = F.when(F.col("w.stop") < F.col("w.start"), F.col("w.stop") + 360.0).otherwise(F.col("w.stop"))
-    return widest.select(*keys, F.round("w.start", 6).alias("start"), F.round(stop, 6).alias("stop"))
+    arc = spatial_ops.minimal_arc(table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), lon.alias("x")), ["k"], "x")
+    return arc.select("k", F.round("start", 6).alias("start"), F.round("stop", 6).alias("stop"))
 
 
 def hourly(spark, sf, slices):

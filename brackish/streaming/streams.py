@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,12 +88,11 @@ def drain_latest(stream: DataFrame, keys: Sequence[str], time: Sequence[str], fi
     """
     spark = stream.sparkSession
     data, progress = _folders(spark, target)
-    schema = "`_batch` long"
-
     def merge(batch: DataFrame, number: int) -> None:
         boxed = batch.select(*keys, *time, *fields)
-        if number > 0:
-            boxed = boxed.unionByName(batch.sparkSession.read.parquet(f"{data}/version={number - 1}").select(*keys, *time, *fields))
+        older = _newest(batch.sparkSession, data, number)
+        if older is not None:
+            boxed = boxed.unionByName(older.select(*keys, *time, *fields))
         position = F.struct(*time)
         latest = latest_per_key(boxed, keys, time, fields)
         when = boxed.groupBy(*keys).agg(*[F.max_by(t, position).alias(t) for t in time])
@@ -102,14 +102,18 @@ def drain_latest(stream: DataFrame, keys: Sequence[str], time: Sequence[str], fi
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", progress).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    last = query.lastProgress["batchId"] if query.lastProgress else 0
-    numbers = [n for n in range(last, -1, -1)]
-    for n in numbers:
-        try:
-            return spark.read.parquet(f"{data}/version={n}").select(*keys, *fields)
-        except Exception:  # a no-data batch writes nothing
-            continue
-    raise RuntimeError(f"no batch was written under {data} ({schema})")
+    return _newest(spark, data).select(*keys, *fields)
+
+
+def _newest(spark: SparkSession, data: str, below: int | None = None) -> DataFrame | None:
+    """The newest version written (before a given one); only partition names are read to find it."""
+    try:
+        versions = spark.read.parquet(data)
+    except AnalysisException:  # nothing written yet
+        return None
+    names = versions.select("version").distinct()
+    number = (names if below is None else names.where(F.col("version") < below)).agg(F.max("version")).first()[0]
+    return None if number is None else versions.where(F.col("version") == number)
 
 
 def command_queue(
