@@ -117,22 +117,45 @@ def gradation_ring(spark, sf):
     return ring.select("chain", "node", F.round("limited", 6).alias("limited"))
 
 
-@query("gradation_grid")
+_NEAR_SQL = "(VALUES (0, 1, 500.0::DOUBLE), (0, -1, 500.0), (1, 0, 400.0), (-1, 0, 400.0), (1, 1, sqrt(410000.0)), (1, -1, sqrt(410000.0)), (-1, 1, sqrt(410000.0)), (-1, -1, sqrt(410000.0))) AS o(dj, di, d)"
+
+
+@query(
+    "gradation_grid",
+    f"""
+    WITH RECURSIVE c AS MATERIALIZED ({_CELL_SQL}),
+    g(j, i, size) USING KEY (j, i) AS (SELECT j, i, size FROM c WHERE wet UNION
+      SELECT r.j, r.i, min(g.size + 0.15::DOUBLE * o.d) FROM g, {_NEAR_SQL}, recurring.g r WHERE r.j = g.j + o.dj AND r.i = g.i + o.di AND g.size + 0.15::DOUBLE * o.d < r.size - 1e-9 GROUP BY r.j, r.i)
+    SELECT j, i, round(size, 4) AS size FROM g""",
+)
 def gradation_grid(spark, sf):
     """Sizes of a grid lowered to a gradation limit along its cells."""
     g = cells(spark, sf).where("wet").select("j", "i", "size")
     return grids.limit_gradation(g, "size", 0.15, 500.0, 400.0).select("j", "i", F.round("size", 4).alias("size"))
 
 
-@query("wet_distance")
+@query(
+    "wet_distance",
+    f"""
+    WITH RECURSIVE c AS MATERIALIZED ({_CELL_SQL}),
+    g(j, i, distance) USING KEY (j, i) AS (SELECT j, i, CASE WHEN j = 0 THEN 0.0 ELSE 1e99 END::DOUBLE FROM c WHERE wet UNION
+      SELECT r.j, r.i, min(g.distance + o.d) FROM g, {_NEAR_SQL}, recurring.g r WHERE g.distance < 1e98 AND r.j = g.j + o.dj AND r.i = g.i + o.di AND g.distance + o.d < r.distance - 1e-9 GROUP BY r.j, r.i)
+    SELECT j, i, CASE WHEN distance < 1e98 THEN round(distance, 4) END AS distance FROM g""",
+)
 def wet_distance(spark, sf):
-    """Path length over wet cells to the nearest open cell, and which one."""
+    """Path length over wet cells to the nearest open cell."""
     g = cells(spark, sf).select("j", "i", "wet")
     d = grids.wet_distance(g, F.col("wet"), F.col("j") == 0, 500.0, 400.0, 120)
-    return d.select("j", "i", F.round("distance", 4).alias("distance"), "source")
+    return d.select("j", "i", F.round("distance", 4).alias("distance"))
 
 
-@query("quadtree_seeds")
+@query(
+    "quadtree_seeds",
+    """
+    WITH RECURSIVE q(s_suppkey, x, y, width, depth) AS (SELECT s_suppkey, s_suppkey % 10 * 100.0::DOUBLE, s_suppkey // 10 * 100.0::DOUBLE, 100.0::DOUBLE, 0 FROM supplier UNION ALL
+      SELECT s_suppkey, x + a * width / 4, y + b * width / 4, width / 2, depth + 1 FROM q, (VALUES (-1, -1), (-1, 1), (1, -1), (1, 1)) AS o(a, b) WHERE depth < 6 AND width > 1.25 * (8.0 + sqrt(x * x + y * y) / 20.0))
+    SELECT s_suppkey, x, y, width, depth FROM q WHERE NOT (depth < 6 AND width > 1.25 * (8.0 + sqrt(x * x + y * y) / 20.0))""",
+)
 def quadtree_seeds(spark, sf):
     """Squares split until they fit their target size."""
     k = F.col("s_suppkey")

@@ -129,7 +129,17 @@ def edge_ratio_strata(spark, sf):
     return ratio_summary(r, ["stratum"], F.col("r"), [1.0, 1.4]).withColumn("maximum", F.round("maximum", 6))
 
 
-@query("mesh_components")
+_NEAR_SQL = f"SELECT lt AS a, rt AS b FROM ({_EDGES_SQL}) WHERE owners = 2 UNION ALL SELECT rt, lt FROM ({_EDGES_SQL}) WHERE owners = 2"
+
+
+@query(
+    "mesh_components",
+    f"""
+    WITH RECURSIVE near AS MATERIALIZED ({_NEAR_SQL}),
+    cc(tri, comp) USING KEY (tri) AS (SELECT tri, tri FROM ({_TRIS_SQL}) UNION
+      SELECT n.b, min(cc.comp) FROM cc JOIN near n ON n.a = cc.tri JOIN recurring.cc r ON r.tri = n.b WHERE cc.comp < r.comp GROUP BY n.b)
+    SELECT comp AS component, count(*) AS triangles FROM cc GROUP BY comp""",
+)
 def mesh_components(spark, sf):
     """Triangles per connected component."""
     t = triangles(spark, sf)
@@ -178,19 +188,41 @@ def path_order(spark, sf):
     return graph.path_order(arcs, "o_orderkey", "down")
 
 
-@query("boundary_rings")
+@query(
+    "boundary_rings",
+    f"""
+    WITH RECURSIVE o AS MATERIALIZED (SELECT p, q FROM (SELECT n1 AS p, n2 AS q FROM ({_TRIS_SQL}) UNION ALL SELECT n2, n3 FROM ({_TRIS_SQL}) UNION ALL SELECT n3, n1 FROM ({_TRIS_SQL})) JOIN ({_EDGES_SQL}) ON a = least(p, q) AND b = greatest(p, q) WHERE owners = 1),
+    cc(node, ring) USING KEY (node) AS (SELECT p, p FROM o UNION SELECT o.q, min(cc.ring) FROM cc JOIN o ON o.p = cc.node JOIN recurring.cc r ON r.node = o.q WHERE cc.ring < r.ring GROUP BY o.q),
+    w(ring, position, node) AS (SELECT node, 0::BIGINT, node FROM cc WHERE node = ring UNION ALL SELECT w.ring, position + 1, o.q FROM w JOIN o ON o.p = w.node WHERE o.q <> w.ring)
+    SELECT ring, position, node FROM w""",
+)
 def boundary_rings(spark, sf):
     """Ordered boundary rings of the mesh."""
     return mesh.boundary_rings(triangles(spark, sf))
 
 
-@query("thin_clusters")
+@query(
+    "thin_clusters",
+    f"""
+    WITH RECURSIVE bad AS MATERIALIZED (SELECT tri, unnest([n1, n2, n3]) AS node FROM ({_TRIS_SQL}) JOIN ({_GEOM_SQL}) USING (tri) WHERE q < 0.8 OR least(a1, a2, a3) < 5),
+    near AS MATERIALIZED (SELECT DISTINCT x.tri AS a, y.tri AS b FROM bad x JOIN bad y USING (node) WHERE x.tri <> y.tri),
+    cc(tri, comp) USING KEY (tri) AS (SELECT DISTINCT tri, tri FROM bad UNION
+      SELECT n.b, min(cc.comp) FROM cc JOIN near n ON n.a = cc.tri JOIN recurring.cc r ON r.tri = n.b WHERE cc.comp < r.comp GROUP BY n.b)
+    SELECT comp AS component, count(*) AS members, min(tri) AS first_tri, max(tri) AS last_tri FROM cc GROUP BY comp""",
+)
 def thin_clusters(spark, sf):
     """Poor triangles grouped by shared nodes."""
-    return mesh.thin_clusters(geometry(spark, sf), triangles(spark, sf), quality=0.75)
+    return mesh.thin_clusters(geometry(spark, sf), triangles(spark, sf), quality=0.8)
 
 
-@query("triangle_distance")
+@query(
+    "triangle_distance",
+    f"""
+    WITH RECURSIVE near AS MATERIALIZED ({_NEAR_SQL}), e AS ({_EDGES_SQL}),
+    d(tri, d) USING KEY (tri) AS (SELECT DISTINCT tri, 0 FROM (SELECT unnest([lt, rt]) AS tri FROM e WHERE (a // 50) % 8 = 0 AND b - a = 1) UNION
+      SELECT n.b, min(d.d) + 1 FROM d JOIN near n ON n.a = d.tri LEFT JOIN recurring.d r ON r.tri = n.b WHERE r.tri IS NULL OR d.d + 1 < r.d GROUP BY n.b)
+    SELECT coalesce(d, 2147483647)::INTEGER AS distance, count(*) AS triangles FROM ({_TRIS_SQL}) LEFT JOIN d USING (tri) GROUP BY 1""",
+)
 def triangle_distance(spark, sf):
     """Hops over triangles from the edges of every eighth mesh row."""
     t = triangles(spark, sf)
