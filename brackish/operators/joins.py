@@ -71,6 +71,36 @@ def locate_in_triangles(
     )
 
 
+def points_in_rings(points: DataFrame, edges: DataFrame, point_id: str, x: str, y: str, ring: str) -> DataFrame:
+    """(point, ring) where a closed ring covers the point, its border included.
+
+    ``edges`` holds ring, x1, y1, x2, y2.  After the box test, a point meets only
+    the edges of the ring that reach its own height: edges are filed by height on
+    the level of their own extent, so long coastlines are not scanned per point.
+    """
+    box = edges.groupBy(ring).agg(
+        F.min(F.least("x1", "x2")).alias("_w"), F.max(F.greatest("x1", "x2")).alias("_e"),
+        F.min(F.least("y1", "y2")).alias("_s"), F.max(F.greatest("y1", "y2")).alias("_n"),
+    )
+    near = points_in_boxes(points.select(point_id, x, y), box, x, y, "_w", "_s", "_e", "_n")
+    near = near.select(point_id, ring, F.col(x).alias("_px"), F.col(y).alias("_py"))
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    filed = edges.withColumn("_level", F.greatest(_level(high - low), F.lit(-_FINEST)))
+    levels = sorted(r[0] for r in filed.select("_level").distinct().collect())
+    filed = filed.withColumn("_cell", F.explode(F.sequence(_cell(low, F.col("_level")), _cell(high, F.col("_level")))))
+    asked = near.withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    asked = asked.withColumn("_cell", _cell(F.col("_py"), F.col("_level")))
+    px, py = F.col("_px"), F.col("_py")
+    straddles = (F.col("y1") > py) != (F.col("y2") > py)
+    at = F.col("x1") + F.try_divide((py - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1"))
+    on_line = cross(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), px, py) == 0
+    touches = on_line & px.between(F.least("x1", "x2"), F.greatest("x1", "x2")) & py.between(low, high)
+    met = asked.join(filed, [ring, "_level", "_cell"]).groupBy(point_id, ring).agg(
+        F.count_if(straddles & (px < at)).alias("_crossed"), F.bool_or(touches).alias("_on")
+    )
+    return met.where((F.pmod(F.col("_crossed"), F.lit(2)) == 1) | F.col("_on")).select(point_id, ring)
+
+
 def interpolate_in_triangles(
     points: DataFrame, triangles: DataFrame, point_id: str, x: str, y: str, triangle_id: str,
     corners: Sequence[tuple[str, str, str]],

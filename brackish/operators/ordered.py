@@ -52,13 +52,14 @@ def axis_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def plan_slices(df: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK) -> Slices:
+def plan_slices(df: DataFrame, column: str, rows_per_task: int | None = None) -> Slices:
     """Measure the axis and choose a slice width from its densest stretch.
 
     One narrow aggregate decides whether slicing is needed at all.  Only then a
     second one counts rows in equal cells of the axis, over all groups together,
     so the bound holds for the largest group whatever its share.
     """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     axis = axis_number(df, column)
     low, high, rows = df.agg(F.min(axis), F.max(axis), F.count(F.lit(1))).first()
     if rows <= rows_per_task or low is None or high <= low:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brackish.operators.ordered import ROWS_PER_TASK
+from brackish.operators import ordered
 
 ACCURACY = 100_000
 
@@ -26,8 +26,8 @@ def with_quantiles(
     probabilities: Sequence[float],
     out: str = "quantiles",
     nearest_rank: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-    accuracy: int = ACCURACY,
+    rows_per_task: int | None = None,
+    accuracy: int | None = None,
     rows: int | None = None,
 ) -> DataFrame:
     """One row per group with an array of quantiles; nulls are left out.
@@ -36,6 +36,7 @@ def with_quantiles(
     ``rows`` is an upper bound on the input when the caller knows one; without it
     the rows are counted, which for a stored table reads only its footers.
     """
+    rows_per_task, accuracy = rows_per_task or ordered.ROWS_PER_TASK, accuracy or ACCURACY
     narrow = df.select(*keys, value.cast("double").alias("_v"))
     if (df.count() if rows is None else rows) <= rows_per_task:
         if nearest_rank:

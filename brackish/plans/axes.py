@@ -105,12 +105,14 @@ def facts_of_files(spark, sf):
 
 @query(
     "role_uniqueness",
-    """SELECT role, count(*) AS files, CASE WHEN count(*) = 1 THEN 'ok' ELSE 'ambiguous' END AS verdict FROM (SELECT CASE WHEN n_name LIKE '%1' THEN 'grid' WHEN n_name LIKE '%0' THEN 'elevation' WHEN n_name = 'NATION_7' THEN 'mask' END AS role FROM nation) WHERE role IS NOT NULL GROUP BY role""",
+    """SELECT o_custkey, role, count(*) AS files, CASE WHEN count(*) = 1 THEN 'ok' ELSE 'ambiguous' END AS verdict FROM (SELECT o_custkey, CASE WHEN o_orderpriority LIKE '1%' THEN 'grid' WHEN o_orderpriority LIKE '2%' THEN 'elevation' WHEN o_orderstatus = 'P' THEN 'mask' END AS role FROM orders) WHERE role IS NOT NULL GROUP BY o_custkey, role""",
 )
 def role_uniqueness(spark, sf):
-    """Each file role must be filled by exactly one file."""
-    role = F.when(F.endswith("n_name", F.lit("1")), "grid").when(F.endswith("n_name", F.lit("0")), "elevation").when(F.col("n_name") == "NATION_7", "mask")
-    n = table(spark, sf, "nation").select(role.alias("role")).where("role is not null").groupBy("role").agg(F.count(F.lit(1)).alias("files"))
+    """Each file role of a source must be filled by exactly one file."""
+    priority = F.substring("o_orderpriority", 1, 1)
+    role = F.when(priority == "1", "grid").when(priority == "2", "elevation").when(F.col("o_orderstatus") == "P", "mask")
+    named = table(spark, sf, "orders").select("o_custkey", role.alias("role")).where("role is not null")
+    n = named.groupBy("o_custkey", "role").agg(F.count(F.lit(1)).alias("files"))
     return n.withColumn("verdict", F.when(F.col("files") == 1, "ok").otherwise("ambiguous"))
 
 

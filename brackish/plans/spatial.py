@@ -295,3 +295,25 @@ def local_plane(spark, sf):
     """Local kilometres about a centre near the dateline."""
     x = G.local_x_km(F.col("lon"), F.lit(170.0), F.lit(20.0))
     return lonlat(spark, sf).select("o_orderkey", F.round(x, 5).alias("x_km"), F.round(G.local_y_km(F.col("lat"), F.lit(20.0)), 5).alias("y_km"))
+
+
+@query(
+    "gages_in_regions",
+    f"""
+    WITH t AS (SELECT p_partkey AS tri, p_type, (p_partkey * 13 % 340) - 170.0::DOUBLE AS ax, (p_partkey * 17 % 150) - 75.0::DOUBLE AS ay, p_size / 5.0 AS s FROM part),
+    u AS (SELECT tri, p_type, ax, ay, ax + s AS bx, ay + 0.5 AS b_y, ax + 0.5 AS cx, ay + s AS cy FROM t),
+    d AS (SELECT o_orderkey, p_type, (bx - ax) * (lat - ay) - (b_y - ay) * (lon - ax) AS d1, (cx - bx) * (lat - b_y) - (cy - b_y) * (lon - bx) AS d2, (ax - cx) * (lat - cy) - (ay - cy) * (lon - cx) AS d3,
+      lon BETWEEN least(ax, bx, cx) AND greatest(ax, bx, cx) AND lat BETWEEN least(ay, b_y, cy) AND greatest(ay, b_y, cy) AS near FROM ({LONLAT_SQL}), u),
+    h AS (SELECT DISTINCT o_orderkey, p_type FROM d WHERE near AND NOT ((d1 < 0 OR d2 < 0 OR d3 < 0) AND (d1 > 0 OR d2 > 0 OR d3 > 0)))
+    SELECT o_orderkey FROM h WHERE p_type = 'SMALL' AND o_orderkey NOT IN (SELECT o_orderkey FROM h WHERE p_type = 'LARGE')""",
+)
+def gages_in_regions(spark, sf):
+    """Points covered by some region of one kind and by none of another."""
+    kind = table(spark, sf, "part").select(F.col("p_partkey").alias("tri"), "p_type")
+    t = triangles(spark, sf).join(kind, "tri")
+    side = lambda a, b: F.struct(F.col(a + "x").alias("x1"), F.col(a + "y").alias("y1"), F.col(b + "x").alias("x2"), F.col(b + "y").alias("y2"))
+    pts = lonlat(spark, sf).select("o_orderkey", "lon", "lat")
+    def covered(k):
+        rings = t.where(F.col("p_type") == k).select("tri", F.inline(F.array(side("a", "b"), side("b", "c"), side("c", "a"))))
+        return joins.points_in_rings(pts, rings, "o_orderkey", "lon", "lat", "tri").select("o_orderkey").distinct()
+    return covered("SMALL").join(covered("LARGE"), "o_orderkey", "left_anti")

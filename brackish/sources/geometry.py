@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,13 +115,3 @@ def clip_segments(df: DataFrame, bbox: tuple[float, float, float, float]) -> Dat
             "x2": F.col("x1") + F.col("_t1") * dx, "y2": F.col("y1") + F.col("_t1") * dy,
         }
     ).drop("_t0", "_t1", "_out")
-
-
-def profile_batches(read) -> callable:
-    """Wrap a file reader (bytes -> DataFrame) for ``mapInPandas`` over a binaryFile scan."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                yield read(path, content)
-
-    return run

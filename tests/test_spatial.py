@@ -201,3 +201,14 @@ def test_flow_order(spark):
     turned = [(b, a, e, s) for a, b, s, e in reversed(FLOW)]
     assert _flow(spark, turned)[1] == got
     assert flownet.network_lines(arcs).first().line[:9].split()[0] == str(flownet.network_lines(arcs).first().arcid)
+
+
+def test_points_in_rings_with_a_hole_in_the_shape(spark):
+    star = [(0, 0), (10, 0), (10, 10), (5, 2), (0, 10)]
+    rings = {1: star, 2: [(20, 0), (24, 0), (24, 4), (20, 4)]}
+    edges = [(r, *map(float, a), *map(float, b)) for r, pts in rings.items() for a, b in zip(pts, pts[1:] + pts[:1])]
+    df = spark.createDataFrame(edges, "ring long, x1 double, y1 double, x2 double, y2 double")
+    pts = {1: (5, 1), 2: (5, 5), 3: (1, 5), 4: (0, 0), 5: (5, 2), 6: (22, 4), 7: (22, 4.1), 8: (10, 5), 9: (5, 0), 10: (12, 3)}
+    p = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in pts.items()], "id long, x double, y double")
+    got = sorted((r.id, r.ring) for r in joins.points_in_rings(p, df, "id", "x", "y", "ring").collect())
+    assert got == [(1, 1), (3, 1), (4, 1), (5, 1), (6, 2), (8, 1), (9, 1)]
