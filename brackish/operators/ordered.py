@@ -71,7 +71,7 @@ def plan_slices(df: DataFrame, column: str, rows_per_task: int | None = None) ->
         .agg(F.max("count"))
         .first()[0]
     )
-    return Slices(column, cell * min(1.0, rows_per_task / densest))
+    return Slices(column, cell * rows_per_task / densest)
 
 
 _FORWARD_CARRY = {"row_index", "sum", "max", "min", "last", "prev", "lag"}

@@ -49,6 +49,7 @@ def with_quantiles(
 def _bracketed(df, keys, probabilities, out, nearest_rank, accuracy) -> DataFrame:
     margin = 4.0 / accuracy
     wanted = [b for p in probabilities for b in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    n = F.col("_n")
     grouped = df.withColumn("_g", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
     values = grouped.where(F.col("_v").isNotNull()).select("_g", "_v")
     sketch = values.groupBy("_g").agg(
@@ -57,8 +58,7 @@ def _bracketed(df, keys, probabilities, out, nearest_rank, accuracy) -> DataFram
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", F.array(*map(F.lit, wanted)), accuracy).alias("_b"),
     )
-    small = F.col("_n") <= accuracy
-    n = F.col("_n")
+    small = n <= accuracy
 
     def rank(p):
         if nearest_rank:
@@ -69,48 +69,40 @@ def _bracketed(df, keys, probabilities, out, nearest_rank, accuracy) -> DataFram
         return low, F.ceil(at).cast("long"), at - low
 
     def bracket(i, p):
-        # A group no larger than the sketch is ranked whole; ends use min and max.
-        low = F.when(small | F.lit(p - margin <= 0), F.col("_min")).otherwise(F.col("_b")[2 * i])
-        high = F.when(small | F.lit(p + margin >= 1), F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
-        first, last, share = rank(p)
-        return F.struct(
-            F.lit(i).alias("i"), low.alias("low"), high.alias("high"),
-            first.alias("first"), last.alias("last"), share.cast("double").alias("share"),
-        )
+        # The ends of the range need no margin beyond the smallest and largest value.
+        low = F.col("_min") if p - margin <= 0 else F.col("_b")[2 * i]
+        high = F.col("_max") if p + margin >= 1 else F.col("_b")[2 * i + 1]
+        return F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high"))
 
-    brackets = sketch.select("_g", F.array(*[bracket(i, p) for i, p in enumerate(probabilities)]).alias("_k"))
+    # A group no larger than the sketch is ranked whole, once for all ranks (i = -1).
+    whole = F.array(F.struct(F.lit(-1).alias("i"), F.col("_min").alias("low"), F.col("_max").alias("high")))
+    split = F.array(*[bracket(i, p) for i, p in enumerate(probabilities)])
+    brackets = sketch.select("_g", "_n", F.when(small, whole).otherwise(split).alias("_k"))
     # One row per group against all of its values: Spark sizes this join itself
     # and splits a skewed group; no bracket row is ever replicated per value.
     placed = values.join(brackets, "_g")
-    below = placed.groupBy("_g").agg(
-        *[F.count_if(F.col("_v") < F.col("_k")[i]["low"]).alias(f"b{i}") for i in range(len(probabilities))]
-    )
-    below = below.select(
-        "_g",
-        F.posexplode(F.array(*[F.col(f"b{i}") for i in range(len(probabilities))])).alias("i", "below"),
-    )
+    lows = [F.count_if(F.col("_v") < F.get("_k", F.lit(i))["low"]) for i in range(len(probabilities))]
+    below = placed.where(F.col("_k")[0]["i"] >= 0).groupBy("_g").agg(F.array(*lows).alias("_below"))
     inside = (
-        placed.select("_g", "_v", F.explode("_k").alias("k"))
+        placed.select("_g", "_v", "_n", F.explode("_k").alias("k"))
         .where(F.col("_v").between(F.col("k.low"), F.col("k.high")))
-        .groupBy("_g", "_v", F.col("k.i").alias("i"), "k.first", "k.last", "k.share")
+        .groupBy("_g", "_v", "_n", F.col("k.i").alias("i"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
     upto = W.partitionBy("_g", "i").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = inside.withColumn("upto", F.sum("c").over(upto)).join(below, ["_g", "i"])
-    end = F.col("below") + F.col("upto")
-    picked = ranked.groupBy("_g", "i").agg(
-        F.min(F.when(end > F.col("first"), F.col("_v"))).alias("lo"),
-        F.min(F.when(end > F.col("last"), F.col("_v"))).alias("hi"),
-        F.first("share").alias("share"),
-    )
-    result = picked.groupBy("_g").agg(
-        F.array(
-            *[
-                F.max(F.when(F.col("i") == i, F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("share")))
-                for i in range(len(probabilities))
-            ]
-        ).alias(out)
-    )
+    ranked = inside.withColumn("upto", F.sum("c").over(upto)).join(below, "_g", "left")
+    under = F.when(F.col("i") >= 0, F.get("_below", F.col("i"))).otherwise(F.lit(0))
+    ranked = ranked.withColumn("end", F.coalesce(under, F.lit(0)) + F.col("upto"))
+    found = []
+    for i, p in enumerate(probabilities):
+        first, last, share = rank(p)
+        mine = F.col("i").isin(i, -1)
+        low = F.min(F.when(mine & (F.col("end") > first), F.col("_v")))
+        high = F.min(F.when(mine & (F.col("end") > last), F.col("_v")))
+        found += [low.alias(f"lo{i}"), high.alias(f"hi{i}"), F.max(share.cast("double")).alias(f"sh{i}")]
+    picked = ranked.groupBy("_g").agg(*found)
+    line = lambda i: F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"sh{i}")
+    result = picked.select("_g", F.array(*map(line, range(len(probabilities)))).alias(out))
     if keys:
         everyone = grouped.select("_g").distinct()
         return everyone.join(result, "_g", "left").select(*[F.col("_g")[k].alias(k) for k in keys], out)

@@ -50,8 +50,7 @@ def test_null_positions_come_first(spark):
 
 @pytest.mark.parametrize("nearest_rank", [False, True])
 def test_quantiles_by_bracket(rows, nearest_rank):
-    probs = [0.0, 0.05, 0.5, 0.95, 1.0]
-    for accuracy in (20, 100_000):  # a coarse sketch leaves real work to the ranks
+    for probs, accuracy in (([0.0, 0.05, 0.5, 0.95, 1.0], 20), ([0.0, 0.05, 0.5, 0.95, 1.0], 100_000), ([0.5], 40), ([0.3], 100)):
         big = with_quantiles(rows, ["k"], F.col("v"), probs, nearest_rank=nearest_rank, rows_per_task=1, accuracy=accuracy)
         small = with_quantiles(rows, ["k"], F.col("v"), probs, nearest_rank=nearest_rank)
         left, right = ({r.k: r.quantiles for r in d.collect()} for d in (big, small))
