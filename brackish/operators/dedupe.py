@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from brackish.operators.ordered import Run, plan_slices, running
 
 
+# Why a candidate was not chosen.
+SAME_RANK, LOWER_RANK = "same_rank_identical_remote_metadata", "lower_archive_or_layout_preference"
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], preference: Sequence[Column]) -> DataFrame:
     """The first row of each key in preference order (which must be total).
 
@@ -80,7 +84,7 @@ def rejected_candidates(df: DataFrame, verdicts: DataFrame, keys: Sequence[str],
     best = df.groupBy(*keys).agg(F.max(rank).alias("_top"))
     judged = df.join(best, list(keys)).join(verdicts.select(*keys, "preferred"), list(keys))
     same = rank == F.col("_top")
-    reason = F.when(same, "same_rank_identical_remote_metadata").otherwise("lower_archive_or_layout_preference")
+    reason = F.when(same, SAME_RANK).otherwise(LOWER_RANK)
     return judged.where(F.col(name) != F.col("preferred")).withColumn("reason", reason).drop("_top")
 
 

@@ -172,6 +172,15 @@ def shared_chain_nodes(chains: DataFrame) -> DataFrame:
     return chains.groupBy("node").agg(F.count_distinct("chain").alias("n")).where("n > 1").select("node")
 
 
+# Names of what a boundary chain can fail.
+DOUBLED, TOO_LONG, TOO_STEEP, JUMP = (
+    "duplicate_boundary_vertex",
+    "boundary_edge_target_ratio_exceeded",
+    "boundary_spacing_gradation_exceeded",
+    "open_land_junction_spacing_jump",
+)
+
+
 def boundary_contract(
     chain_edge_table: DataFrame, nodes: DataFrame, gradation: float = 0.15, length_ratio: float = 1.55, jump: float = 1.5
 ) -> DataFrame:
@@ -198,10 +207,10 @@ def boundary_contract(
     )
     failures = F.array_compact(
         F.array(
-            F.when(F.col("doubled_vertices") > 0, "duplicate_boundary_vertex"),
-            F.when(F.col("max_length_ratio") > length_ratio + 1e-9, "boundary_edge_target_ratio_exceeded"),
-            F.when(F.col("max_gradient") > gradation + 1e-9, "boundary_spacing_gradation_exceeded"),
-            F.when(F.col("max_kind_change_ratio") > jump + 1e-9, "open_land_junction_spacing_jump"),
+            F.when(F.col("doubled_vertices") > 0, DOUBLED),
+            F.when(F.col("max_length_ratio") > length_ratio + 1e-9, TOO_LONG),
+            F.when(F.col("max_gradient") > gradation + 1e-9, TOO_STEEP),
+            F.when(F.col("max_kind_change_ratio") > jump + 1e-9, JUMP),
         )
     )
     return out.withColumn("failures", F.array_join(F.array_sort(failures), ",")).withColumn("passed", F.col("failures") == "")

@@ -148,7 +148,7 @@ def test_sigma_report(spark):
 
 
 def test_text_readers(spark, tmp_path):
-    (tmp_path / "g.rdb").write_text("# note\nagency_cd\tsite_no\tdatetime\t1_00060_00003\n5s\t15s\t20d\t14n\nUSGS\t01\t2020-01-01\t100\nUSGS\t01\t2020-01-02\tIce\n")
+    (tmp_path / "g.rdb").write_text("# note\nagency_cd\tsite_no\tdatetime\t1_00060_00003\n5s\t15s\t20d\t14n\nAG\t01\t2020-01-01\t100\nAG\t01\t2020-01-02\tIce\n")
     q = text.observed_discharge(spark, str(tmp_path / "g.rdb")).orderBy("date").collect()
     assert [round(r.obs_q_m3s, 6) if r.obs_q_m3s else None for r in q] == [2.831685, None]
     (tmp_path / "m.2dm").write_text("MESH2D\nE3T 1 1 2 3 1\nE4Q 2 1 2 3 4 1\nND 1 0 0 5\nND 2 1 0 5\nND 3 1 1 5\nND 4 0 1 6\nNS 1 2\nNS -3 7\nNS 4 -1\n")
