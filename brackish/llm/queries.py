@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import lines, packing
+from brackish.llm import langid, lines, packing, simhash
+from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
 
@@ -34,6 +35,21 @@ def _sha(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+@query("op1_language_id")
+def op1_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    profiles = langid.fit_profiles(docs.where(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_simhash")
+def op4_simhash(spark, folder):
+    groups = simhash.near_groups(table(spark, folder, "documents"), words=3, bits=3)
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 # A line's key in SQL: white space of ASCII off both ends, A-Z lower-cased.
 _SQL_KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
