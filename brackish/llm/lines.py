@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brackish.llm import bloom
@@ -97,3 +97,8 @@ def dedupe_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) ->
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return joined.mapInArrow(cut, widened(docs, "n_lines long, n_dropped long"))
+
+
+def text_length() -> Column:
+    """Code points of the text, for tables that keep them."""
+    return F.length("text").cast("long")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import langid, lines, packing, simhash
+from brackish.llm import decontam, langid, lines, packing, simhash
 from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
@@ -44,6 +44,11 @@ def op1_language_id(spark, folder):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query("op2_decontam")
+def op2_decontam(spark, folder):
+    return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op4_simhash")
 def op4_simhash(spark, folder):
     groups = simhash.near_groups(table(spark, folder, "documents"), words=3, bits=3)
