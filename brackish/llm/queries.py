@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import decontam, langid, lines, packing, simhash
+from brackish.llm import decontam, langid, lines, packing, simhash, substring
 from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
@@ -82,6 +82,36 @@ def op5_line_dedup(spark, folder):
     return cut.select("doc_id", "n_lines", "n_dropped", _sha("text").alias("kept_sha256"))
 
 
+@query(
+    "op7_substring_dedup",
+    """
+    WITH split AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), w -> w <> '') AS words FROM documents),
+    starts AS (
+        SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS pos FROM split WHERE len(words) >= 50),
+    windows AS (SELECT doc_id, pos, hash(list_slice(words, pos, pos + 49)) AS h FROM starts),
+    late AS (
+        SELECT doc_id, list(pos) AS spots FROM (
+            SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY h) AS low FROM windows) WHERE low < doc_id GROUP BY doc_id),
+    covered AS (
+        SELECT doc_id, list_distinct(flatten(list_transform(spots, p -> generate_series(p, p + 49)))) AS gone FROM late),
+    kept AS (
+        SELECT s.doc_id, s.words, c.gone, list_sort(coalesce(c.gone, [])) AS sorted FROM split s LEFT JOIN covered c USING (doc_id)),
+    each AS (
+        SELECT doc_id, len(words) AS n_words, len(sorted) AS n_removed,
+               CASE WHEN gone IS NULL THEN words
+                    ELSE list_transform(list_filter(generate_series(1, len(words)), i -> NOT list_contains(sorted, i)), i -> words[i]) END AS left_over
+        FROM kept)
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+           sha256(coalesce(array_to_string(left_over, ' '), '')) AS kept_sha256
+    FROM each
+    """,
+)
+def op7_substring_dedup(spark, folder):
+    cut = substring.drop_repeats(table(spark, folder, "documents").select("doc_id", "text"), window=50)
+    return cut.select("doc_id", "n_words", "n_removed", _sha("text").alias("kept_sha256"))
+
+
 @query("op10_packing")
 def op10_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=2, window=4096)
