@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import decontam, langid, lines, packing, simhash, substring
+from brackish.llm import decontam, langid, lines, packing, simhash, substring, vectors
 from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
@@ -82,11 +82,32 @@ def op5_line_dedup(spark, folder):
     return cut.select("doc_id", "n_lines", "n_dropped", _sha("text").alias("kept_sha256"))
 
 
+@query(
+    "op6_top_k",
+    """
+    WITH usable AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+        FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+    placed AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 10
+    """,
+)
+def op6_top_k(spark, folder):
+    return vectors.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
 @query(
     "op7_substring_dedup",
     """
     WITH split AS (
-        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), w -> w <> '') AS words FROM documents),
+        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS words FROM documents),
     starts AS (
         SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS pos FROM split WHERE len(words) >= 50),
     windows AS (SELECT doc_id, pos, hash(list_slice(words, pos, pos + 49)) AS h FROM starts),
@@ -94,13 +115,13 @@ def op5_line_dedup(spark, folder):
         SELECT doc_id, list(pos) AS spots FROM (
             SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY h) AS low FROM windows) WHERE low < doc_id GROUP BY doc_id),
     covered AS (
-        SELECT doc_id, list_distinct(flatten(list_transform(spots, p -> generate_series(p, p + 49)))) AS gone FROM late),
+        SELECT doc_id, list_distinct(flatten(list_transform(spots, lambda p: generate_series(p, p + 49)))) AS gone FROM late),
     kept AS (
         SELECT s.doc_id, s.words, c.gone, list_sort(coalesce(c.gone, [])) AS sorted FROM split s LEFT JOIN covered c USING (doc_id)),
     each AS (
         SELECT doc_id, len(words) AS n_words, len(sorted) AS n_removed,
                CASE WHEN gone IS NULL THEN words
-                    ELSE list_transform(list_filter(generate_series(1, len(words)), i -> NOT list_contains(sorted, i)), i -> words[i]) END AS left_over
+                    ELSE list_transform(list_filter(generate_series(1, len(words)), lambda i: NOT list_contains(sorted, i)), lambda i: words[i]) END AS left_over
         FROM kept)
     SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
            sha256(coalesce(array_to_string(left_over, ' '), '')) AS kept_sha256
