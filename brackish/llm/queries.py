@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import decontam, langid, lines, packing, simhash, substring, vectors
+from brackish.llm import decontam, langid, lines, packing, pages, simhash, substring, vectors
 from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
@@ -133,6 +133,11 @@ def op7_substring_dedup(spark, folder):
     return cut.select("doc_id", "n_words", "n_removed", _sha("text").alias("kept_sha256"))
 
 
+@query("op8_main_text")
+def op8_main_text(spark, folder):
+    return pages.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op10_packing")
 def op10_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=2, window=4096)
