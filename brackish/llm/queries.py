@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import decontam, langid, lines, packing, pages, simhash, substring, vectors
+from brackish.llm import decontam, langid, lines, packing, pages, quality, simhash, substring, toxicity, vectors
 from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
@@ -49,6 +49,14 @@ def op2_decontam(spark, folder):
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs.where(~held_out), labels.where(~held_out), "toxic")
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op4_simhash")
 def op4_simhash(spark, folder):
     groups = simhash.near_groups(table(spark, folder, "documents"), words=3, bits=3)
@@ -138,6 +146,14 @@ def op8_main_text(spark, folder):
     return pages.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@query("op9_quality")
+def op9_quality(spark, folder):
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = quality.fit(docs.where(~held_out), labels.where(~held_out), "quality")
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op10_packing")
 def op10_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=2, window=4096)
