@@ -16,10 +16,13 @@ from brackish.llm.labels import labelled_sample, prior_shift
 from brackish.llm.texts import blocks, small_batches, to_bytes, widened
 
 TRAIN_DOCS = 3000  # labelled documents of each class that the dictionaries are made from, at most
-WINDOW = 48  # bytes of a window, filled up to the end of a word
+WINDOW = 32  # bytes of a window, filled up to the end of a word
 ORDINARY_BYTES = 16384  # size of the ordinary dictionary
 LEAST_G2 = 30.0  # log-likelihood ratio from which a word is held to be typical of toxic text
-LEAST_DOCS = 5
+LEAST_DOCS = 5  # toxic documents with it
+LEAST_RATIO = 8.0  # how much more frequent it must be there
+LONGEST_STEM = 12
+MOST_WORDS = 40  # words of a stem
 PHASES = 3  # the compressor enters every third place of a dictionary into its table
 SUSPECT = 3  # bytes saved from which a window is looked at again with its bounds moved
 LEVEL = 3
@@ -84,8 +87,14 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.weights @ np.array(self.features(data)), -30, 30))))
 
 
-def _words(data: bytes) -> set[bytes]:
-    return {w.strip(_SIGNS) for w in data.lower().split()} - {b""}
+def _stems(data: bytes) -> set[str]:
+    """The words of a text and their beginnings of three letters and more, each after a blank."""
+    words = {w.strip(_SIGNS) for w in data.lower().split()} - {b""}
+    found = set()
+    for word in (" " + w.decode("utf-8", "replace") for w in words):
+        found.update(word[:n] for n in range(4, min(len(word), LONGEST_STEM) + 1))
+        found.add(word + " ")
+    return found
 
 
 def _distinct(texts: list[bytes]) -> list[bytes]:
@@ -100,23 +109,39 @@ def _distinct(texts: list[bytes]) -> list[bytes]:
 
 
 def _typical(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words far more frequent in toxic documents, least certain first."""
+    """Words and stems far more frequent in toxic documents, least certain first.
+
+    Of a word and its beginnings the most certain stands for the others, the longest if they are alike.
+    """
     inside, outside = Counter(), Counter()
     for data in toxic:
-        inside.update(_words(data))
+        inside.update(_stems(data))
+    inside = {stem: n for stem, n in inside.items() if n >= (2 if stem[-1] == " " else LEAST_DOCS)}
     for data in ordinary:
-        outside.update(_words(data))
+        outside.update(_stems(data) & inside.keys())
     n1, n0 = len(toxic), len(ordinary)
     found = []
-    for word, a in inside.items():
-        b = outside[word]
-        if a >= LEAST_DOCS and a * n0 > 3 * b * n1:
+    for stem, a in inside.items():
+        b = outside[stem]
+        if a >= LEAST_DOCS and a * n0 > LEAST_RATIO * b * n1:
             share = (a + b) / (n1 + n0)
             cells = ((a, share * n1), (b, share * n0), (n1 - a, (1 - share) * n1), (n0 - b, (1 - share) * n0))
             g2 = 2 * sum(o * math.log(o / e) for o, e in cells if o)
             if g2 >= LEAST_G2:
-                found.append((g2, word))
-    return [word for _, word in sorted(found)]
+                found.append((round(g2, 6), len(stem), stem))
+    kept, taken = [], set()
+    for _, _, stem in sorted(found, reverse=True):
+        beginnings = {stem[:n] for n in range(4, len(stem) + 1)}
+        if stem not in taken and not beginnings & set(kept):
+            kept.append(stem)
+            taken |= beginnings
+    # Whole words are longer matches than their beginnings alone.
+    words = Counter({w: n for w, n in inside.items() if w[-1] == " "})
+    grown = []
+    for stem in reversed(kept):
+        longer = [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])) if w.startswith(stem) and w != stem][:MOST_WORDS]
+        grown += [*reversed(longer), stem]
+    return [x.encode() for x in grown]
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -140,7 +165,7 @@ def train(texts: list[bytes], labels: np.ndarray) -> Model:
     base, extra = _dictionary(ordinary), b""
     for phase in range(PHASES):
         for word in _typical(toxic, ordinary):
-            extra += b" " * ((phase - len(extra)) % PHASES) + b" " + word + b" "
+            extra += b" " * ((phase - len(extra)) % PHASES) + word
     model = Model(base, base + extra, np.zeros(3))
     x = np.array([model.features(t) for t, h in zip(texts, held_back, strict=True) if h])
     model.weights = _logistic(x, labels[held_back])
