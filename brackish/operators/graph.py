@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brackish.session import cut_lineage
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node each node is connected to.
 
     Every round hooks nodes and the roots they point to onto the smallest
@@ -19,7 +19,7 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     one = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
     both = cut_lineage(one.union(one.select("v", "u")).distinct())
     f = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")))
-    for _ in range(rounds):
+    while True:
         parents = f.select(F.col("u").alias("p"), F.col("p").alias("g"))
         grand = f.join(parents, "p")
         seen = grand.select(F.col("u").alias("v"), "g")
@@ -34,19 +34,19 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
         f = new.drop("old")
         if settled:
             return f.select(F.col("u").alias("node"), F.col("p").alias("component"))
-    raise RuntimeError("components did not settle")
 
 
 def hop_distance(
     nodes: DataFrame, edges: DataFrame, seeds: DataFrame, node: str, a: str, b: str, unreachable: int = 2147483647,
-    rounds: int = 100_000,
 ) -> DataFrame:
     """Breadth-first hops from the nearest seed; only the newest ring is joined each round."""
     one = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
     both = cut_lineage(one.union(one.select("v", "u")).distinct())
     ring = cut_lineage(seeds.select(F.col(node).alias("u")).distinct().withColumn("d", F.lit(0)))
     seen, before = ring, ring
-    for hop in range(1, rounds):
+    hop = 0
+    while True:
+        hop += 1
         # What a ring can reach is older by at most one ring: no growing table is searched.
         reached = ring.join(both, "u").select(F.col("v").alias("u")).distinct()
         known = ring.select("u").union(before.select("u"))

@@ -147,7 +147,7 @@ def depth_gradient(grid: DataFrame, value: str, dx: float, dy: float) -> DataFra
 
 def relax(
     grid: DataFrame, cost: str, dx: float, dy: float, weight: float = 1.0, connectivity: int = 8,
-    label: str | None = None, block: int = 128, rounds: int = 10_000,
+    label: str | None = None, block: int = 128,
 ) -> DataFrame:
     """Lower envelope: each cell becomes the least ``cost + weight * path length`` of any cell.
 
@@ -175,7 +175,7 @@ def relax(
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         bj, bi = int(pdf["bj"].iloc[0]), int(pdf["bi"].iloc[0])
         none = np.iinfo(np.int64).max
-        labels = np.array([none if pd.isna(v) else int(v) for v in pdf[lab]], dtype=np.int64)
+        labels = pdf[lab].astype("Int64").fillna(none).to_numpy(np.int64)
         rows = pdf["j"].to_numpy() - bj * block + 1
         cols = pdf["i"].to_numpy() - bi * block + 1
         value = np.full((block + 2, block + 2), np.inf)
@@ -216,7 +216,7 @@ def relax(
 
     schema = f"j long, i long, `{cost}` double, `{lab}` long, _changed boolean"
     active = None  # blocks that saw a change in the round before; at first all
-    for _ in range(rounds):
+    while True:
         opened = state.select("j", "i", cost, lab, F.inline(homes))
         if active is not None:
             opened = opened.join(active, ["bj", "bi"], "left_semi")
@@ -327,11 +327,15 @@ def least_with_source(candidates: Sequence[tuple[int, Column]]) -> tuple[Column,
 
 
 def refine_cells(cells: DataFrame, target: Column, factor: float = 1.25, deepest: int = 18) -> DataFrame:
-    """Quadtree leaves: a square (x, y, width) splits while wider than ``factor`` x its target."""
-    open_, leaves = cells.withColumn("depth", F.lit(0)), None
+    """Quadtree leaves: a square (x, y, width) splits while wider than ``factor`` x its target.
+
+    ``cut_short`` marks leaves of depth ``deepest`` that are still too wide.
+    """
+    open_, leaves = cells.withColumns({"depth": F.lit(0), "cut_short": F.lit(False)}), None
     for depth in range(deepest + 1):
-        split = (F.col("width") > target * factor) if depth < deepest else F.lit(False)
-        marked = cut_lineage(open_.withColumn("_split", F.coalesce(split, F.lit(False))))
+        wide = F.coalesce(F.col("width") > target * factor, F.lit(False))
+        split = wide if depth < deepest else F.lit(False)
+        marked = cut_lineage(open_.withColumns({"cut_short": wide & F.lit(depth == deepest), "_split": split}))
         done = marked.where(~F.col("_split")).drop("_split")
         leaves = done if leaves is None else leaves.unionByName(done)
         rest = marked.where("_split")
@@ -342,7 +346,7 @@ def refine_cells(cells: DataFrame, target: Column, factor: float = 1.25, deepest
         kids = F.array(*[F.struct((F.col("x") + a * quarter).alias("x"), (F.col("y") + b * quarter).alias("y"), half.alias("width"))
                          for a in (-1, 1) for b in (-1, 1)])
         others = [c for c in cells.columns if c not in ("x", "y", "width")]
-        open_ = rest.select(*others, F.inline(kids)).withColumn("depth", F.lit(depth + 1)).select(*open_.columns)
+        open_ = rest.select(*others, F.inline(kids)).withColumns({"depth": F.lit(depth + 1), "cut_short": F.lit(False)}).select(*open_.columns)
     return leaves
 
 

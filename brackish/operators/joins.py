@@ -37,18 +37,26 @@ def points_in_boxes(
     of a few dozen numbers).  ``how`` may be ``left_semi`` for points in any box.
     """
     level = _level(F.greatest(F.col(east) - F.col(west), F.col(north) - F.col(south)))
-    filed = boxes.withColumn("_level", F.greatest(level, F.lit(-_FINEST)))
+    # Cells no finer than what a double tells apart at the box, so that their numbers stay whole.
+    reach = F.greatest(*[F.abs(F.col(c)) for c in (west, south, east, north)], F.lit(1.0))
+    filed = boxes.withColumn("_level", F.greatest(level, F.lit(-_FINEST), F.ceil(F.log2(reach)).cast("int") - 50))
     levels = sorted(r[0] for r in filed.select("_level").distinct().collect() if r[0] is not None)
     span = lambda lo, hi: F.sequence(_cell(F.col(lo), F.col("_level")), _cell(F.col(hi), F.col("_level")))
     filed = filed.withColumn("_cx", F.explode(span(west, east))).withColumn("_cy", F.explode(span(south, north)))
-    seen = points.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")))
+    counted = points
+    if how == "left_semi":  # equal points are looked up once and come back as often as they are
+        counted = points.groupBy(*points.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    seen = counted.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")))
+    # A point beyond the numbers of a level's cells is in none of its boxes.
+    seen = seen.where(F.greatest(F.abs(F.col(x)), F.abs(F.col(y))) / F.pow(F.lit(2.0), F.col("_level")) < 2.0**60)
     seen = seen.withColumns({"_cx": _cell(F.col(x), F.col("_level")), "_cy": _cell(F.col(y), F.col("_level"))})
     inside = F.col(x).between(F.col(west), F.col(east)) & F.col(y).between(F.col(south), F.col(north))
     same = (
         (seen["_level"] == filed["_level"]) & (seen["_cx"] == filed["_cx"]) & (seen["_cy"] == filed["_cy"])
     )
     if how == "left_semi":
-        return seen.join(filed, same & inside, "left_semi").drop("_level", "_cx", "_cy").distinct()
+        met = seen.join(filed, same & inside, "left_semi").select(*points.columns, "_copies").distinct()
+        return met.withColumn("_copies", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).drop("_copies")
     return seen.join(filed, same & inside).select(
         *points.columns, *[c for c in boxes.columns if c not in points.columns]
     )

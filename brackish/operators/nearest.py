@@ -13,6 +13,7 @@ from brackish.session import cut_lineage
 
 LEAF_ROWS = 32
 _DEEPEST = 12
+_KNOTS = 1024
 _SPLIT = 4
 
 
@@ -45,6 +46,22 @@ def nearest_on_axis(left: DataFrame, right: DataFrame, left_value: str, right_va
     return sided.select("_row.*", pick["id"].alias(right_id), F.abs(at - pick["v"]).alias("distance"))
 
 
+def _rank(value: Column, knots: Sequence[float]) -> Column:
+    """Share of the sources below a value, linear between the knots; never falls, and stays below 1."""
+    line = F.array(*[F.lit(float(k)) for k in knots])
+    last = len(knots) - 1
+
+    def step(found: Column, bit: Column) -> Column:
+        ahead = found + F.call_function("shiftleft", F.lit(1), bit)
+        return F.when(F.get(line, ahead) <= value, ahead).otherwise(found)
+
+    bits = F.sequence(F.lit(last.bit_length() - 1), F.lit(0), F.lit(-1))
+    at = F.least(F.aggregate(bits, F.lit(0), step), F.lit(last - 1))
+    low, high = F.get(line, at), F.get(line, at + 1)
+    inside = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))))
+    return F.least((at + inside) / last, F.lit(1.0 - 1e-12))
+
+
 def nearest_of_few(choices: Sequence[tuple[str, Column]]) -> Column:
     """Struct (distance, name) of the smallest of a short fixed list; ties take the first listed."""
     entries = F.array(
@@ -59,8 +76,9 @@ def k_nearest(
 ) -> DataFrame:
     """The exact ``k`` nearest sources of each point: (point_id, source_id, distance, rank).
 
-    Sources are counted in square cells that shrink fourfold per level until the
-    fullest one holds ``leaf_rows``.  Points then walk down the levels: from the
+    Sources are counted in cells that shrink fourfold per level until the
+    fullest one holds ``leaf_rows``.  Cells divide the ranks on each axis, taken from a bounded
+    sketch, so that far or unset positions do not crowd all others into one cell.  Points then walk down the levels: from the
     counts and tight bounds of the cells a point still considers follows a radius
     that must hold ``k`` sources, and cells farther than it are dropped.  Only
     surviving leaf cells are opened.  A dense cluster therefore costs one cell per
@@ -71,34 +89,29 @@ def k_nearest(
     x, y = xy
     place = sources.select(F.col(source_id).alias("_sid"), F.col(x).cast("double").alias("_sx"), F.col(y).cast("double").alias("_sy"))
     place = place.where("_sx is not null and _sy is not null")
+    shares = F.array(*[F.lit(i / _KNOTS) for i in range(_KNOTS + 1)])
+    xs, ys = place.agg(F.percentile_approx("_sx", shares, 100 * _KNOTS), F.percentile_approx("_sy", shares, 100 * _KNOTS)).first()
     # More than k sources on one spot can never all be needed.
     spot_rank = F.row_number().over(W.partitionBy("_sx", "_sy").orderBy("_sid"))
     place = place.withColumn("_spot", spot_rank).where(F.col("_spot") <= k).drop("_spot")
-    place = cut_lineage(place)
-    x0, x1, y0, y1 = place.agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy")).first()
     wanted = points.select(
         F.col(point_id).alias("_pid"), F.col(x).cast("double").alias("_px"), F.col(y).cast("double").alias("_py")
     ).where("_px is not null and _py is not null")
-    if x0 is None:
+    if xs is None:
         return wanted.limit(0).select(
             F.col("_pid").alias(point_id), F.lit(None).cast(dict(sources.dtypes)[source_id]).alias(source_id),
             F.lit(0.0).alias("distance"), F.lit(0).alias("rank"),
         )
-    extent = max(x1 - x0, y1 - y0) * 1.0000001 or 1.0
+    place = cut_lineage(place.withColumns({"_ux": _rank(F.col("_sx"), xs), "_uy": _rank(F.col("_sy"), ys)}))
 
     def cell_at(depth: int) -> Column:
-        size = extent / _SPLIT**depth
-        return F.struct(
-            F.floor((F.col("_sx") - x0) / size).cast("long").alias("i"),
-            F.floor((F.col("_sy") - y0) / size).cast("long").alias("j"),
-        )
+        cells = float(_SPLIT**depth)
+        return F.struct(F.floor(F.col("_ux") * cells).cast("long").alias("i"), F.floor(F.col("_uy") * cells).cast("long").alias("j"))
 
-    depth = 1
-    while depth < _DEEPEST:
-        fullest = place.groupBy(cell_at(depth).alias("c")).count().agg(F.max("count")).first()[0]
-        if fullest <= leaf_rows:
-            break
-        depth += 1
+    # The fullest cell of every depth, from one job.
+    each = F.array(*[F.struct(F.lit(d).alias("d"), cell_at(d).alias("c")) for d in range(1, _DEEPEST + 1)])
+    fullest = place.select(F.inline(each)).groupBy("d", "c").count().groupBy("d").agg(F.max("count").alias("n"))
+    depth = min([r["d"] for r in fullest.where(F.col("n") <= leaf_rows).collect()], default=_DEEPEST)
 
     px, py = F.col("_px"), F.col("_py")
     candidates = wanted

@@ -1,20 +1,22 @@
 """Running and neighbouring values along an ordered axis, for groups of any size.
 
 A plain window puts every row of a group into one task.  One gauge, one user or
-the whole table (no key) may hold a third of 100 TB, so the axis is cut into
-slices that hold a bounded number of rows:
+the whole table (no key) may hold a third of 100 TB, so groups larger than a task
+are cut into slices:
 
-1. rows are windowed inside (group, slice);
-2. each slice is reduced to one row, with map-side combine;
-3. the slice rows, a millionth of the input, are windowed by group;
-4. what was carried in from earlier (or later) slices is joined back.
+1. the heavy groups are counted out, with map-side combine;
+2. a hash sample of their rows, sorted by the full order, gives the bounds of slices
+   that hold a bounded number of rows, wherever they lie on the axis;
+3. rows are windowed inside (group, slice); a group that fits a task is one slice;
+4. each slice of a heavy group is reduced to one row, these few rows are windowed by group,
+   and what was carried in from earlier (or later) slices is joined back.
 
-Where the whole input fits one task anyway the plan is a plain window.
+Where no group is heavy the plan is a plain window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,18 +24,43 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brackish.session import cut_lineage
+
 ROWS_PER_TASK = 2_000_000
+SAMPLED = 32  # sampled rows a slice
+MOST_BOUNDS = 1_000_000  # bounds that are sent to every task; beyond it slices grow
 _PROBE_CELLS = 4096
 _SLICE = "_slice"
 _GROUP = "_group"
+_POSITION = "_position"
+_TIE = "_tie_break"
 
 
-@dataclass(frozen=True)
 class Slices:
-    """How one axis is cut; ``width`` None means everything fits one task."""
+    """How one axis is cut.
+
+    ``rows``: groups of more rows are cut at sampled bounds, which are kept for the frames
+    that share this object.  Without it a ``width`` cuts all groups evenly, and a width of
+    None says that everything fits one task.
+    """
+
+    def __init__(self, column: str, width: float | Callable[[], float] | None, rows: int | None = None):
+        self.column, self.rows = column, rows
+        self._width = width
+        self._bounds: dict[tuple, DataFrame | None] = {}
+
+    @property
+    def width(self) -> float | None:
+        if callable(self._width):
+            self._width = self._width()
+        return self._width
 
-    column: str
-    width: float | None
+    def bounds(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+        """Sorted bounds of the slices of each heavy group of ``df``; None if there is none."""
+        name = (tuple(keys), tuple(order))
+        if name not in self._bounds:
+            self._bounds[name] = _sampled_bounds(df, self.rows)
+        return self._bounds[name]
 
 
 @dataclass(frozen=True)
@@ -53,25 +80,45 @@ def axis_number(df: DataFrame, column: str) -> Column:
 
 
 def plan_slices(df: DataFrame, column: str, rows_per_task: int | None = None) -> Slices:
-    """Measure the axis and choose a slice width from its densest stretch.
-
-    One narrow aggregate decides whether slicing is needed at all.  Only then a
-    second one counts rows in equal cells of the axis, over all groups together,
-    so the bound holds for the largest group whatever its share.
-    """
+    """Whether groups can be larger than a task at all: one count, of footers only for a stored table."""
     rows_per_task = rows_per_task or ROWS_PER_TASK
-    axis = axis_number(df, column)
-    low, high, rows = df.agg(F.min(axis), F.max(axis), F.count(F.lit(1))).first()
-    if rows <= rows_per_task or low is None or high <= low:
+    if df.count() <= rows_per_task:
         return Slices(column, None)
+    return Slices(column, lambda: _even_width(df, column, rows_per_task), rows_per_task)
+
+
+def _even_width(df: DataFrame, column: str, rows: int) -> float:
+    """A width whose fullest stretch holds about ``rows`` rows of an axis without outliers."""
+    axis = axis_number(df, column)
+    low, high = df.agg(F.min(axis), F.max(axis)).first()
     cell = (high - low) / _PROBE_CELLS
-    densest = (
-        df.groupBy(F.floor((axis - F.lit(low)) / F.lit(cell)).alias("cell"))
-        .count()
-        .agg(F.max("count"))
-        .first()[0]
-    )
-    return Slices(column, cell * rows_per_task / densest)
+    fullest = df.groupBy(F.floor((axis - F.lit(low)) / F.lit(cell))).count().agg(F.max("count")).first()[0]
+    return cell * rows / fullest
+
+
+def _sampled_bounds(df: DataFrame, rows: int) -> DataFrame | None:
+    """(group, bounds) of the groups of more than ``rows`` rows, from a sample by hash of the position."""
+    heavy = df.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    total = heavy.agg(F.sum("_n")).first()[0]
+    if not total:
+        return None
+    rows = max(rows, total // MOST_BOUNDS)
+    few = max(1, rows // SAMPLED)
+    sample = df.where(F.pmod(F.xxhash64(_POSITION), F.lit(few)) == 0).select(_GROUP, _POSITION)
+    sample = sample.join(F.broadcast(heavy.select(_GROUP)), _GROUP, "left_semi")
+    place = F.row_number().over(W.partitionBy(_GROUP).orderBy(_POSITION))
+    ends = sample.withColumn("_at", place).where(F.col("_at") % SAMPLED == 0)
+    return cut_lineage(ends.groupBy(_GROUP).agg(F.array_sort(F.collect_list(_POSITION)).alias("_bounds")))
+
+
+def _slice_number(bounds: Column, position: Column) -> Column:
+    """How many of the sorted bounds lie at or before the position, found bit by bit."""
+
+    def step(found: Column, bit: Column) -> Column:
+        ahead = found + F.call_function("shiftleft", F.lit(1), bit)
+        return F.when(F.get(bounds, ahead - 1) <= position, ahead).otherwise(found)
+
+    return F.aggregate(F.sequence(F.lit(24), F.lit(0), F.lit(-1)), F.lit(0), step).cast("long")
 
 
 _FORWARD_CARRY = {"row_index", "sum", "max", "min", "last", "prev", "lag"}
@@ -146,32 +193,45 @@ def running(
     Kinds: ``row_index`` (from 1); ``sum``/``max``/``min`` up to here;
     ``min_ahead`` from here on; ``last`` non-null up to here, ``prev`` strictly
     before; ``next`` non-null strictly after, ``next_or_here``; ``lag`` and
-    ``lead``, which keep nulls.  ``order`` must be total for a repeatable result,
-    and its first column is the one ``slices`` cuts.
+    ``lead``, which keep nulls.  ``order`` must be total for a repeatable result.
     """
     slices = slices or plan_slices(df, order[0])
-    fwd_order = [F.col(c).asc() for c in order]
-    back_order = [F.col(c).desc() for c in order]
-    if slices.width is None:
-        fwd = W.partitionBy(*keys).orderBy(*fwd_order)
-        back = W.partitionBy(*keys).orderBy(*back_order)
+    # A struct key equals itself with nulls inside, so null groups join back.
+    grouped = df.withColumn(_GROUP, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    ranks = list(order)
+    if slices.rows is not None:
+        # The hash of the row splits even rows that the order does not tell apart.
+        hashed = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+        ranks.append(_TIE)
+        grouped = grouped.withColumn(_TIE, F.xxhash64(*hashed))
+        grouped = grouped.withColumn(_POSITION, F.struct(*ranks))
+        bounds = slices.bounds(grouped, keys, order)
+        if bounds is not None:
+            # At most MOST_BOUNDS positions, however large the input.
+            met = grouped.join(F.broadcast(bounds), _GROUP, "left")
+            sliced = met.withColumn(_SLICE, F.when(F.col("_bounds").isNotNull(), _slice_number(F.col("_bounds"), F.col(_POSITION)))).drop("_bounds")
+    elif slices.width is not None:
+        bounds = slices
+        sliced = grouped.withColumn(
+            _SLICE, F.coalesce(F.floor(axis_number(df, slices.column) / F.lit(slices.width)), F.lit(-(2**62)))
+        )
+    else:
+        bounds = None
+    if bounds is None:
+        fwd = W.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
+        back = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
         columns = {
             name: (_inside(r, fwd, back)["v"] if r.kind in ("lag", "lead") else _inside(r, fwd, back))
             for name, r in outputs.items()
         }
         return df.withColumns(columns)
 
-    # A struct key equals itself with nulls inside, so null groups join back.
-    sliced = df.withColumn(_GROUP, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
-    sliced = sliced.withColumn(
-        _SLICE, F.coalesce(F.floor(axis_number(df, slices.column) / F.lit(slices.width)), F.lit(-(2**62)))
-    )
-    fwd = W.partitionBy(_GROUP, _SLICE).orderBy(*fwd_order)
-    back = W.partitionBy(_GROUP, _SLICE).orderBy(*back_order)
+    fwd = W.partitionBy(_GROUP, _SLICE).orderBy(*[F.col(c).asc() for c in ranks])
+    back = W.partitionBy(_GROUP, _SLICE).orderBy(*[F.col(c).desc() for c in ranks])
     detail = sliced.withColumns({name: _inside(r, fwd, back) for name, r in outputs.items()})
 
-    position = F.struct(*order)
-    summary = sliced.groupBy(_GROUP, _SLICE).agg(
+    position = F.struct(*ranks)
+    summary = sliced.where(F.col(_SLICE).isNotNull()).groupBy(_GROUP, _SLICE).agg(
         *[_slice_summary(r, position).alias(name) for name, r in outputs.items()]
     )
     by_slice = W.partitionBy(_GROUP).orderBy(F.col(_SLICE).asc())

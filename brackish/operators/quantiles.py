@@ -106,4 +106,6 @@ def _bracketed(df, keys, probabilities, out, nearest_rank, accuracy) -> DataFram
     if keys:
         everyone = grouped.select("_g").distinct()
         return everyone.join(result, "_g", "left").select(*[F.col("_g")[k].alias(k) for k in keys], out)
-    return result.select(out)
+    # Without a key there is one row, as from an aggregate, also where no value is known.
+    one = df.sparkSession.range(1).select(F.struct(F.lit(0).alias("all")).alias("_g"))
+    return one.join(result, "_g", "left").select(out)

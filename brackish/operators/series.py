@@ -334,19 +334,20 @@ def time_audit(
 
 
 def repair_axes(
-    df: DataFrame, value: str, passes: Sequence[tuple[Sequence[str], str, int]], rounds: int = 10
+    df: DataFrame, value: str, passes: Sequence[tuple[Sequence[str], str, int]], unresolved: str = "keep"
 ) -> DataFrame:
     """Fill nulls along several axes in turn, with the code of the axis that filled each.
 
     ``passes`` lists (keys of a line, position, code), for instance time, then
-    depth, then along an arc.  Rounds repeat until nothing changes.
+    depth, then along an arc.  Rounds repeat until one fills nothing.  Values that
+    no line can fill then stay null, or stop the job with ``unresolved="stop"``.
     """
     from brackish.session import cut_lineage
 
     work = cut_lineage(df.withColumn("repair_code", F.lit(0)))
     left = work.where(F.col(value).isNull()).count()
     cuts = {position: plan_slices(work, position) for _, position, _ in passes}
-    for _ in range(rounds):
+    while left:
         for keys, position, code in passes:
             filled = fill_line(work, keys, position, value, "_new", cuts[position])
             work = filled.withColumns(
@@ -359,9 +360,11 @@ def repair_axes(
             ).drop("_new")
         work = cut_lineage(work)
         now = work.where(F.col(value).isNull()).count()
-        if now in (0, left):
-            return work
+        if now == left:
+            break
         left = now
+    if left and unresolved == "stop":
+        raise ValueError(f"{left} values of {value} cannot be filled along any axis")
     return work
 
 

@@ -86,7 +86,7 @@ def mesh_2dm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Data
         "file", number(1, "long").alias("tri"), number(2, "long").alias("n1"), number(3, "long").alias("n2"),
         number(4, "long").alias("n3"), F.when(F.col("tag") == "E4Q", number(5, "long")).alias("n4"),
     )
-    values = tagged.where("tag = 'NS'").select("file", "line", F.posexplode(F.slice("t", 2, 100_000)).alias("at", "v"))
+    values = tagged.where("tag = 'NS'").select("file", "line", F.posexplode(F.slice("t", 2, F.size("t"))).alias("at", "v"))
     order = W.partitionBy("file").orderBy("line", "at")
     walked = values.withColumn("v", F.col("v").cast("long"))
     ends = F.sum(F.when(F.col("v") < 0, 1).otherwise(0)).over(order.rowsBetween(W.unboundedPreceding, -1))

@@ -15,8 +15,12 @@ from brackish.session import ensure_checkpoint_dir
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A parquet table of the folder as a file stream, with its own schema."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    path = f"{folder}/{name}.parquet"
+    stored = spark.read.parquet(path)
+    stream = spark.readStream.schema(stored.schema)
+    if any(f.rstrip("/").endswith(f"/{name}.parquet") for f in stored.inputFiles()[:1]):  # one file, not a folder of parts
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return stream.parquet(path)
 
 
 def as_event_time(stream: DataFrame, column: str) -> DataFrame:

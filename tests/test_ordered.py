@@ -163,3 +163,60 @@ def test_harmonic_fit_recovers_constants(spark):
     df = spark.createDataFrame([("s", float(a), float(b)) for a, b in zip(h, v)], "k string, h double, v double")
     got = {r.constituent: r for r in spectra.harmonic_fit(df, ["k"], "h", "v", {"M2": 28.9841042, "K1": 15.0410686}).collect()}
     assert abs(got["M2"].amplitude - 1.2) < 1e-6 and abs(got["M2"].phase - 75) < 1e-4 and abs(got["K1"].phase - 200) < 1e-4 and abs(got["M2"].mean - 0.3) < 1e-6
+
+
+def _slice_sizes(df, keys, order, rows):
+    """Rows of each slice that running() makes, and how many summary rows it needs."""
+    from brackish.operators import ordered
+
+    cut = plan_slices(df, order[0], rows_per_task=rows)
+    grouped = df.withColumn(ordered._GROUP, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    grouped = grouped.withColumn(ordered._TIE, F.xxhash64(*df.columns))
+    grouped = grouped.withColumn(ordered._POSITION, F.struct(*order, ordered._TIE))
+    bounds = cut.bounds(grouped, keys, order)
+    if bounds is None:
+        return None
+    met = grouped.join(bounds, ordered._GROUP).withColumn("n", ordered._slice_number(F.col("_bounds"), F.col(ordered._POSITION)))
+    return [r["count"] for r in met.groupBy(ordered._GROUP, "n").count().collect()]
+
+
+@pytest.mark.parametrize("case", ["sentinel", "outlier", "ties"])
+def test_no_slice_exceeds_its_bound(spark, case):
+    n = 60_000
+    at = {"sentinel": F.col("id") * 1000, "outlier": F.col("id"), "ties": F.col("id") % 97}[case]
+    df = spark.range(n).select(at.alias("t"), F.col("id").alias("v"))
+    far = {"sentinel": 253402214400000000, "outlier": 10**12, "ties": 96}[case]
+    df = df.union(spark.createDataFrame([(far, -1)], "t long, v long"))
+    sizes = _slice_sizes(df, [], ["t"], 1000)
+    assert sum(sizes) == n + 1 and max(sizes) <= 2000 and len(sizes) < 200
+    got = running(df, [], ["t"], {"s": Run("sum", F.lit(1))}, plan_slices(df, "t", 1000))
+    assert got.agg(F.countDistinct("s"), F.max("s")).first()[:] == (n + 1, n + 1)
+
+
+def test_small_groups_stay_whole(spark):
+    df = spark.range(40_000).select((F.col("id") % 4000).alias("k"), F.col("id").alias("t"))
+    assert _slice_sizes(df, ["k"], ["t"], 1000) is None
+    one = df.union(spark.range(5000).select(F.lit(-1).cast("long"), F.col("id")))
+    sizes = _slice_sizes(one, ["k"], ["t"], 1000)
+    assert sum(sizes) == 5000 and max(sizes) <= 2000 and len(sizes) < 0.01 * 45_000
+
+
+def test_quantiles_of_nothing_are_one_row(spark):
+    df = spark.createDataFrame([(None,)] * 10, "v double")
+    rows = [with_quantiles(df, [], F.col("v"), [0.5], rows_per_task=n).collect() for n in (1, 100)]
+    assert len(rows[0]) == len(rows[1]) == 1
+
+
+def test_repair_needs_many_passes_or_stops(spark):
+    # A chain in which every pass reaches one column further: two known values fill a line of one axis, that lets
+    # the other axis go on, so that far more than ten rounds are needed.
+    known = [(i, j, float(i + j)) for i in range(14) for j in range(14) if abs(i - j) <= 1 and (i + j) % 2 == 1]
+    cells = {(i, j) for i in range(14) for j in range(14) if abs(i - j) <= 1}
+    rows = [(i, j, next((v for a, b, v in known if (a, b) == (i, j)), None)) for i, j in sorted(cells)]
+    df = spark.createDataFrame(rows, "i long, j long, v double")
+    passes = [(["i"], "j", 1), (["j"], "i", 2)]
+    assert series.repair_axes(df, "v", passes).where("v is null").count() == 0
+    empty = spark.createDataFrame([(0, 0, None), (1, 1, None)], "i long, j long, v double")
+    with pytest.raises(ValueError):
+        series.repair_axes(empty, "v", passes, unresolved="stop")
+    assert series.repair_axes(empty, "v", passes).where("v is null").count() == 2

@@ -245,3 +245,17 @@ def test_stream_resumes_and_drops_late_rows(spark, tmp_path):
     assert [(r.n, r.total) for r in go().collect()] == [(2, 3.0)]
     put("b", [("x", "2024-01-01 00:20:00", 100.0), ("x", "2024-01-01 04:00:00", 8.0)])  # the first is too late
     assert sorted((r.n, r.total) for r in go().collect()) == [(1, 4.0), (2, 3.0)]
+
+
+def test_long_node_string_is_read_whole(spark, tmp_path):
+    n = 100_050
+    (tmp_path / "m.2dm").write_text("MESH2D\nNS " + " ".join(map(str, range(1, n))) + f" -{n}\nNS 1 2 -3\n")
+    _, _, strings = text.mesh_2dm(spark, str(tmp_path / "m.2dm"))
+    assert {r.chain: r["count"] for r in strings.groupBy("chain").count().collect()} == {1: n, 2: 3}
+
+
+def test_stream_over_a_folder_of_parts(spark, tmp_path):
+    from brackish.streaming import streams
+
+    spark.range(10).repartition(2).write.parquet(str(tmp_path / "things.parquet"))
+    assert streams.drain(streams.table_stream(spark, str(tmp_path), "things"), str(tmp_path / "out")).count() == 10

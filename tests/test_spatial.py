@@ -212,3 +212,23 @@ def test_points_in_rings_with_a_hole_in_the_shape(spark):
     p = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in pts.items()], "id long, x double, y double")
     got = sorted((r.id, r.ring) for r in joins.points_in_rings(p, df, "id", "x", "y", "ring").collect())
     assert got == [(1, 1), (3, 1), (4, 1), (5, 1), (6, 2), (8, 1), (9, 1)]
+
+
+def test_nearest_beside_a_fill_value(spark):
+    """One source at 1e30 leaves the others in cells of their own."""
+    rng = np.random.default_rng(8)
+    xy = rng.random((2000, 2))
+    src = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)] + [(9999, 1e30, 1e30)], "s long, x double, y double")
+    want = rng.random((300, 2))
+    pts = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(want)], "p long, x double, y double")
+    found = nearest.k_nearest(pts, src, "p", "s")
+    brute = np.argmin(((want[:, None] - xy[None]) ** 2).sum(axis=2), axis=1)
+    assert {r.p: r.s for r in found.collect()} == dict(enumerate(brute.tolist()))
+
+
+def test_equal_points_and_far_coordinates_in_boxes(spark):
+    pts = spark.createDataFrame([(9.0e6, 1.0), (9.0e6, 1.0), (9.5e6, 1.0), (1e300, 1.0)], "x double, y double")
+    box = spark.createDataFrame([(9.0e6, 1.0, 9.0e6, 1.0)], "w double, s double, e double, n double")
+    args = ("x", "y", "w", "s", "e", "n")
+    assert joins.points_in_boxes(pts, box, *args, how="left_semi").count() == 2
+    assert joins.points_in_boxes(pts, box, *args).count() == 2
