@@ -30,7 +30,9 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        self.special = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
         self.cores: dict[bytes, bytes] = {}
         self.most = most
 
@@ -39,7 +41,9 @@ class WordIds(dict):
             self.clear()
         plain = word.lower() if word.isascii() else word
         core = plain.rstrip(_TAIL)
-        if core and core != plain and core[-1] < 128 and chr(core[-1]).isalnum():
+        if any(t in plain for t in self.special):  # the tokenizer looks for these in the word as it stands
+            found = self._core(word)
+        elif core and core != plain and core[-1] < 128 and chr(core[-1]).isalnum():
             found = self._core(core) + self._core(plain[len(core) :])
         else:
             found = self._core(plain)

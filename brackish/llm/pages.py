@@ -14,6 +14,8 @@ from brackish.llm.texts import fresh, small_batches, widened
 # What a line is: dropped for where it stands, open to comparison, or a paragraph of the article.
 FURNITURE, OPEN, ARTICLE = 0, 1, 2
 
+SAME_PAGE = 0.8  # share of the open text from which two pages are versions of one
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<[/a-zA-Z][^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _URL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
@@ -208,13 +210,13 @@ def _traced(page: list[str], other: list[str], i0: int, i1: int, j0: int, j1: in
 def main_text(texts: list[str], kinds: list[int], other: list[str]) -> str:
     """Lines of the article and open lines that the other page does not share.
 
-    If the pages share more than half of the open text they are versions of one page, and
+    If the pages share nearly all of the open text they are versions of one page, and
     the comparison says nothing about what is furniture.
     """
     same = shared(texts, other)
     size = sum(len(t) for t, k in zip(texts, kinds, strict=True) if k == OPEN)
     gone = sum(len(texts[i]) for i in same if kinds[i] == OPEN)
-    if 2 * gone > size:
+    if gone > SAME_PAGE * size:
         same = set()
     return "\n\n".join(t for i, (t, k) in enumerate(zip(texts, kinds, strict=True)) if k == ARTICLE or k == OPEN and i not in same)
 
