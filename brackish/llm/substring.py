@@ -129,7 +129,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
                 flat = [np.concatenate(x) for x in (owners, starts)] + [np.concatenate(x).view(np.int64) for x in (anchors, marks)]
                 yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in flat), lists], ["doc_id", "start", "anchor", "mark", "hashes"])
 
-    found = cut_lineage(rows.mapInArrow(suspects, "doc_id long, start long, anchor long, mark long, hashes array<long>"))
+    # Read twice, once without the hashes: that costs less than keeping them on disk in between.
+    found = rows.mapInArrow(suspects, "doc_id long, start long, anchor long, mark long, hashes array<long>")
     paths = found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("mark").alias("one"), F.max("mark").alias("other"))
     # A new name for the key makes Spark deal both sides of the join, so that it can split a hot k-mer.
     paths = paths.where("low < high").select((-F.col("anchor")).alias("key"), "low", (F.col("one") != F.col("other")).alias("branches"))
