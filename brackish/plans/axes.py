@@ -238,7 +238,7 @@ def longitude_slice(spark, sf):
 @query(
     "resolution_choice",
     """
-    WITH a AS (SELECT DISTINCT p_brand, substr(p_type, 1, 1) AS tier FROM part WHERE p_size < 12)
+    WITH a AS (SELECT DISTINCT p_brand, substr(p_type, 1, 1) AS tier FROM part)
     SELECT p_brand, arg_min(tier, CASE tier WHEN 'S' THEN 1 WHEN 'M' THEN 2 WHEN 'L' THEN 3 WHEN 'E' THEN 4 WHEN 'P' THEN 5 ELSE 6 END) AS tier FROM a GROUP BY p_brand""",
 )
 def resolution_choice(spark, sf):
@@ -246,5 +246,5 @@ def resolution_choice(spark, sf):
     order = F.array(*map(F.lit, "SMLEP"))
     tier = F.substring("p_type", 1, 1)
     rank = F.array_position(order, tier)
-    a = table(spark, sf, "part").where("p_size < 12").select("p_brand", tier.alias("tier"), F.when(rank == 0, 6).otherwise(rank).alias("rank"))
+    a = table(spark, sf, "part").select("p_brand", tier.alias("tier"), F.when(rank == 0, 6).otherwise(rank).alias("rank"))
     return a.groupBy("p_brand").agg(F.min_by("tier", "rank").alias("tier"))

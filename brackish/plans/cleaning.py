@@ -237,11 +237,16 @@ _MASS = H.particle_mass_kg(0.5, 0.02, 0.02, 1380.0)
 
 @query(
     "particle_numbers",
-    f"""
+    """
+    WITH grid AS (
+        SELECT target, low * pow(high / low, i / 20000.0) AS x FROM (VALUES (0, 50.0::DOUBLE, 2000.0::DOUBLE), (1, 0.1, 100.0)) AS ranges(target, low, high), (SELECT unnest(generate_series(0, 20000)) AS i)),
+    density AS (SELECT target, x, 0.0016 * exp((1.42 - 3.02) * ln(x) + 3.02 * ln(15.0) - 3.02 * ln(1 + 15.0 / x) + 3.02) AS d FROM grid),
+    strips AS (SELECT target, (d + lag(d) OVER w) / 2 * (x - lag(x) OVER w) AS area FROM density WINDOW w AS (PARTITION BY target ORDER BY x)),
+    share AS (SELECT sum(area) FILTER (WHERE target = 1) / sum(area) FILTER (WHERE target = 0) AS factor FROM strips)
     SELECT p_partkey, round(0.0016 * exp((1.42 - 3.02) * ln(p_size) + 3.02 * ln(15.0) - 3.02 * ln(1 + 15.0 / p_size) + 3.02) * 1e6, 6) AS density_millionths,
       round(p_retailprice * 0.25 / 0.028316846592, 6) AS number_m3,
-      round(p_retailprice * 0.25 / 0.028316846592 * {_FACTOR!r} * {_MASS!r} * 1e6, 6) AS target_mg
-    FROM part""",
+      round(p_retailprice * 0.25 / 0.028316846592 * factor * (pi() / 6 * 0.5 * 0.02 * 0.02 * 1e-9 * 1380.0) * 1e6, 6) AS target_mg
+    FROM part, share""",
 )
 def particle_numbers(spark, sf):
     """Particle size density, number and mass concentration."""

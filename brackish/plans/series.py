@@ -351,21 +351,62 @@ def hourly(spark, sf, slices):
     return series.fill_line(grid.join(means, ["event_type", "t"], "left"), ["event_type"], "t", "v", "filled", slices).select("event_type", "t", F.col("filled").alias("v"))
 
 
-@query("psd_peaks")
+_HOURLY_SQL = """
+    m AS (SELECT event_type, date_trunc('hour', ts) AS t, avg(value) AS v FROM events GROUP BY ALL),
+    g AS (SELECT event_type, unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 HOUR)) AS t FROM (SELECT DISTINCT event_type FROM events)),
+    r AS (SELECT g.event_type, epoch(g.t) AS t, m.v, row_number() OVER (PARTITION BY g.event_type ORDER BY g.t) - 1 AS i FROM g LEFT JOIN m ON g.event_type = m.event_type AND g.t = m.t),
+    k AS (SELECT *, max(CASE WHEN v IS NOT NULL THEN i END) OVER (PARTITION BY event_type ORDER BY i) AS pi, min(CASE WHEN v IS NOT NULL THEN i END) OVER (PARTITION BY event_type ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ni FROM r),
+    f AS (SELECT k.event_type, k.i, CASE WHEN k.pi IS NULL THEN b.v WHEN k.ni IS NULL OR k.pi = k.ni THEN a.v ELSE a.v + (b.v - a.v) * (k.i - k.pi) / (k.ni - k.pi) END AS v
+        FROM k LEFT JOIN r a ON a.event_type = k.event_type AND a.i = k.pi LEFT JOIN r b ON b.event_type = k.event_type AND b.i = k.ni)"""
+
+
+@query(
+    "psd_peaks",
+    f"""
+    WITH {_HOURLY_SQL},
+    line AS (SELECT event_type, regr_slope(v, i) AS s, avg(i) AS mi, avg(v) AS mv FROM f WHERE v IS NOT NULL GROUP BY event_type),
+    d AS (SELECT f.event_type, f.i, f.v - (mv + s * (f.i - mi)) AS x FROM f JOIN line USING (event_type)),
+    seg AS (SELECT event_type, unnest([i // 128, i // 128 - 1]) AS seg, i, x FROM d),
+    whole AS (SELECT event_type, seg, i - 128 * seg AS n, x - avg(x) OVER (PARTITION BY event_type, seg) AS x, count(*) OVER (PARTITION BY event_type, seg) AS c FROM seg WHERE seg >= 0),
+    w AS (SELECT event_type, seg, n, x * (0.5 - 0.5 * cos(2 * pi() * n / 256)) AS x FROM whole WHERE c = 256),
+    dft AS (SELECT event_type, seg, bin, sum(x * cos(2 * pi() * bin * n / 256)) AS a, sum(x * sin(2 * pi() * bin * n / 256)) AS b FROM w, (SELECT unnest(generate_series(0, 128)) AS bin) GROUP BY ALL),
+    spectrum AS (SELECT event_type, bin, avg((a * a + b * b) * CASE WHEN bin IN (0, 128) THEN 1 ELSE 2 END) / 96 AS power FROM dft GROUP BY ALL),
+    band AS (SELECT *, bin / 256 AS f, CASE WHEN f > 1 / 34.0 AND f <= 1 / 4.0 THEN 'tidal' WHEN f > 1 / 2160.0 AND f <= 1 / 34.0 THEN 'subtidal' WHEN f > 0 AND f <= 1 / 2160.0 THEN 'very_low' END AS band FROM spectrum)
+    SELECT event_type, band, round(1 / arg_max(f, power), 6) AS period_hours, round(max(power), 6) AS power FROM band WHERE band IS NOT NULL GROUP BY ALL""",
+)
 def psd_peaks(spark, sf):
     """Strongest period per band of each hourly series (averaged periodogram)."""
     axis = table(spark, sf, "events").withColumnRenamed("ts", "t")  # an hourly axis holds fewer rows than its events
     slices = plan_slices(axis, "t")
     spectrum = spectra.power_spectrum(hourly(spark, sf, slices), ["event_type"], ["t"], "v", 1.0, 256, slices)
-    return spectra.band_peaks(spectrum, ["event_type"])
+    peaks = spectra.band_peaks(spectrum, ["event_type"])
+    return peaks.select("event_type", "band", F.round("period_hours", 6).alias("period_hours"), F.round("power", 6).alias("power"))
+
 
+_FITTED = ("M2", "S2", "K1", "O1")
+_BASIS_SQL = ", ".join(["1.0::DOUBLE"] + [f"{wave}(radians(h * {DEGREES_PER_HOUR[n]!r}))" for n in _FITTED for wave in ("cos", "sin")])
+_NORMAL_SQL = ", ".join("[" + ", ".join([f"sum(b[{p}] * b[{q}])" for q in range(1, 10)] + [f"sum(b[{p}] * value)"]) + "]" for p in range(1, 10))
 
-@query("harmonic_fit")
+
+@query(
+    "harmonic_fit",
+    f"""
+    WITH RECURSIVE basis AS (SELECT event_type, value, [{_BASIS_SQL}] AS b FROM (SELECT *, (epoch_us(ts) - 1704067200000000) / 3.6e9 AS h FROM events) WHERE value IS NOT NULL AND h IS NOT NULL),
+    start AS (SELECT event_type, count(*) AS rows, [{_NORMAL_SQL}] AS m FROM basis GROUP BY event_type),
+    reduced AS (
+        SELECT event_type, rows, 1 AS k, m FROM start
+        UNION ALL
+        SELECT event_type, rows, k + 1, list_transform(generate_series(1, 9), lambda i: CASE WHEN i = k THEN list_transform(m[k], lambda x: x / m[k][k])
+            ELSE list_transform(generate_series(1, 10), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END) FROM reduced WHERE k <= 9),
+    c AS (SELECT event_type, rows, m[1][10] AS mean, unnest({list(_FITTED)!r}) AS constituent, unnest([m[2][10], m[4][10], m[6][10], m[8][10]]) AS a, unnest([m[3][10], m[5][10], m[7][10], m[9][10]]) AS b FROM reduced WHERE k = 10)
+    SELECT event_type, rows, round(mean, 6) AS mean, constituent, round(sqrt(a * a + b * b), 6) AS amplitude, round((degrees(atan2(b, a)) + 360.0) % 360.0, 4) AS phase FROM c""",
+)
 def harmonic_fit(spark, sf):
     """Tidal constants fitted to every record, by sums and one small solve per series."""
     hours = (T.micros(F.col("ts")) - 1704067200000000) / 3.6e9
     e = table(spark, sf, "events").select("event_type", hours.alias("h"), "value")
-    return spectra.harmonic_fit(e, ["event_type"], "h", "value", {n: DEGREES_PER_HOUR[n] for n in ("M2", "S2", "K1", "O1")})
+    fitted = spectra.harmonic_fit(e, ["event_type"], "h", "value", {n: DEGREES_PER_HOUR[n] for n in _FITTED})
+    return fitted.select("event_type", "rows", F.round("mean", 6).alias("mean"), "constituent", F.round("amplitude", 6).alias("amplitude"), F.round("phase", 4).alias("phase"))
 
 
 @query(
@@ -382,7 +423,29 @@ def energetic_window(spark, sf):
     return spectra.energetic_centre(daily, ["event_type"], "day", "e", 5).select("event_type", F.round("energy", 4).alias("energy"), "centre")
 
 
-@query("repair_axes")
+def _repair_sql(rounds: int) -> str:
+    """The passes written out: along each axis a null takes the line between its known neighbours, or the only one."""
+    steps, last = [], "s0"
+    for n in range(rounds):
+        for keys, at, code in (("node, layer", "month", 1), ("node, month", "layer", 2), ("month, layer", "node", 3)):
+            new = f"s{n}_{code}"
+            steps.append(f"""{new} AS (
+        SELECT node, layer, month, CASE WHEN v IS NULL AND (p IS NOT NULL OR q IS NOT NULL) THEN {code} ELSE repair_code END AS repair_code,
+            CASE WHEN v IS NOT NULL THEN v WHEN p IS NULL THEN q[2] WHEN q IS NULL THEN p[2] ELSE p[2] + (q[2] - p[2]) * ({at} - p[1]) / (q[1] - p[1]) END AS v
+        FROM (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN [{at}::DOUBLE, v] END IGNORE NULLS) OVER (PARTITION BY {keys} ORDER BY {at}) AS p,
+            first_value(CASE WHEN v IS NOT NULL THEN [{at}::DOUBLE, v] END IGNORE NULLS) OVER (PARTITION BY {keys} ORDER BY {at} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS q FROM {last}))""")
+            last = new
+    return ",\n    ".join(steps) + f"\n    SELECT node, layer, month, round(v, 6) AS v, repair_code FROM {last}"
+
+
+@query(
+    "repair_axes",
+    f"""
+    WITH s0 AS (
+        SELECT node, layer, month, 0 AS repair_code, CASE WHEN NOT ((node * 7 + layer * 3 + month) % 5 < 2 OR (layer = 3 AND node % 4 = 1) OR node = 7) THEN v END AS v
+        FROM (SELECT l_suppkey % 20 AS node, l_linenumber AS layer, CAST(month(l_shipdate) AS INTEGER) AS month, avg(l_quantity) AS v FROM lineitem GROUP BY ALL)),
+    {_repair_sql(3)}""",
+)
 def repair_axes(spark, sf):
     """Missing values filled along time, then down the column, then along the chain, with a code."""
     li = table(spark, sf, "lineitem").select(
@@ -393,4 +456,4 @@ def repair_axes(spark, sf):
     gone = gone | ((F.col("layer") == 3) & (F.col("node") % 4 == 1)) | (F.col("node") == 7)
     gappy_ = cell.withColumn("v", F.when(~gone, F.col("v")))
     passes = [(["node", "layer"], "month", 1), (["node", "month"], "layer", 2), (["month", "layer"], "node", 3)]
-    return series.repair_axes(gappy_, "v", passes)
+    return series.repair_axes(gappy_, "v", passes).select("node", "layer", "month", F.round("v", 6).alias("v"), "repair_code")
