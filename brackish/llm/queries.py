@@ -44,7 +44,44 @@ def op1_language_id(spark, folder):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-@query("op2_decontam")
+def _tokens_sql(source: str, key: str) -> str:
+    """Tokens of a table's texts; placeholders stand in front of their values."""
+    text = "coalesce(text, '')"
+    for _ in range(2):
+        text = f"regexp_replace({text}, '([\\p{{Ll}}\\p{{N}},;\\x01] )(\\p{{Lu}}\\p{{Ll}}+)', '\\1' || chr(1) || '\\2', 'g')"
+    text = f"regexp_replace({text}, '(\\p{{N}}+(?:[.,]\\p{{N}}+)*)', ' ' || chr(2) || '\\1 ', 'g')"
+    text = f"regexp_replace({text}, '(\\x02[\\p{{N}}.,]*) +(%|(?:{'|'.join(decontam.UNITS)})\\b)', '\\1 ' || chr(3) || '\\2', 'g')"
+    between = r"(?:[^\p{L}\p{M}\p{N}\x01\x02\x03.,]|[.,]+(?:[^\p{N}]|$))+"
+    return f"SELECT {key}, list_filter(regexp_split_to_array({text}, '{between}'), lambda t: t <> '') AS tokens FROM {source} WHERE {key} IS NOT NULL"
+
+
+def _windows_sql(source: str, key: str, length: str) -> str:
+    return f"""
+        SELECT {key}, pos, array_to_string(list_transform(part, lambda t: CASE WHEN t[1] IN (chr(1), chr(2), chr(3)) THEN t[1] ELSE lower(t) END), ' ') AS form,
+               list_transform(list_filter(part, lambda t: t[1] IN (chr(1), chr(2), chr(3))), lambda t: substring(t, 2)) AS slots,
+               len(list_filter(part, lambda t: t[1] NOT IN (chr(1), chr(2), chr(3)))) AS literals
+        FROM (SELECT {key}, pos, list_slice(tokens, pos, pos + n - 1) AS part
+              FROM (SELECT {key}, tokens, n, unnest(generate_series(1, len(tokens) - n + 1)) AS pos FROM (SELECT *, {length} FROM {source})))"""
+
+
+@query(
+    "op2_decontam",
+    f"""
+    WITH docs AS ({_tokens_sql("documents", "doc_id")}), items AS ({_tokens_sql("benchmark", "item_id")}),
+    lengths AS (SELECT 8 AS n UNION SELECT len(tokens) FROM items WHERE len(tokens) BETWEEN 5 AND 7),
+    there AS (SELECT * FROM ({_windows_sql("items", "item_id", "least(len(tokens), 8) AS n")}) WHERE literals >= 5),
+    here AS (SELECT * FROM ({_windows_sql("docs", "doc_id", "unnest((SELECT list(n) FROM lengths)) AS n")}) WHERE literals >= 5),
+    sizes AS (SELECT item_id, count(*) AS item_windows FROM there GROUP BY item_id),
+    met AS (SELECT h.doc_id, t.item_id, h.pos - t.pos AS line, t.pos, list_zip(t.slots, h.slots) AS pairs FROM here h JOIN there t ON h.form = t.form),
+    aligned AS (SELECT doc_id, item_id, line, list(pos) AS spots, list_distinct(flatten(list(pairs))) AS pairs FROM met GROUP BY ALL),
+    found AS (
+        SELECT doc_id, item_id, CAST(len(list_distinct(flatten(list(spots)))) AS BIGINT) AS matched_windows,
+               CAST(max(len(list_filter(pairs, lambda p: p[1] <> p[2]))) AS BIGINT) AS changed_slots
+        FROM aligned WHERE len(pairs) = len(list_distinct(list_transform(pairs, lambda p: p[1]))) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, matched_windows, item_windows, changed_slots, changed_slots = 0 AS exact
+    FROM found JOIN sizes USING (item_id) WHERE matched_windows >= least(6, item_windows)
+    """,
+)
 def op2_decontam(spark, folder):
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
