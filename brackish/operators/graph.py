@@ -91,20 +91,31 @@ def path_order(arcs: DataFrame, arc: str, down: str) -> DataFrame:
     )
 
 
-def ring_order(arrows: DataFrame, a: str, b: str) -> DataFrame:
-    """(ring, position, node) of closed chains given as arrows a -> b, starting at the least node.
+def ring_order(arrows: DataFrame, a: str, b: str, turns: DataFrame | None = None) -> DataFrame:
+    """(ring, toward, position, node) of closed chains given as arrows a -> b.
 
-    Two rounds of pointer doubling: the least node of each ring, then the number
-    of steps from it.
+    A ring starts at its least node, ``ring``; ``toward`` is the node after it, which tells rings apart that
+    meet there.  ``turns`` (before, node, after) says how chains go on at nodes that are on
+    several; elsewhere a node has one arrow out.  Pointer doubling runs over arrows, not
+    nodes, twice: for the least arrow of each ring, then for the number of steps from it.
     """
-    state = cut_lineage(arrows.select(F.col(a).alias("u"), F.col(b).alias("jump"), F.least(F.col(a), F.col(b)).alias("low")))
+    pair = lambda p, q: F.struct(F.col(p).alias("p"), F.col(q).alias("q"))
+    one = arrows.select(pair(a, b).alias("u"), F.col(b).alias("end")).distinct()
+    out = one.select(F.col("u.p").alias("end"), F.col("u").alias("next"))
+    if turns is None:
+        linked = one.join(out, "end").select("u", "next")
+    else:
+        told = turns.select(pair("before", "node").alias("u"), pair("node", "after").alias("next"))
+        linked = one.join(told, "u", "left_anti").join(out, "end").select("u", "next").unionByName(told)
+    linked = cut_lineage(linked)
+    state = cut_lineage(linked.select("u", F.col("next").alias("jump"), F.least("u", "next").alias("low")))
     most, hops = max(state.count(), 1), 1
     while hops <= most:
         far = state.select(F.col("u").alias("jump"), F.col("jump").alias("next"), F.col("low").alias("low2"))
         state = cut_lineage(state.join(far, "jump").select("u", F.col("next").alias("jump"), F.least("low", "low2").alias("low")))
         hops *= 2
     ring = state.select("u", F.col("low").alias("ring"))
-    back = arrows.select(F.col(b).alias("u"), F.col(a).alias("prev")).join(ring, "u")
+    back = linked.select(F.col("next").alias("u"), F.col("u").alias("prev")).join(ring, "u")
     rank = cut_lineage(
         back.select("u", "ring", F.when(F.col("u") != F.col("ring"), F.col("prev")).alias("jump"),
                     F.when(F.col("u") != F.col("ring"), 1).otherwise(0).cast("long").alias("steps"))
@@ -116,4 +127,4 @@ def ring_order(arrows: DataFrame, a: str, b: str) -> DataFrame:
                 "u", "ring", F.col("next").alias("jump"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
             )
         )
-    return rank.select("ring", F.col("steps").alias("position"), F.col("u").alias("node"))
+    return rank.select(F.col("ring.p").alias("ring"), F.col("ring.q").alias("toward"), F.col("steps").alias("position"), F.col("u.p").alias("node"))

@@ -11,6 +11,7 @@ from brackish.operators.graph import components, hop_distance, ring_order
 from brackish.operators.metrics import same_keys
 from brackish.operators.ordered import Run, Slices, running
 from brackish.operators.quantiles import with_quantiles
+from brackish.session import cut_lineage
 
 
 def corners(triangles: DataFrame, nodes: DataFrame, carry: Sequence[str] = ("x", "y")) -> DataFrame:
@@ -233,12 +234,24 @@ def sponge(chain_edge_table: DataFrame, nodes: DataFrame, coefficient: float = 0
 
 
 def boundary_rings(triangles: DataFrame) -> DataFrame:
-    """Ordered boundary rings, walked in the direction of the triangles."""
+    """Ordered boundary rings, walked in the direction of the triangles.
+
+    A node may be on several rings (holes that touch).  There a ring goes on along the fan of triangles
+    that its arriving edge belongs to.
+    """
     arrow = lambda p, q: F.struct(F.col(p).alias("p"), F.col(q).alias("q"))
     arrows = triangles.select(F.inline(F.array(arrow("n1", "n2"), arrow("n2", "n3"), arrow("n3", "n1"))))
     outer = boundary_edges(edges(triangles)).select("a", "b")
     on = (F.least("p", "q") == F.col("a")) & (F.greatest("p", "q") == F.col("b"))
-    return ring_order(arrows.join(outer, on).select("p", "q"), "p", "q")
+    rim = cut_lineage(arrows.join(outer, on).select("p", "q"))
+    shared = rim.groupBy(F.col("p").alias("node")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("node")
+    corner = lambda n, r, s: F.struct(F.col(n).alias("node"), F.col(r).alias("r"), F.col(s).alias("s"))
+    corners = triangles.select(F.inline(F.array(corner("n1", "n2", "n3"), corner("n2", "n3", "n1"), corner("n3", "n1", "n2"))))
+    # The triangles at one node, each from its edge out to its edge in: following them crosses a fan.
+    fans = corners.join(shared, "node").groupBy("node").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("r", "s")))).alias("_next"))
+    leaving = rim.select(F.col("p").alias("node"), F.col("q").alias("after")).join(fans, "node")
+    crossed = F.aggregate(F.map_keys("_next"), F.col("after"), lambda at, _: F.coalesce(F.try_element_at(F.col("_next"), at), at))
+    return ring_order(rim, "p", "q", leaving.select(crossed.alias("before"), "node", "after"))
 
 
 def thin_clusters(geometry: DataFrame, triangles: DataFrame, quality: float = 0.1, angle: float = 5.0) -> DataFrame:

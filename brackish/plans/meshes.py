@@ -198,7 +198,7 @@ def path_order(spark, sf):
 )
 def boundary_rings(spark, sf):
     """Ordered boundary rings of the mesh."""
-    return mesh.boundary_rings(triangles(spark, sf))
+    return mesh.boundary_rings(triangles(spark, sf)).select("ring", "position", "node")
 
 
 @query(

@@ -232,3 +232,26 @@ def test_equal_points_and_far_coordinates_in_boxes(spark):
     args = ("x", "y", "w", "s", "e", "n")
     assert joins.points_in_boxes(pts, box, *args, how="left_semi").count() == 2
     assert joins.points_in_boxes(pts, box, *args).count() == 2
+
+
+def test_rings_that_meet_at_a_node(spark):
+    """Two triangles that share one corner have two rings of three, not one of six."""
+    two = spark.createDataFrame([(1, 1, 2, 3), (2, 1, 4, 5)], "tri long, n1 long, n2 long, n3 long")
+    rings = {}
+    for r in mesh.boundary_rings(two).collect():
+        rings.setdefault((r.ring, r.toward), {})[r.position] = r.node
+    assert rings == {(1, 2): {0: 1, 1: 2, 2: 3}, (1, 4): {0: 1, 1: 4, 2: 5}}
+
+
+def test_rings_of_holes_that_touch(spark):
+    """A 4 x 4 sheet with two diagonal cells cut out: an outer ring and two holes that share a corner."""
+    node = lambda i, j: 5 * j + i
+    cells = [(i, j) for i in range(4) for j in range(4) if (i, j) not in ((1, 1), (2, 2))]
+    tris = [(2 * n + k, *corners) for n, (i, j) in enumerate(cells) for k, corners in enumerate(
+        [(node(i, j), node(i + 1, j), node(i + 1, j + 1)), (node(i, j), node(i + 1, j + 1), node(i, j + 1))])]
+    df = spark.createDataFrame(tris, "tri long, n1 long, n2 long, n3 long")
+    rings = {}
+    for r in mesh.boundary_rings(df).collect():
+        rings.setdefault((r.ring, r.toward), []).append(r.node)
+    assert sorted(map(len, rings.values())) in ([4, 4, 16], [8, 16]) and sum(map(len, rings.values())) == 24
+    assert sorted(n for ring in rings.values() for n in ring).count(node(2, 2)) == 2
