@@ -109,7 +109,8 @@ def station_spacing(spark, sf):
 def tile_coverage(spark, sf):
     """Distinct points that each kind of tile covers."""
     pts = lonlat(spark, sf).select("o_orderkey", "lon", "lat")
-    hit = joins.points_in_boxes(pts, tiles(spark, sf).select("p_type", "west", "south", "east", "north"), "lon", "lat", "west", "south", "east", "north")
+    boxes = tiles(spark, sf).select("p_type", "west", "south", "east", "north").distinct()
+    hit = joins.points_in_boxes(pts, boxes, "lon", "lat", "west", "south", "east", "north")
     return hit.groupBy("p_type").agg(F.count_distinct("o_orderkey").alias("covered"))
 
 
@@ -121,8 +122,11 @@ def tile_coverage(spark, sf):
 def busiest_tiles(spark, sf):
     """The tiles that cover most points."""
     t = tiles(spark, sf).select("tile", "west", "south", "east", "north")
-    hit = joins.points_in_boxes(lonlat(spark, sf).select("o_orderkey", "lon", "lat"), t, "lon", "lat", "west", "south", "east", "north")
-    counts = t.select("tile").join(hit.groupBy("tile").agg(F.count(F.lit(1)).alias("n")), "tile", "left")
+    # Points at one place and tiles on one box are counted once and told to all of them.
+    box = ["west", "south", "east", "north"]
+    spots = lonlat(spark, sf).groupBy("lon", "lat").agg(F.count(F.lit(1)).alias("here"))
+    hit = joins.points_in_boxes(spots, t.select(*box).distinct(), "lon", "lat", *box)
+    counts = t.join(hit.groupBy(*box).agg(F.sum("here").alias("n")), box, "left")
     return counts.select("tile", F.coalesce("n", F.lit(0)).alias("n")).orderBy(F.desc("n"), "tile").limit(40)
 
 
@@ -170,7 +174,9 @@ def triangles(spark, sf):
 def point_in_triangle(spark, sf):
     """Points kept where a mesh covers them, with the lowest element."""
     pts = lonlat(spark, sf).select("o_orderkey", "lon", "lat")
-    hit = joins.locate_in_triangles(pts, triangles(spark, sf), "o_orderkey", "lon", "lat", "tri", [("ax", "ay"), ("bx", "by"), ("cx", "cy")])
+    corners = ["ax", "ay", "bx", "by", "cx", "cy"]
+    each = triangles(spark, sf).groupBy(*corners).agg(F.min("tri").alias("tri"))  # of equal triangles only the first can be found
+    hit = joins.locate_in_triangles(pts, each, "o_orderkey", "lon", "lat", "tri", [("ax", "ay"), ("bx", "by"), ("cx", "cy")])
     return hit.select("o_orderkey", "tri")
 
 

@@ -9,7 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.operators.quality import latest_per_key
 from brackish.session import ensure_checkpoint_dir
 
 
@@ -87,37 +86,30 @@ def drain(stream: DataFrame, target: str | None = None) -> DataFrame:
 def drain_latest(stream: DataFrame, keys: Sequence[str], time: Sequence[str], fields: Sequence[str], target: str | None = None) -> DataFrame:
     """Status table: per key the last non-null value of every field over all batches.
 
-    Each batch reduces itself, merges with the version before and writes the next
-    version under its batch number, so a repeated batch overwrites its own output.
+    A batch writes one row for each key that it holds, with the last value of every field and its time, under its
+    batch number, so a repeated batch overwrites its own output and the state is never
+    rewritten.  Reading takes the latest of these per field; a late record is placed by its time.
     """
     spark = stream.sparkSession
     data, progress = _folders(spark, target)
-    def merge(batch: DataFrame, number: int) -> None:
-        boxed = batch.select(*keys, *time, *fields)
-        older = _newest(batch.sparkSession, data, number)
-        if older is not None:
-            boxed = boxed.unionByName(older.select(*keys, *time, *fields))
-        position = F.struct(*time)
-        latest = latest_per_key(boxed, keys, time, fields)
-        when = boxed.groupBy(*keys).agg(*[F.max_by(t, position).alias(t) for t in time])
-        latest.join(when, list(keys)).write.mode("overwrite").parquet(f"{data}/version={number}")
+
+    def latest(df: DataFrame, stamped) -> DataFrame:
+        return df.groupBy(*keys).agg(*[F.max(stamped(f)).alias(f) for f in fields])
+
+    def write(batch: DataFrame, number: int) -> None:
+        stamp = lambda f: F.when(F.col(f).isNotNull(), F.struct(*[F.col(t).alias(f"_t{i}") for i, t in enumerate(time)], F.col(f).alias("_v")))
+        latest(batch, stamp).write.mode("overwrite").parquet(f"{data}/version={number}")
 
     query = (
-        stream.writeStream.foreachBatch(merge).option("checkpointLocation", progress).trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return _newest(spark, data).select(*keys, *fields)
-
-
-def _newest(spark: SparkSession, data: str, below: int | None = None) -> DataFrame | None:
-    """The newest version written (before a given one); only partition names are read to find it."""
     try:
         versions = spark.read.parquet(data)
-    except AnalysisException:  # nothing written yet
-        return None
-    names = versions.select("version").distinct()
-    number = (names if below is None else names.where(F.col("version") < below)).agg(F.max("version")).first()[0]
-    return None if number is None else versions.where(F.col("version") == number)
+    except AnalysisException:  # no batch has come
+        types = dict(stream.dtypes)
+        return spark.createDataFrame([], ", ".join(f"`{c}` {types[c]}" for c in (*keys, *fields)))
+    return latest(versions, F.col).select(*keys, *[F.col(f)["_v"].alias(f) for f in fields])
 
 
 def command_queue(
