@@ -32,30 +32,30 @@ def positions(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 class Pair:
-    """The two filters of one task, a byte per bit while they are built."""
+    """The two filters of one task, two flags in a byte for each bit while they are built."""
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.once = np.zeros(bits, bool)
-        self.twice = np.zeros(bits, bool)
+        self.seen = np.zeros(bits, np.uint8)
 
     def add(self, hashes: np.ndarray) -> None:
         values, counts = np.unique(hashes, return_counts=True)
         at = positions(values, self.bits)
         again = counts > 1
-        again |= np.logical_and.reduce([self.once[p] for p in at])
+        again |= np.logical_and.reduce([self.seen[p] > 0 for p in at])
         for p in at:
-            self.once[p] = True
-            self.twice[p[again]] = True
+            self.seen[p] |= 1
+        for p in at:
+            self.seen[p[again]] |= 2
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        once, twice = np.packbits(self.once), np.packbits(self.twice)
         parts, first, second = [], [], []
-        for i in range(0, len(once), SEGMENT):
-            if once[i : i + SEGMENT].any():
-                parts.append(i // SEGMENT)
-                first.append(once[i : i + SEGMENT].tobytes())
-                second.append(twice[i : i + SEGMENT].tobytes())
+        for part in range(self.bits // (8 * SEGMENT)):
+            seen = self.seen[8 * SEGMENT * part : 8 * SEGMENT * (part + 1)]
+            if seen.any():
+                parts.append(part)
+                first.append(np.packbits(seen & 1).tobytes())
+                second.append(np.packbits(seen & 2).tobytes())
             if len(parts) == 512:
                 yield _batch(parts, first, second)
                 parts, first, second = [], [], []
