@@ -38,4 +38,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from brackish.plans import axes, cleaning, evaluation, grids, meshes, selection, series, spatial, streams  # noqa: F401
+    from brackish.plans import axes, cleaning, evaluation, grids, meshes, readers, selection, series, spatial, streams  # noqa: F401

@@ -24,9 +24,9 @@ def with_model_times(df: DataFrame, time: str) -> DataFrame:
 
 
 def write_forcing(df: DataFrame, path: str, time: str, partition: str = "day") -> None:
-    """Forcing rows by day; one shuffle on the day keeps files few and prunable."""
+    """Forcing rows by day; the shuffle that keeps files few and prunable splits a day too large for a task."""
     dated = with_model_times(df, time).withColumn(partition, F.to_date(time))
-    dated.repartition(F.col(partition)).write.mode("overwrite").partitionBy(partition).parquet(path)
+    dated.hint("rebalance", F.col(partition)).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def write_packages(df: DataFrame, path: str) -> None:

@@ -14,7 +14,11 @@ from brackish.sources.tables import require_columns
 
 def profile_index(spark: SparkSession, path: str, product: str) -> DataFrame:
     """Profile index: all text, ``#`` comments, bad rows dropped, path parts derived."""
-    raw = spark.read.option("header", True).option("comment", "#").csv(path)
+    return profile_rows(spark.read.option("header", True).option("comment", "#").csv(path), product)
+
+
+def profile_rows(raw: DataFrame, product: str) -> DataFrame:
+    """Typed rows of an index whose columns are all text."""
     require_columns(raw, ["file", "date", "latitude", "longitude", "date_update"], product)
     for extra in ("parameters", "parameter_data_mode"):
         if extra not in raw.columns:
@@ -42,10 +46,14 @@ def rdb(spark: SparkSession, path: str) -> DataFrame:
 
 def observed_discharge(spark: SparkSession, path: str, code: str = "00060") -> DataFrame:
     """(site_no, date, cfs, m3s) from the first daily-mean column of the parameter code."""
-    raw = rdb(spark, path)
+    return discharge_rows(rdb(spark, path), code)
+
+
+def discharge_rows(raw: DataFrame, code: str = "00060") -> DataFrame:
+    """The same from a table whose columns are all text."""
     value = next((c for c in raw.columns if c.endswith(f"_{code}_00003")), None)
     if value is None:
-        return spark.createDataFrame([], "site_no string, date date, obs_q_cfs double, obs_q_m3s double")
+        return raw.sparkSession.createDataFrame([], "site_no string, date date, obs_q_cfs double, obs_q_m3s double")
     q = try_number(F.col(value))
     return raw.select(
         "site_no", F.col("datetime").try_cast("date").alias("date"), q.alias("obs_q_cfs"),
@@ -66,18 +74,29 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text")).where(F.trim("text") != "")
 
 
+def split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, text), read in parts; ``line`` orders the lines of a file but does not count them."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), at.alias("line"), F.col("value").alias("text")).where(F.trim("text") != "")
+
+
 def _tokens(df: DataFrame) -> DataFrame:
     return df.withColumn("t", F.split(F.trim("text"), r"\s+"))
 
 
 def mesh_2dm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(nodes, elements, nodestrings) of tagged mesh text.
+    """(nodes, elements, nodestrings) of tagged mesh text; large files are read in parts."""
+    return mesh_rows(split_lines(spark, path))
+
+
+def mesh_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, elements, nodestrings) of the lines (file, line, text) of tagged mesh text.
 
     Quadrilaterals appear as two triangles' worth of corners in ``n4``.  A node
     string may run over several lines and ends at a negative node, optionally
     followed by its id.
     """
-    tagged = _tokens(lines(spark, path)).withColumn("tag", F.upper(F.col("t")[0]))
+    tagged = _tokens(rows).withColumn("tag", F.upper(F.col("t")[0]))
     number = lambda i, kind: F.try_element_at("t", F.lit(i + 1)).try_cast(kind)
     nodes = tagged.where("tag = 'ND'").select(
         "file", number(1, "long").alias("node"), number(2, "double").alias("x"), number(3, "double").alias("y"), number(4, "double").alias("depth")
@@ -133,9 +152,14 @@ def node_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def namelist(spark: SparkSession, path: str) -> DataFrame:
-    """(file, key, value) of ``KEY = value`` settings; text after ``!`` is a comment."""
+    """(file, line, key, value) of the settings of files."""
+    return settings(lines(spark, path))
+
+
+def settings(rows: DataFrame) -> DataFrame:
+    """(file, line, key, value) of lines ``KEY = value``; text after ``!`` is a comment."""
     bare = F.trim(F.split("text", "!")[0])
-    rows = lines(spark, path).withColumn("s", bare).where(F.contains("s", F.lit("=")))
+    rows = rows.withColumn("s", bare).where(F.contains("s", F.lit("=")))
     value = F.trim(F.regexp_replace(F.trim(F.substring_index("s", "=", -1)), r",$", ""))
     return rows.select(
         "file", "line", F.upper(F.trim(F.substring_index("s", "=", 1))).alias("key"),
