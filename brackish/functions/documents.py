@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,28 @@ def first_present(json: Column, paths: Sequence[str]) -> Column:
     return F.coalesce(*[F.get_json_object(json, p) for p in paths])
 
 
+def leaves(df: DataFrame, keys: Sequence[str], json: str) -> DataFrame:
+    """(keys, path, value) of every scalar in documents of any depth; parts of a path are joined by dots.
+
+    Objects and arrays are opened one level a round, until none is left, so the rounds are the
+    deepest nesting.  Text that is not JSON, and empty objects and arrays, have no leaves.
+    """
+    open_ = df.select(*keys, F.lit("").alias("path"), F.try_parse_json(json).alias("_v")).where("_v is not null")
+    found = None
+    while True:
+        kinds = open_.withColumn("_kind", F.schema_of_variant("_v"))
+        nested = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
+        flat = kinds.where(~nested).select(*keys, "path", F.try_variant_get("_v", "$", "string").alias("value"))
+        found = flat if found is None else found.unionByName(flat)
+        deeper = kinds.where(nested)
+        if deeper.isEmpty():
+            return found
+        parts = deeper.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()).select("pos", "key", F.col("value").alias("_part")))
+        name = F.coalesce("key", F.col("pos").cast("string"))
+        path = F.when(F.col("path") == "", name).otherwise(F.concat_ws(".", "path", name))
+        open_ = parts.select(*keys, path.alias("path"), F.col("_part").alias("_v"))
+
+
 # Scale of each size unit.
 SIZE_SCALE = {"bytes": 1.0, "mb": 1024.0**2, "gb": 1024.0**3}
 

@@ -187,6 +187,19 @@ def inverse_distance(
     )
 
 
+def nearest_known(
+    points: DataFrame, sources: DataFrame, point_id: str, source_id: str, value: str, xy: tuple[str, str] = ("x", "y"), limit: float | None = None
+) -> DataFrame:
+    """Value of the nearest source that has one (not null, not NaN): (point_id, source_id, distance, value).
+
+    With a ``limit`` a point that is farther than it from all known sources stops the job.
+    """
+    known = sources.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    found = k_nearest(points, known, point_id, source_id, xy)
+    found = found if limit is None else refuse_far(found, limit)
+    return found.select(point_id, source_id, "distance").join(known.select(source_id, value), source_id).select(point_id, source_id, "distance", value)
+
+
 def refuse_far(neighbours: DataFrame, limit: float) -> DataFrame:
     """Stop the job where a point's nearest source is beyond the limit."""
     far = (F.col("rank") == 1) & (F.col("distance") > limit)

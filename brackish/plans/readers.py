@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brackish.functions import geo
+from brackish.functions import documents, geo
 from brackish.plans.registry import query
 from brackish.sinks import writers
 from brackish.sources import text
@@ -136,3 +136,18 @@ def crossing_segments(spark, sf):
     a, b = (of("l_partkey", 10), of("l_suppkey", 10)), (of("l_partkey", 7), F.col("l_quantity").cast("double"))
     c, d = (of("l_suppkey", 6), F.col("l_linenumber").cast("double")), (of("l_partkey", 13), of("l_suppkey", 12))
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", geo.segments_cross(a, b, c, d).alias("crosses"))
+
+
+@query(
+    "document_leaves",
+    """
+    SELECT o_orderkey, unnest(['id', 'who.name', 'who.tags.0', 'who.tags.1', 'list.0.v', 'list.1.v']) AS path,
+      unnest([CAST(o_orderkey AS VARCHAR), 'c' || o_custkey, 'a', CAST(o_custkey % 5 AS VARCHAR), CAST(o_orderkey % 7 AS VARCHAR), 'true']) AS value
+    FROM orders WHERE o_orderkey % 9 <> 0""",
+)
+def document_leaves(spark, sf):
+    """Every scalar of nested documents with its path; text that is no document has none."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    whole = F.format_string('{"id": %d, "who": {"name": "c%d", "tags": ["a", %d], "none": {}}, "list": [{"v": %d}, {"v": true}]}', k, c, c % 5, k % 7)
+    docs = table(spark, sf, "orders").select("o_orderkey", F.when(k % 9 == 0, "{broken").otherwise(whole).alias("doc"))
+    return documents.leaves(docs, ["o_orderkey"], "doc")

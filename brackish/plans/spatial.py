@@ -79,6 +79,21 @@ def knn_stations(spark, sf):
     return four_nearest(spark, sf).select("id", "station", F.round("distance", 6).alias("distance"), "rank")
 
 
+@query(
+    "nearest_known",
+    f"""
+    SELECT id, station, round(distance, 6) AS distance, v FROM (
+      SELECT t.id, s.id AS station, sqrt((s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y)) AS distance, k.s_acctbal AS v, row_number() OVER (PARTITION BY t.id ORDER BY sqrt((s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y)), s.id) AS rank
+      FROM ({_TARGETS_SQL}) t, ({_STATIONS_SQL}) s JOIN supplier k ON k.s_suppkey = s.id WHERE s.id % 3 <> 1) WHERE rank = 1""",
+)
+def nearest_known(spark, sf):
+    """Value of the nearest station that has one, within a limit."""
+    k = F.col("s_suppkey")
+    values = table(spark, sf, "supplier").select(k.alias("station"), F.when(k % 3 == 0, F.col("s_acctbal")).when(k % 3 == 1, F.lit(float("nan"))).otherwise(F.col("s_acctbal")).alias("v"))
+    s = stations(spark, sf).withColumnRenamed("id", "station").join(values, "station")
+    return nearest.nearest_known(targets(spark, sf), s, "id", "station", "v", limit=2000.0).withColumn("distance", F.round("distance", 6)).select("id", "station", "distance", "v")
+
+
 @query(
     "idw_stations",
     f"""
