@@ -6,8 +6,10 @@ import html
 import re
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from brackish.llm.texts import fresh, small_batches, widened
 
@@ -263,22 +265,33 @@ def extract(pages: DataFrame) -> DataFrame:
     near = by_folder.join(by_host, "host")
     # Hashed keys are dealt anew on both sides of the join, so that Spark can split a large host.
     near = near.select(F.xxhash64("host", "folder").alias(key), F.col("host").alias("h"), F.col("folder").alias("f"), "first", "last", "low", "high", "host_first", "host_last", "host_low")
-    rows = pages.select("*", host.alias(whole), parent.alias(folder), F.xxhash64(host, parent).alias(key), path.alias(fresh(pages, "__path")))
+
+    def squeeze(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for part in small_batches(batches, "html", 1 << 22):
+            packed = [None if page is None else pack(page) for page in part.column("html").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in part.schema.names if n != "html"), pa.array(packed, pa.binary())], [*(n for n in part.schema.names if n != "html"), html_])
+
+    # The pages travel compressed: they are the bulk of what the join shuffles.
+    html_ = fresh(pages, "__html")
+    kept = StructType([*[f for f in pages.schema.fields if f.name != "html"], StructField(html_, BinaryType())])
+    rows = pages.mapInArrow(squeeze, kept).select("*", host.alias(whole), parent.alias(folder), F.xxhash64(host, parent).alias(key), path.alias(fresh(pages, "__path")))
     mine = F.struct(F.col(fresh(pages, "__path")).alias("path"), F.col("page_id"))
     other = (
         F.when(F.col("low") == F.col("high"), F.when(F.col("host_low") == mine, F.col("host_last")).otherwise(F.col("host_first")))
         .when(F.col("low") == mine, F.col("last")).otherwise(F.col("first"))
     )
     met = rows.join(near, key).where((F.col("h") == F.col(whole)) & (F.col("f") == F.col(folder)))
-    ready = met.select(*names, other.alias(texts))
+    ready = met.select(*[n for n in names if n != "html"], html_, other.alias(texts))
 
     def finish(batches):
-        for part in small_batches(batches, "html", 1 << 22):
-            found = []
-            for page, beside in zip(part.column("html").to_pylist(), part.column(texts).to_pylist(), strict=True):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for part in small_batches(batches, html_, 1 << 20):
+            found, whole_pages = [], [None if page is None else unpack(page).decode("utf-8", "replace") for page in part.column(html_).to_pylist()]
+            for page, beside in zip(whole_pages, part.column(texts).to_pylist(), strict=True):
                 own = lines(page or "")
                 found.append(main_text([t for t, _ in own], [k for _, k in own], beside or []))
-            columns = [part.column(n) for n in names] + [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
+            columns = [pa.array(whole_pages, pa.string()) if n == "html" else part.column(n) for n in names] + [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "text", "n_chars"])
 
     return ready.mapInArrow(finish, widened(pages, "text string, n_chars long"))
