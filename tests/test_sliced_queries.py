@@ -12,6 +12,8 @@ NAMES = [
     "gaps_islands", "gap_fill_first_n", "fill_line", "resample_linear", "interpolate_guarded", "asof_join", "gap_guard",
     "block_mean", "running_flux", "every_nth", "consecutive_chunks", "minimal_lon_interval", "nearest_on_axis",
     "anomaly_stats", "nearest_rank_p95", "cumulative_storage", "gradation_ring", "covering_intervals", "time_chunks",
+    "evenly_spaced", "regular_axis", "running_distance", "time_health", "psd_peaks", "energetic_window", "repair_axes",
+    "axis_regularity", "ring_areas",
 ]
 
 
