@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -90,7 +91,9 @@ def k_nearest(
     place = sources.select(F.col(source_id).alias("_sid"), F.col(x).cast("double").alias("_sx"), F.col(y).cast("double").alias("_sy"))
     place = place.where("_sx is not null and _sy is not null")
     shares = F.array(*[F.lit(i / _KNOTS) for i in range(_KNOTS + 1)])
-    xs, ys = place.agg(F.percentile_approx("_sx", shares, 100 * _KNOTS), F.percentile_approx("_sy", shares, 100 * _KNOTS)).first()
+    xs, ys, rows = place.agg(
+        F.percentile_approx("_sx", shares, 100 * _KNOTS), F.percentile_approx("_sy", shares, 100 * _KNOTS), F.count(F.lit(1))
+    ).first()
     # More than k sources on one spot can never all be needed.
     spot_rank = F.row_number().over(W.partitionBy("_sx", "_sy").orderBy("_sid"))
     place = place.withColumn("_spot", spot_rank).where(F.col("_spot") <= k).drop("_spot")
@@ -108,10 +111,11 @@ def k_nearest(
         cells = float(_SPLIT**depth)
         return F.struct(F.floor(F.col("_ux") * cells).cast("long").alias("i"), F.floor(F.col("_uy") * cells).cast("long").alias("j"))
 
-    # The fullest cell of every depth, from one job.
-    each = F.array(*[F.struct(F.lit(d).alias("d"), cell_at(d).alias("c")) for d in range(1, _DEEPEST + 1)])
+    # The fullest cell of every depth, from one job; beyond the depth that gives each source a cell little is gained.
+    deepest = min(_DEEPEST, int(math.log(max(rows, 1), _SPLIT)) + 3)
+    each = F.array(*[F.struct(F.lit(d).alias("d"), cell_at(d).alias("c")) for d in range(1, deepest + 1)])
     fullest = place.select(F.inline(each)).groupBy("d", "c").count().groupBy("d").agg(F.max("count").alias("n"))
-    depth = min([r["d"] for r in fullest.where(F.col("n") <= leaf_rows).collect()], default=_DEEPEST)
+    depth = min([r["d"] for r in fullest.where(F.col("n") <= leaf_rows).collect()], default=deepest)
 
     px, py = F.col("_px"), F.col("_py")
     candidates = wanted
