@@ -20,29 +20,34 @@ NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 _NAMED = r"([\p{Ll}\p{N},;\x01] )(\p{Lu}\p{Ll}+)"  # a capitalised word that does not begin a sentence
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
 _UNIT = r"(\x02[\p{N}.,]*) +(%|(?:" + "|".join(UNITS) + r")\b)"
-_BETWEEN = r"[^\p{L}\p{M}\x01\x02\x03]+"
-_BETWEEN_VALUES = r"(?:[^\p{L}\p{M}\p{N}\x01\x02\x03.,]|[.,]+(?:[^\p{N}]|$))+"
+_BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01\x02\x03.,]|[.,]+(?:[^\p{N}]|$))+"
 
 
-def _marked(text: Column, values: bool) -> Column:
-    """Placeholders in the text, each followed by its value if ``values``."""
-    keep = (lambda mark, group: f"{mark}${group}") if values else (lambda mark, group: mark)
+def _marked(text: Column) -> Column:
+    """Placeholders in the text, each followed by its value."""
     for _ in range(2):  # the second pass reaches names that follow a name
-        text = F.regexp_replace(text, _NAMED, "$1" + keep(NAME, 2))
-    counted = F.regexp_replace(text, _NUMBER, f" {keep(NUMBER, 1)} ")
-    counted = F.regexp_replace(counted, _UNIT, "$1 " + keep(UNIT, 2))
+        text = F.regexp_replace(text, _NAMED, f"$1{NAME}$2")
+    counted = F.regexp_replace(text, _NUMBER, f" {NUMBER}$1 ")
+    counted = F.regexp_replace(counted, _UNIT, f"$1 {UNIT}$2")
     return F.when(text.rlike(r"\p{N}"), counted).otherwise(text)
 
 
-def template(text: Column) -> Column:
-    """The canonical tokens of a text: lower-case words and bare placeholders."""
-    marked = F.lower(_marked(F.coalesce(text, F.lit("")), values=False))
-    return F.array_remove(F.split(marked, _BETWEEN), "")
+def valued(text: Column) -> Column:
+    """The tokens of a text, with the values of the placeholders behind their marks."""
+    return F.array_remove(F.split(_marked(F.coalesce(text, F.lit(""))), _BETWEEN), "")
 
 
-def valued(text: Column) -> Column:
-    """The same tokens with the values of the placeholders behind their marks."""
-    return F.array_remove(F.split(_marked(F.coalesce(text, F.lit("")), values=True), _BETWEEN_VALUES), "")
+def _is_slot(token: Column) -> Column:
+    return F.substring(token, 1, 1).isin(NAME, NUMBER, UNIT)
+
+
+def _bare(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(F.lower(t)))
+
+
+def template(text: Column) -> Column:
+    """The canonical tokens of a text: lower-case words and bare placeholders, cut as ``valued`` cuts them."""
+    return _bare(valued(text))
 
 
 def _spots(tokens: Column, length: int) -> Column:
@@ -65,18 +70,13 @@ def _hashes(tokens: Column, lengths: list[int]) -> Column:
     return _each_length(tokens, lengths, lambda i, n: F.xxhash64(F.slice(tokens, i, n)))
 
 
-def _is_slot(token: Column) -> Column:
-    return F.substring(token, 1, 1).isin(NAME, NUMBER, UNIT)
-
-
 def _forms(tokens: Column, lengths: list[int]) -> Column:
     """Windows of valued tokens as structs: position, template text, values of the slots."""
 
     def one(i: Column, n: int) -> Column:
         window = F.slice(tokens, i, n)
-        plain = F.transform(window, lambda t: F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(F.lower(t)))
         return F.struct(
-            i.alias("at"), F.array_join(plain, " ").alias("form"),
+            i.alias("at"), F.array_join(_bare(window), " ").alias("form"),
             F.transform(F.filter(window, _is_slot), lambda t: F.substring(t, 2, 1 << 30)).alias("slots"),
             F.size(F.filter(window, lambda t: ~_is_slot(t))).alias("literals"),
         )

@@ -1,5 +1,6 @@
 """Language identification, decontamination and the two classifiers."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from brackish.llm import decontam, labels, langid, pages, quality, queries, toxicity
 from brackish.llm.texts import fold
 from tests.llm import brute
+from tests.oracle import compare
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -170,3 +172,18 @@ def test_pages_beside_each_other(spark):
     assert by[9].startswith("Welcome") and by[20] == by[21] and "Story 20" in by[20]
     assert all(n == len(t) for _, t, n in texts)
     assert pages.extract(df.limit(0)).count() == 0
+
+
+def test_items_with_letters_behind_dots(spark, tmp_path):
+    """A letter behind a dot or a comma is cut alike before and after the first pass, and as in SQL."""
+    words = "we ask which of the given seven options holds at noon in every large town near here"
+    items = [(n, words.replace("options", w) + f" part{'abcde'[n]}") for n, w in enumerate(["e.g. options", "U.S. options", "np.sum", "yes,no", "nine a.m. options"])]
+    texts = [(n, f"Before it. {t}. And after it.") for n, t in items] + [(9, "Nothing of it. " * 20)]
+    for name, key, rows in (("documents", "doc_id", texts), ("benchmark", "item_id", items)):
+        spark.createDataFrame(rows, f"{key} long, text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    got = queries.QUERIES["op2_decontam"](spark, str(tmp_path))
+    assert {(n, n) for n, _ in items} <= {(r.doc_id, r.item_id) for r in got.collect()}
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert compare(got.toArrow(), con.execute(queries.ORACLES["op2_decontam"]).to_arrow_table()) == []
