@@ -45,9 +45,9 @@ def _bare(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(F.lower(t)))
 
 
-def template(text: Column) -> Column:
-    """The canonical tokens of a text: lower-case words and bare placeholders, cut as ``valued`` cuts them."""
-    return _bare(valued(text))
+def plain(text: Column) -> Column:
+    """Lower-case words and numbers of a text, none of them a placeholder."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), "")
 
 
 def _spots(tokens: Column, length: int) -> Column:
@@ -78,7 +78,7 @@ def _forms(tokens: Column, lengths: list[int]) -> Column:
         return F.struct(
             i.alias("at"), F.array_join(_bare(window), " ").alias("form"),
             F.transform(F.filter(window, _is_slot), lambda t: F.substring(t, 2, 1 << 30)).alias("slots"),
-            F.size(F.filter(window, lambda t: ~_is_slot(t))).alias("literals"),
+            F.size(F.filter(window, lambda t: ~_is_slot(t) & ~t.rlike(r"^\p{N}"))).alias("literals"),
         )
 
     return _each_length(tokens, lengths, one)
@@ -101,7 +101,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     All hash windows of all documents meet the item windows, which are broadcast up to a
     checked count and joined by shuffle beyond it; only documents with enough hits are read again, exactly.
     """
-    items = benchmark.where("item_id is not null").select("item_id", valued(F.col("text")).alias("tokens"))
+    return _found(docs, benchmark, valued)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, cut, first_as_name: bool = False) -> DataFrame:
+    """``contaminated`` over the tokens that ``cut`` makes of a text; the first token of an item may be read as a name too."""
+    items = benchmark.where("item_id is not null").select("item_id", cut(F.col("text")).alias("tokens"))
     short = [r[0] for r in items.where(F.size("tokens").between(LITERALS, WINDOW - 1)).select(F.size("tokens")).distinct().collect()]
     own = items.withColumn("length", F.least(F.size("tokens"), F.lit(WINDOW)))
     lengths = sorted({WINDOW, *short})
@@ -109,24 +114,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = per_length[0]
     for more in per_length[1:]:
         windows = windows.union(more)
-    windows = windows.select("item_id", "w.*").where(F.col("literals") >= LITERALS)
+    windows = windows.select("item_id", "w.*", F.lit(False).alias("inside")).where(F.col("literals") >= LITERALS)
+    sizes = windows.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    if first_as_name:
+        # Inside a sentence the first word would be a name; only the item's first window holds it.
+        other = benchmark.where("item_id is not null").select(
+            "item_id", cut(F.col("text")).alias("alone"), F.slice(cut(F.concat(F.lit("a "), F.ltrim("text"))), 2, 1 << 30).alias("tokens")
+        ).where((F.size("tokens") > 0) & (F.get("tokens", F.lit(0)) != F.get("alone", F.lit(0))))
+        begun = other.select("item_id", F.slice("tokens", 1, WINDOW).alias("tokens")).where(F.size("tokens") >= LITERALS)
+        for n in lengths:
+            own_first = begun.where(F.size("tokens") == n).select("item_id", F.explode(_forms(F.col("tokens"), [n])).alias("w")).select("item_id", "w.*", F.lit(True).alias("inside"))
+            windows = windows.union(own_first.where(F.col("literals") >= LITERALS))
     known = windows.select(F.xxhash64(F.split("form", " ")).alias("hash")).distinct()
     count = known.count()
-    sizes = windows.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     fewest = min(LEAST_WINDOWS, sizes.agg(F.min("item_windows")).first()[0] or 1)
     small = F.broadcast if count <= BROADCAST_WINDOWS else (lambda df: df)
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tokens = rows.select("doc_id", template(F.col("text")).alias("tokens"))
+    tokens = rows.select("doc_id", _bare(cut(F.col("text"))).alias("tokens"))
     hashed = tokens.select("doc_id", F.explode(_hashes(F.col("tokens"), lengths)).alias("hash"))
     hit = hashed.join(small(known), "hash", "left_semi").groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") >= fewest)
 
-    again = rows.join(hit.select("doc_id"), "doc_id", "left_semi").select("doc_id", valued(F.col("text")).alias("tokens"))
+    again = rows.join(hit.select("doc_id"), "doc_id", "left_semi").select("doc_id", cut(F.col("text")).alias("tokens"))
     spans = again.select("doc_id", F.explode(_forms(F.col("tokens"), lengths)).alias("w")).select("doc_id", "w.at", "w.form", "w.slots")
-    there = windows.select("item_id", F.col("at").alias("item_at"), "form", F.col("slots").alias("item_slots"))
+    there = windows.select("item_id", F.col("at").alias("item_at"), "form", F.col("slots").alias("item_slots"), "inside")
     met = spans.join(small(there), "form").withColumn("line", F.col("at") - F.col("item_at"))
     pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")))))
-    aligned = met.groupBy("doc_id", "item_id", "line").agg(F.collect_set("item_at").alias("spots"), pairs.alias("pairs"))
+    if first_as_name:  # the first word as a name must not make inconsistent what is consistent without it
+        met = met.withColumn("reading", F.explode(F.when(F.col("inside"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    aligned = met.groupBy("doc_id", "item_id", "line", *(["reading"] if first_as_name else [])).agg(F.collect_set("item_at").alias("spots"), pairs.alias("pairs"))
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
     changed = F.size(F.filter("pairs", lambda p: p["item"] != p["doc"]))
     found = aligned.where(consistent).groupBy("doc_id", "item_id").agg(
@@ -138,7 +154,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that contain no item; rows without a doc_id stay."""
-    gone = contaminated(docs, benchmark).select("doc_id").distinct()
+def clean(docs: DataFrame, benchmark: DataFrame, any_case: bool = False) -> DataFrame:
+    """The documents that contain no item; rows without a doc_id stay.
+
+    With ``any_case`` items are also found as plain lower-case words, so that copies in other case or inside
+    a sentence go, and with values changed where the first word of the item became a name.
+    """
+    if any_case:
+        gone = _found(docs, benchmark, valued, first_as_name=True).select("doc_id").union(_found(docs, benchmark, plain).select("doc_id")).distinct()
+    else:
+        gone = contaminated(docs, benchmark).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from brackish.llm import decontam, labels, langid, pages, quality, queries, toxicity
 from brackish.llm.texts import fold
 from tests.llm import brute
@@ -187,3 +188,19 @@ def test_items_with_letters_behind_dots(spark, tmp_path):
     for name in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
     assert compare(got.toArrow(), con.execute(queries.ORACLES["op2_decontam"]).to_arrow_table()) == []
+
+
+def test_items_in_other_case_and_inside_a_sentence(spark, tmp_path):
+    """The pipeline stage finds exact copies of any case, and changed ones behind other words."""
+    long = "Every farmer near the river sells fresh apples to Boston traders each autumn"  # 13 tokens
+    short = "Seven old ships sailed away"
+    named = "Boston lies north of the old harbour and Boston sells fish to all of the towns around"
+    items = [(1, long), (2, short), (3, named)]
+    texts = [
+        (1, f"As we now ask, {long.lower()}."), (2, f"so we ask {long} again"), (3, long.upper()), (4, f"and then {short} from here"), (5, f"{long}."),
+        (6, "they say that " + named.replace("Boston", "Dover")), (7, "they say that " + named.replace("Boston", "Dover", 1).replace("Boston", "Salem")),
+        (8, "Every farmer near the river sells fresh apples to nobody."), (9, None),
+    ]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()} == {8, 9}
