@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brackish.llm import decontam, langid, lines, packing, pages, quality, simhash, substring, toxicity, vectors
+from brackish.llm import alignment, centroids, decontam, langid, lines, mixing, packing, pages, quality, simhash, substring, toxicity, vectors
 from brackish.llm.texts import fold
 from brackish.session import in_utc
 from brackish.sources.tables import table
@@ -16,6 +16,7 @@ from brackish.sources.tables import table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER, PIECE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -194,3 +195,91 @@ def op9_quality(spark, folder):
 @query("op10_packing")
 def op10_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=2, window=4096)
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Lloyd's rounds as one chain of tables: centroids c0, assignments a0, centroids c1, ..."""
+    apart = "list_sum(list_transform(generate_series(1, 64), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))"
+    parts = []
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+            SELECT row, any_value(vec_id) AS vec_id, arg_min(num, (d, num)) AS cluster, CAST(min(d) AS BIGINT) AS distance
+            FROM (SELECT k.row, k.vec_id, c.num, {apart} AS d FROM kept k CROSS JOIN c{n} c) GROUP BY row)""")
+        if n < rounds:
+            parts.append(f"""m{n} AS (
+            SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+            FROM (SELECT cluster, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+                  FROM (SELECT a.cluster, unnest(k.v) AS x, generate_subscripts(k.v, 1) AS i FROM a{n} a JOIN kept k USING (row)) GROUP BY cluster, i)
+            GROUP BY cluster),
+        c{n + 1} AS MATERIALIZED (SELECT c.num, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m ON c.num = m.cluster)""")
+    return ",\n        ".join(parts)
+
+
+@query(
+    "op11_centroids",
+    f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c0 AS MATERIALIZED (
+        SELECT CAST(row_number() OVER (ORDER BY draw NULLS LAST) - 1 AS INTEGER) AS num, v
+        FROM (SELECT v, sha256('3:' || CAST(vec_id AS VARCHAR)) AS draw FROM kept ORDER BY draw NULLS LAST LIMIT 8)),
+        {_rounds_sql(10)}
+    SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM a10 JOIN c10 c ON c.num = cluster
+    """,
+)
+def op11_centroids(spark, folder):
+    found = centroids.cluster(table(spark, folder, "embeddings"), k=8, rounds=10, tag="3")
+    number = F.col("cluster") + 1
+    hashes = F.array(*[F.sha2(F.lit(",".join(map(str, c))).cast("binary"), 256) for c in found.centroids.tolist()] or [F.lit("")])
+    inertias = F.array(*[F.lit(i).cast("long") for i in found.inertias or [0]])
+    return found.rows.select(
+        F.col("key").alias("vec_id"), "cluster", "distance", F.element_at(inertias, number).alias("cluster_inertia"),
+        F.lit(sum(found.inertias)).cast("long").alias("inertia"), F.element_at(hashes, number).alias("centroid_sha256"),
+    )
+
+
+@query(
+    "op12_mixing",
+    """
+    WITH sized AS (
+        SELECT row_number() OVER () AS row, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+               coalesce(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT), 0) AS place
+        FROM documents),
+    sources AS (
+        SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS source_no, CAST(sum(size) AS BIGINT) AS source_size
+        FROM sized GROUP BY source),
+    rated AS (
+        SELECT *, source_size * CAST(2 AS DOUBLE) AS most, CAST([3, 1, 2][(source_no - 1) % 3 + 1] AS DOUBLE) AS weight FROM sources),
+    upto AS (
+        SELECT *, sum(most) OVER w - most AS full_before, sum(weight) OVER w - weight AS weight_before,
+               1.5 * sum(source_size) OVER () AS budget, sum(weight) OVER () AS weights, row_number() OVER w AS spot
+        FROM rated WINDOW w AS (ORDER BY most / weight, source_no ROWS UNBOUNDED PRECEDING)),
+    level AS (
+        SELECT CAST(budget - full_before AS DOUBLE) / (weights - weight_before) AS level FROM upto
+        WHERE CAST(budget - full_before AS DOUBLE) * weight <= most * (weights - weight_before) ORDER BY spot LIMIT 1),
+    goals AS (SELECT source, source_no, source_size, least(most, weight * level) AS target, CAST(floor(budget) AS BIGINT) AS budget FROM upto, level),
+    queued AS (
+        SELECT row, doc_id, size, source_no, source_size, target, budget,
+               CAST(sum(size) OVER (PARTITION BY source_no ORDER BY place, doc_id NULLS FIRST, size, row ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS before
+        FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source),
+    served AS (
+        SELECT *, copy * source_size + before AS ahead, least(size, CAST(floor(target) AS BIGINT) - (copy * source_size + before)) AS words
+        FROM queued, (SELECT unnest([0, 1]) AS copy)),
+    placed AS (
+        SELECT *, CAST(sum(words) OVER (ORDER BY (ahead + words) / target, source_no, before, copy ROWS UNBOUNDED PRECEDING) AS BIGINT) - words AS start
+        FROM served WHERE words > 0),
+    taken AS (
+        SELECT row, CAST(sum(least(words, budget - start)) AS BIGINT) AS taken, min(start) AS first_at FROM placed WHERE start < budget GROUP BY row)
+    SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_at FROM queued LEFT JOIN taken USING (row)
+    """,
+)
+def op12_mixing(spark, folder):
+    return mixing.mix(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, copies=2)
+
+
+@query("op13_alignment")
+def op13_alignment(spark, folder):
+    return alignment.aligned(table(spark, folder, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
