@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,13 +18,17 @@ from brackish.llm.texts import small_batches
 from brackish.session import cut_lineage
 
 BLOCK = 1 << 18  # characters of a text that are aligned together
-REMEMBERED = 200_000  # words whose tokens a worker keeps
 FLUSH = 1 << 20  # pairs that a task gathers before it counts them
 FREQUENT = 500_000  # pairs, the most frequent ones, whose counts (16 bytes each) are sent to every task at most
+PROBE = 8  # equal ends in a row before slices are compared
 CROSSED = 4096  # links of a group up to which they are listed; beyond it its distinct ids are counted first
 
 # A space behind a character that is not white: no token of either kind reaches over it.
 _CUT = re.compile(r"(?<=\S)(?= )")
+# Characters that every Unicode version in use sorts into the same classes: two libraries cut words of these alike.
+_SETTLED = re.compile("[\x00-\u024f\u0400-\u045f\u2010-\u2027]*")
+# How byte-level tokenizers of this kind cut words (fixed value).
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _EMPTY = np.zeros(0, np.int64)
 
 
@@ -35,10 +40,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Pair:
-    """Ids and byte lengths of the tokens of both tokenizers for a word with the space before it.
-
-    Words are cut where neither has a token across, are encoded once and remembered, up to REMEMBERED.
-    """
+    """Ids and byte ends of the tokens of both tokenizers."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,39 +51,65 @@ class Pair:
         self.a.encode_special_tokens = True
         alphabet = byte_alphabet()
         with open(a_path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        self.a_bytes = {i: bytes(alphabet[c] for c in token) for token, i in vocabulary.items()}
+            model = json.load(file)
+        vocabulary = {token: bytes(alphabet[c] for c in token) for token in model["model"]["vocab"]}
+        ids = model["model"]["vocab"]
+        self.fast = self._by_rank(model, {vocabulary[t]: i for t, i in ids.items() if t in vocabulary})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         if any("▁" in piece.lstrip("▁") for piece in pieces):
             raise ValueError("the second tokenizer has pieces that reach over a space")
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.space = [self.b.piece_to_id("▁")]
-        self.known: dict[str, tuple[bytes, bytes, bytes, bytes] | None] = {}
-
-    def word(self, word: str) -> tuple[bytes, bytes, bytes, bytes] | None:
-        """Ids and lengths of A, ids and lengths of B as 32-bit numbers; None if the tokens do not spell the word."""
-        if word in self.known:
-            return self.known[word]
-        a = self.a.encode(word, add_special_tokens=False).ids
-        b = self.b.encode(word[1:]) if len(word) > 1 else self.space
-        of_a, of_b, whole = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], word.encode()
-        if b"".join(of_a) != whole or b"".join(of_b) != whole:
-            found = None
-        else:
-            found = tuple(np.array(x, "<u4").tobytes() for x in (a, [len(x) for x in of_a], b, [len(x) for x in of_b]))
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = found
-        return found
+        self.a_bytes = [b""] * (1 + max(ids.values()))
+        for token, i in ids.items():
+            self.a_bytes[i] = vocabulary[token]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.sizes = [np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes)]
+        #: Each id with the sign behind it: within its group, at the end of it.
+        self.signs = np.array([f"{i}{sign}" for table, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for sign in ends for i in range(len(table))], object)
+
+    @staticmethod
+    def _by_rank(model: dict, ranks: dict[bytes, int]):
+        """The same merges in a faster library, if the ids of the vocabulary are in the order of its merges."""
+        import tiktoken
+
+        special = {t["content"]: t["id"] for t in model["added_tokens"]}
+        for token in special:
+            ranks.pop(token.encode(), None)
+        merged = [m if isinstance(m, str) else " ".join(m) for m in model["model"]["merges"]]
+        vocabulary = model["model"]["vocab"]
+        cutter = model["pre_tokenizer"]
+        in_order = all(vocabulary[m.replace(" ", "")] == 256 + n for n, m in enumerate(merged)) and len(ranks) == 256 + len(merged)
+        plain = model["normalizer"] is None and cutter["type"] == "ByteLevel" and cutter["use_regex"] and not cutter["add_prefix_space"]
+        return tiktoken.Encoding("own", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}) if in_order and plain else None
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids and end offsets of A, then of B, for a stretch of text that starts with a space; None if they do not spell it."""
-        found = [self.word(w) for w in _CUT.split(text)]
-        if None in found:
+        whole = text.encode()
+        if self.fast and _SETTLED.fullmatch(text):
+            a = self.fast.encode_to_numpy(text).astype(np.int64)
+        else:
+            a = self.a.encode(text, add_special_tokens=False).ids
+            if b"".join([self.a_bytes[i] for i in a]) != whole:
+                return None
+            a = np.array(a)
+        b = self.b.encode(text[1:]) if len(text) > 1 else self.space
+        if b"".join([self.b_bytes[i] for i in b]) != whole:
             return None
-        a, a_lengths, b, b_lengths = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in zip(*found, strict=True))
-        return a, np.cumsum(a_lengths), b, np.cumsum(b_lengths)
+        b = np.fromiter(b, np.int64, len(b))
+        return a, np.cumsum(self.sizes[0][a]), b, np.cumsum(self.sizes[1][b])
+
+    def group_text(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> bytes:
+        """``a1,a2|b1;a3|b2,b3``: the ids of each group as decimal numbers."""
+        n_a, n_b = len(self.a_bytes), len(self.b_bytes)
+        own, other = a.copy(), b + 2 * n_a
+        own[to_a - 1] += n_a
+        other[to_b - 1] += n_b
+        spot_a = np.arange(len(a)) + np.repeat(np.r_[0, to_b[:-1]], np.diff(to_a, prepend=0))
+        spot_b = np.arange(len(b)) + np.repeat(to_a, np.diff(to_b, prepend=0))
+        every = np.empty(len(a) + len(b), np.int64)
+        every[spot_a], every[spot_b] = own, other
+        return "".join(self.signs[every].tolist())[:-1].encode()
 
 
 _KEPT: dict[tuple[str, str], Pair] = {}  # a worker goes on with what earlier tasks have encoded
@@ -109,37 +137,39 @@ def stretches(text: str, size: int = BLOCK) -> Iterator[str]:
 def align(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each group, how many tokens of A and of B lie before its end; both end arrays ascend to the same last value.
 
-    While both have the same ends at the current shift of their indices every token is a group of its own:
-    ever longer slices are compared, twice the length each time, and the last one that differs is halved down
-    to the first difference.  There the ends are walked one by one up to the next common one, which changes the shift.
+    While both have the same ends at the current shift of their indices every token is a group of its own.
+    Once a few are, ever longer slices are compared, twice the length each time, and the last one, which differs, is
+    halved down to the first difference.  There the ends are walked one by one up to the next common one, which changes the shift.
     """
     a, b = a_ends.tolist(), b_ends.tolist()
-    n, i, j = len(a), 0, 0
-    to_a: list[int] = []
-    to_b: list[int] = []
+    n, i, j, run = len(a), 0, 0, 0
+    inner_a: list[int] = []  # tokens that do not end a group
+    inner_b: list[int] = []
     while i < n:
-        if a[i] == b[j]:
-            same, step = 1, 2
-            while a[i + same : i + same + step] == b[j + same : j + same + step] and i + same < n:
-                same, step = same + step, 2 * step
-            while step > 1:
-                step >>= 1
-                if a[i + same : i + same + step] == b[j + same : j + same + step]:
-                    same += step
-            same = min(same, n - i)
-            to_a += range(i + 1, i + same + 1)
-            to_b += range(j + 1, j + same + 1)
-            i, j = i + same, j + same
+        x, y = a[i], b[j]
+        if x == y:
+            i, j, run = i + 1, j + 1, run + 1
+            if run == PROBE:
+                step = PROBE
+                while i + step <= n and a[i : i + step] == b[j : j + step]:
+                    i, j, step = i + step, j + step, 2 * step
+                while step > 1:
+                    step >>= 1
+                    if i + step <= n and a[i : i + step] == b[j : j + step]:
+                        i, j = i + step, j + step
+                run = 0
+        elif x < y:
+            inner_a.append(i)
+            i, run = i + 1, 0
         else:
-            while (x := a[i]) != (y := b[j]):
-                if x < y:
-                    i += 1
-                else:
-                    j += 1
-            i, j = i + 1, j + 1
-            to_a.append(i)
-            to_b.append(j)
-    return np.array(to_a, np.int64), np.array(to_b, np.int64)
+            inner_b.append(j)
+            j, run = j + 1, 0
+    found = []
+    for size, inner in ((n, inner_a), (len(b), inner_b)):
+        ends = np.ones(size, bool)
+        ends[inner] = False
+        found.append(np.flatnonzero(ends) + 1)
+    return found[0], found[1]
 
 
 def links(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,9 +199,9 @@ def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
 
 
 class Aligned:
-    """One text: token and link counts, distinct pairs with their links, and, if asked for, the digest of its groups."""
+    """One text: token, group and link counts, distinct pairs with their links, and the digest of its groups."""
 
-    def __init__(self, text: str | None, pair: Pair, digest: bool):
+    def __init__(self, text: str | None, pair: Pair):
         self.n_a = self.n_b = self.n_groups = self.n_links = 0
         self.pairs, self.times, self.sha = _EMPTY, _EMPTY, ""
         found, sha, first = [], hashlib.sha256(), True
@@ -186,22 +216,24 @@ class Aligned:
             to_a, to_b = align(a_ends, b_ends)
             found.append(links(a, b, to_a, to_b))
             counts += (len(a), len(b), len(to_a), int(found[-1][1].sum()))
-            if digest:
-                sha.update((b"" if first else b";") + group_text(a, b, to_a, to_b))
-                first = False
+            sha.update((b"" if first else b";") + pair.group_text(a, b, to_a, to_b))
+            first = False
         self.n_a, self.n_b, self.n_groups, self.n_links = counts.tolist()
         self.pairs, self.times = added(found)
         self.sha = sha.hexdigest()
 
 
-def group_text(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group as decimal numbers."""
-    a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    out, i, j = [], 0, 0
-    for x, y in zip(to_a.tolist(), to_b.tolist(), strict=True):
-        out.append(f"{a_text[i] if x - i == 1 else ','.join(a_text[i:x])}|{b_text[j] if y - j == 1 else ','.join(b_text[j:y])}")
-        i, j = x, y
-    return ";".join(out).encode()
+def shrunk(pairs: np.ndarray, times: np.ndarray) -> bytes:
+    """Distinct pairs with their links, compressed: A ids by their differences, B ids, links."""
+    a = np.diff(pairs >> 32, prepend=0)
+    planes = np.concatenate([a, pairs & 0xFFFFFFFF, times & 0xFFFFFFFF, times >> 32]).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def restored(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    a, b, low, high = np.ascontiguousarray(planes.T).view("<u4").reshape(4, -1).astype(np.int64)
+    return np.cumsum(a) << 32 | b, low | high << 32
 
 
 def _texts(batches) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
@@ -216,19 +248,38 @@ def _texts(batches) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
         yield batch, out
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """pair and n: in how many documents (rows) of ``docs`` an id pair is linked.  A task adds up its documents before it hands pairs on."""
+_DIGEST = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+
+
+def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Each document with its counts, the digest of its groups and its distinct pairs, compressed, as ``pairs``."""
 
     def run(batches):
-        pair, waiting, size = tokenizers(a_path, b_path), [], 0
+        pair = tokenizers(a_path, b_path)
+        for batch, texts in _texts(batches):
+            found = [Aligned(text, pair) for text in texts]
+            numbers = [pa.array([getattr(x, c) for x in found], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
+            pairs = pa.array([shrunk(x.pairs, x.times) for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *numbers, pa.array([x.sha for x in found], pa.string()), pairs], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]
+            )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{_DIGEST}, pairs binary")
+
+
+def pair_counts(marked: DataFrame) -> DataFrame:
+    """pair and n: in how many documents (rows) of ``linked`` an id pair is.  A task adds up its documents before it hands pairs on."""
+
+    def run(batches):
+        waiting, size = [], 0
 
         def flush():
             keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], ["pair", "n"])
 
-        for _, texts in _texts(batches):
-            for text in texts:
-                waiting.append(Aligned(text, pair, digest=False).pairs)
+        for batch in batches:
+            for data in batch.column("pairs").to_pylist():
+                waiting.append(restored(data)[0])
                 size += len(waiting[-1])
                 if size >= FLUSH:
                     yield flush()
@@ -236,7 +287,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         if size:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return marked.select("pairs").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def frequent_from(counts: DataFrame, most: int) -> int:
@@ -263,10 +314,12 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, most: int = FREQUENT) ->
     texts are aligned in parts that end before a space.  Rows that repeat a doc_id are a document each; rows without one come
     out too; an empty table gives no rows.
 
-    The texts are read twice: once for the counts, once to look them up.  The ``most`` most frequent pairs, those above a
-    common count, are sent to the tasks; links of rarer ones, none of which has many documents, meet their counts in a join.
+    Each text is encoded and aligned once; its distinct pairs are written, compressed, to the checkpoint folder, and read
+    for the counts and to look them up.  The ``most`` most frequent pairs, those above a common count, are sent to the
+    tasks; links of rarer ones, none of which has many documents, meet their counts in a join.
     """
-    counts = cut_lineage(pair_counts(docs, a_path, b_path))
+    marked = cut_lineage(linked(docs, a_path, b_path).withColumn("row", F.monotonically_increasing_id()))
+    counts = cut_lineage(pair_counts(marked))
     of_a = F.shiftright("pair", 32).cast("int")
     best_rows = counts.groupBy(of_a.alias("a")).agg(F.max("n").alias("best")).toArrow()  # one row an id of A
     best = np.zeros(1 + max(best_rows.column("a").to_pylist(), default=0), np.int64)
@@ -277,35 +330,27 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, most: int = FREQUENT) ->
     sent = docs.sparkSession.sparkContext.broadcast((np.asarray(known.column("pair"))[order], np.asarray(known.column("n"))[order], best))
 
     def run(batches):
-        pair = tokenizers(a_path, b_path)
         pairs, numbers, best = sent.value
-        for batch, texts in _texts(batches):
-            rows, rare = [], []
-            for text in texts:
-                x = Aligned(text, pair, digest=True)
+        for batch in batches:
+            sums, rare = [], []
+            for data in batch.column("pairs").to_pylist():
+                own, times = restored(data)
                 if len(pairs):
-                    at = np.minimum(np.searchsorted(pairs, x.pairs), len(pairs) - 1)
-                    there = pairs[at] == x.pairs
+                    at = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
+                    there = pairs[at] == own
                 else:
-                    at, there = np.zeros(len(x.pairs), np.int64), np.zeros(len(x.pairs), bool)
-                top = best[x.pairs >> 32]
-                n, times = numbers[at[there]], x.times[there]
-                rows.append((x.n_a, x.n_b, x.n_groups, x.n_links, int(times[n == top[there]].sum()), int((times * n).sum()), x.sha))
-                rare.append((x.pairs[~there], x.times[~there], top[~there]))
+                    at, there = np.zeros(len(own), np.int64), np.zeros(len(own), bool)
+                top, n = best[own >> 32], numbers[at[there]]
+                sums.append((int(times[there][n == top[there]].sum()), int((times[there] * n).sum())))
+                rare.append((own[~there], times[~there], top[~there]))
             ends = np.cumsum([0, *(len(p) for p, _, _ in rare)]).astype(np.int32)
-            structs = pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rare, strict=True)], ["pair", "times", "top"])
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64()] * 6 + [pa.string()], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *columns, pa.ListArray.from_arrays(pa.array(ends), structs)],
-                ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare"],
-            )
-
-    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, rare array<struct<pair:long,times:long,top:long>>"
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
-    marked = cut_lineage(read.withColumn("row", F.monotonically_increasing_id()))
-    met = marked.select("row", F.inline("rare")).join(counts.where(F.col("n") < least), "pair")
-    more = met.groupBy("row").agg(
-        F.sum(F.when(F.col("n") == F.col("top"), F.col("times")).otherwise(0)).alias("more_best"), F.sum(F.col("n") * F.col("times")).alias("more_sum")
-    )
-    sums = [(F.col(c) + F.coalesce(m, F.lit(0))).alias(c) for c, m in (("n_best", "more_best"), ("count_sum", "more_sum"))]
-    return marked.drop("rare").join(more, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", *sums, "groups_sha256")
+            structs = pa.StructArray.from_arrays([pa.array(np.concatenate([r[c] for r in rare] or [_EMPTY])) for c in range(3)], ["pair", "times", "top"])
+            columns = [pa.array([s[c] for s in sums], pa.int64()) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns, pa.ListArray.from_arrays(pa.array(ends), structs)], ["row", "n_best", "count_sum", "rare"])
+
+    schema = "row long, n_best long, count_sum long, rare array<struct<pair:long,times:long,top:long>>"
+    looked = cut_lineage(marked.select("row", "pairs").mapInArrow(run, schema))
+    met = looked.select("row", F.inline("rare")).join(counts.where(F.col("n") < least), "pair")
+    more = met.select("row", F.when(F.col("n") == F.col("top"), F.col("times")).otherwise(0).alias("n_best"), (F.col("n") * F.col("times")).alias("count_sum"))
+    sums = looked.select("row", "n_best", "count_sum").unionByName(more).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    return marked.drop("pairs").join(sums, "row").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
