@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brackish.llm.texts import small_batches
+from brackish.llm.texts import byte_alphabet, small_batches
 from brackish.session import cut_lineage
 
 BLOCK = 1 << 18  # characters of a text that are aligned together
@@ -32,13 +32,6 @@ _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 _EMPTY = np.zeros(0, np.int64)
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte of each character that byte-level tokenizers write: printable ones stand for themselves, others follow from 256."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
-
-
 class Pair:
     """Ids and byte ends of the tokens of both tokenizers."""
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -11,61 +14,78 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brackish.llm.texts import blocks, small_batches, to_bytes
+from brackish.llm.texts import blocks, byte_alphabet, small_batches, to_bytes
 
 WINDOW = 4096
 GROUP_DOCS = 20_000  # documents packed together by one task
-_TAIL = b".,;:!?#$%&*|()[]{}\"-+=/<>"  # ASCII signs that the tokenizer keeps apart from letters
+# Characters that every Unicode version in use sorts into the same classes, without those that some take for white space.
+_SETTLED = re.compile("[\x01-\x1b\x20-\x84\x86-\u024f\u0400-\u045f\u2010-\u2027]*")
+# How the tokenizer cuts lower-case words (fixed value).
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_END = "</w>"
 
 
-class WordIds(dict):
-    """Ids of white-space separated words as bytes of little-endian unsigned 32-bit numbers.
+def _settled(kind: str) -> str:
+    """The settled characters of a general category, for a character class."""
+    every = map(chr, [*range(1, 0x250), *range(0x400, 0x460), *range(0x2010, 0x2028)])
+    return "".join(re.escape(c) for c in every if unicodedata.category(c)[0] == kind)
 
-    The tokenizer treats such words on their own, so they are encoded once and
-    remembered.  ``most`` bounds the memory: when it is reached, the memory is emptied.
+
+class Coder:
+    """Ids of texts by a tokenizer that lower-cases, cuts words and merges bytes up to the end of each word.
+
+    Texts of settled characters are cut here, each word is marked at its end, and the same merges are run by a faster library,
+    for which a word end is one more byte; all other texts go to the tokenizer itself, as do all where the vocabulary is of another kind.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
-        super().__init__()
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        self.encode = tokenizer.encode
-        self.special = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
-        self.cores: dict[bytes, bytes] = {}
-        self.most = most
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        plain = word.lower() if word.isascii() else word
-        core = plain.rstrip(_TAIL)
-        if any(t in plain for t in self.special):  # the tokenizer looks for these in the word as it stands
-            found = self._core(word)
-        elif core and core != plain and core[-1] < 128 and chr(core[-1]).isalnum():
-            found = self._core(core) + self._core(plain[len(core) :])
-        else:
-            found = self._core(plain)
-        self[word] = found
-        return found
-
-    def _core(self, core: bytes) -> bytes:
-        found = self.cores.get(core)
-        if found is None:
-            if len(self.cores) >= 2 * self.most:
-                self.cores.clear()
-            ids = self.encode(core.decode("utf-8", "replace"), add_special_tokens=False).ids
-            found = self.cores[core] = np.array(ids, "<u4").tobytes()
-        return found
-
-
-_KEPT: dict[str, WordIds] = {}  # a worker goes on with what earlier tasks have encoded
-
-
-def encoder(path: str) -> WordIds:
+        self.encode = Tokenizer.from_file(path).encode
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        self.special = [t["content"].lower() for t in model["added_tokens"]]
+        self.fast = self._marked(model)
+        letter, number = _settled("L"), _settled("N")
+        self.cut = re.compile(f"[{letter}]++|'(?:[stmd]|re|ve|ll)|[{number}]|[^\\s{letter}{number}]++").findall
+
+    @staticmethod
+    def _marked(model: dict):
+        """The merges with a zero byte for the end of a word, if the vocabulary is: bytes, bytes at an end, merges in their order."""
+        import tiktoken
+
+        steps = [(n["type"], n.get("pattern"), n.get("content")) for n in (model["normalizer"] or {}).get("normalizers", [])]
+        cutters = [(c["type"], c.get("pattern"), c.get("invert")) for c in (model["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        expected = [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+        if steps != expected or cutters != [("Split", {"Regex": _WORDS}, True), ("ByteLevel", None, None)] or model["model"]["end_of_word_suffix"] != _END:
+            return None
+        vocabulary, alphabet = model["model"]["vocab"], byte_alphabet()
+        merged = [m if isinstance(m, str) else " ".join(m) for m in model["model"]["merges"]]
+        if any(vocabulary[m.replace(" ", "")] != 512 + n for n, m in enumerate(merged)):
+            return None
+        ranks = {}
+        for token, i in vocabulary.items():
+            if i < 512 + len(merged):
+                ranks[bytes(alphabet[c] for c in token.removesuffix(_END)) + (b"\0" if token.endswith(_END) else b"")] = i
+        return tiktoken.Encoding("own", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 512 + len(merged) else None
+
+    def ids(self, data: bytes) -> np.ndarray:
+        """Ids of a text or of a part that ends at white space."""
+        text = data.decode("utf-8", "replace")
+        plain = text.lower()
+        if self.fast and _SETTLED.fullmatch(text) and _SETTLED.fullmatch(plain) and not any(t in plain for t in self.special):
+            words = self.cut(plain)
+            return self.fast.encode_to_numpy("\0".join(words) + "\0").astype("<u4") if words else np.zeros(0, "<u4")
+        return np.array(self.encode(text, add_special_tokens=False).ids, "<u4")
+
+
+_KEPT: dict[str, Coder] = {}  # a worker goes on with what earlier tasks have read
+
+
+def encoder(path: str) -> Coder:
     if path not in _KEPT:
-        _KEPT[path] = WordIds(path)
+        _KEPT[path] = Coder(path)
     return _KEPT[path]
 
 
@@ -130,12 +150,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int =
     """
 
     def cut(batches):
-        ids = encoder(tokenizer)
+        coder = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for part in small_batches(batches, "text", 1 << 22):
             rows = []
             for owner, data in zip(part.column("doc_id").to_pylist(), to_bytes(part.column("text")), strict=True):
-                coded = b"".join([b"".join(map(ids.__getitem__, block.split())) for block in blocks(data)] + [end])
+                coded = b"".join([coder.ids(block).tobytes() for block in blocks(data)] + [end])
                 total = len(coded) // 4
                 rows += [(owner, at, min(window, total - at), zlib.crc32(coded[4 * at : 4 * (at + window)]), total) for at in range(0, total, window)]
             arrays = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
@@ -166,7 +186,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW,
         rows["offset"] = offset
         return rows.drop(columns="_group")
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    # The row number deals out even pieces of one document that is repeated very often.
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(
         place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )

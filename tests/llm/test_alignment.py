@@ -10,6 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from brackish.llm import alignment
+from brackish.llm.texts import byte_alphabet
 from brackish.llm.queries import BYTE_TOKENIZER, PIECE_TOKENIZER
 
 
@@ -18,7 +19,7 @@ def brute(texts):
     a_model = Tokenizer.from_file(BYTE_TOKENIZER)
     a_model.encode_special_tokens = True
     b_model = sentencepiece.SentencePieceProcessor(model_file=PIECE_TOKENIZER)
-    alphabet = alignment.byte_alphabet()
+    alphabet = byte_alphabet()
     made = []
     for text in texts:
         groups = []

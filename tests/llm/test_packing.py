@@ -12,6 +12,7 @@ import corpus_pipeline
 from brackish.llm import packing, vectors
 from brackish.llm.queries import ORACLES, QUERIES, TOKENIZER
 from tests.llm import brute
+from tests.llm.test_shingles import without_near_copies
 from tests.oracle import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,6 +56,19 @@ def test_packing_of_odd_texts(spark):
     assert [r.length for r in twice] == [1, 1] and sorted(r.offset for r in twice) == [0, 1]
 
 
+def test_coder_is_the_tokenizer():
+    """Texts of any characters, by the fast way where it is open, against the tokenizer itself."""
+    encode, coder, pick = Tokenizer.from_file(TOKENIZER).encode, packing.Coder(TOKENIZER), random.Random(9)
+    assert coder.fast is not None
+    some = [chr(c) for c in [*range(0x250), *range(0x3A0, 0x460), *range(0x2000, 0x2030), 0x301, 0x308, 0x327, 0x1E9E, 0x130, 0x3A3, 0x4F60, 0x1F600, 0xFB01]]
+    words = ["it's", "we'll", "'sock", "x're", "THE", "Straße", "İI", "²³½", "___", "…", "<|endoftext|>", "Ⱥ", "don''t", "12ab34"]
+    texts = ["".join(pick.choice(some) for _ in range(30)) for _ in range(800)]
+    texts += ["".join(pick.choice(words) + pick.choice(["", " ", "\n", pick.choice(some)]) for _ in range(12)) for _ in range(800)]
+    texts += [a + b for a in some for b in ("x 'S", "'T")]
+    for text in ["", " ", *texts]:
+        assert coder.ids(text.encode()).tolist() == encode(text, add_special_tokens=False).ids
+
+
 def test_packing_leaves_little_padding(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.pack(docs, TOKENIZER).collect()
@@ -133,8 +147,8 @@ def test_pipeline_against_brute_force(spark):
         state = spark.createDataFrame(state.toPandas(), docs.schema)
     kept = [(d, t) for d, t in rows if any(c.isalpha() for c in t or "")]
     kept = [(d, t) for d, t, _, _ in brute.dedupe_lines(kept)]
-    groups = brute.components({d: brute.fingerprint(t) for d, t in kept})
-    kept = [(d, t) for d, t in kept if groups[d] == d]
+    left, _ = without_near_copies(kept)
+    kept = [(d, t) for d, t in kept if d in left]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     bad = {d for d, _ in brute.contaminated(kept, items)}
     kept = {d: t for d, t in kept if d not in bad}
