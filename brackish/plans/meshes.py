@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brackish.operators import flownet, graph, mesh
+from brackish.operators import arrangement, flownet, graph, mesh
 from brackish.operators.metrics import ratio_summary
 from brackish.operators.ordered import Run, running
 from brackish.plans.registry import query
@@ -357,3 +357,24 @@ def stream_lines(spark, sf):
 def network_checks(spark, sf):
     """Soundness of the network: references, order, ends."""
     return flownet.network_checks(flownet.ordered_network(flownet.connect(flownet.oriented(stream_lines(spark, sf)), 100.0, 1.0)))
+
+
+def linework(spark, sf):
+    """Borders of a box per supplier, and a line from each to the next one's corner."""
+    s = table(spark, sf, "supplier").select("s_suppkey", (F.col("s_suppkey") * 37 % 360 - 180.0).alias("x"), (F.col("s_suppkey") * 53 % 160 - 80.0).alias("y"), (F.col("s_nationkey") * 5 + 20.0).alias("w"), (F.col("s_suppkey") % 7 * 4 + 15.0).alias("h"))
+    x, y, e, n = F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h")
+    far_x, far_y = (F.col("s_suppkey") + 1) * 37 % 360 - 180.0, (F.col("s_suppkey") + 1) * 53 % 160 - 80.0
+    line = lambda a, b, c, d: F.struct(a.alias("x1"), b.alias("y1"), c.alias("x2"), d.alias("y2"))
+    return s.select(F.inline(F.array(line(x, y, e, y), line(e, y, e, n), line(e, n, x, n), line(x, n, x, y), line(x, y, far_x, far_y))))
+
+
+def seeds(spark, sf):
+    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("seed"), (F.col("n_nationkey") * 41 % 340 - 169.63).alias("x"), (F.col("n_nationkey") * 29 % 150 - 74.21).alias("y"))
+
+
+@query("wet_domains")  # faces of crossing lines are more than SQL can walk: tested against exact arithmetic
+def wet_domains(spark, sf):
+    """The face of the linework around each seed point, holes cut out."""
+    half = arrangement.half_edges(arrangement.noded(linework(spark, sf)))
+    found = arrangement.seeded_domains(half, seeds(spark, sf), "seed", "x", "y", least_hole=1.0)
+    return found.select("seed", F.round("area", 4).alias("area"), F.round("perimeter", 4).alias("perimeter"), "holes")

@@ -8,6 +8,7 @@ from brackish.functions import documents as D
 from brackish.functions import geo as G
 from brackish.functions import names as N
 from brackish.functions import timeaxis as T
+from brackish.operators import boxes as box_ops
 from brackish.operators import dedupe, joins, sampling
 from brackish.operators.ordered import Run, running
 from brackish.plans.cleaning import LONLAT_SQL, lonlat
@@ -96,18 +97,31 @@ def tiles_in_request(spark, sf):
     return tiles(spark, sf).where(G.box_meets_request(box, request)).select("tile", F.round(G.overlap_area(box, request), 6).alias("overlap"))
 
 
-@query(
-    "coverage_fraction",
-    f"""
-    SELECT p_type, round(least(1.0::DOUBLE, sum(greatest(0.0, least(east, 20.0) - greatest(west, -30.0)) * greatest(0.0, least(north, 40.0) - greatest(south, -10.0))) / 2500.0), 6) AS fraction
-    FROM ({TILES_SQL}) WHERE west < 20 AND east > -30 AND south < 40 AND north > -10 GROUP BY p_type""",
-)
+def _union_sql(boxes: str, k: str) -> str:
+    """Area covered per group: strips between neighbouring box ends, and in each the stretches that no box further south has reached."""
+    return f"""
+    WITH b AS (SELECT DISTINCT {k} AS k, w, s, e, n FROM ({boxes}) WHERE w < e AND s < n),
+    ends AS (SELECT k, w AS x FROM b UNION SELECT k, e FROM b),
+    strips AS (SELECT k, x AS x0, lead(x) OVER (PARTITION BY k ORDER BY x) AS x1 FROM ends),
+    laid AS (SELECT t.k, x0, x1, s, n, max(n) OVER (PARTITION BY t.k, x0 ORDER BY s, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+        FROM strips t JOIN b ON t.k IS NOT DISTINCT FROM b.k AND b.w <= x0 AND b.e >= x1),
+    areas AS (SELECT k, sum((x1 - x0) * greatest(0.0, n - greatest(s, coalesce(reached, s)))) AS area FROM laid GROUP BY k)"""
+
+
+_CLIPPED_SQL = f"""SELECT p_type, greatest(west, -30.0::DOUBLE) AS w, greatest(south, -10.0::DOUBLE) AS s, least(east, 20.0::DOUBLE) AS e, least(north, 40.0::DOUBLE) AS n FROM ({TILES_SQL})"""
+
+
+@query("coverage_fraction", _union_sql(_CLIPPED_SQL, "p_type") + " SELECT k AS p_type, round(area / 2500.0, 6) AS fraction FROM areas")
 def coverage_fraction(spark, sf):
-    """Share of a request its tiles cover, by summed overlap."""
-    box = [F.col(c) for c in ("west", "south", "east", "north")]
-    request = (-30.0, -10.0, 20.0, 40.0)
-    met = tiles(spark, sf).where(G.box_meets_request(box, request))
-    return met.groupBy("p_type").agg(F.round(F.least(F.lit(1.0), F.sum(G.overlap_area(box, request)) / 2500.0), 6).alias("fraction"))
+    """Share of a request its tiles cover, overlaps counted once."""
+    met = box_ops.coverage(tiles(spark, sf), ["p_type"], ("west", "south", "east", "north"), (-30.0, -10.0, 20.0, 40.0))
+    return met.select("p_type", F.round("fraction", 6).alias("fraction"))
+
+
+@query("union_area", _union_sql(f"SELECT 0 AS one, west AS w, south AS s, east AS e, north AS n FROM ({TILES_SQL})", "one") + " SELECT round(area, 4) AS area FROM areas")
+def union_area(spark, sf):
+    """What all tiles cover together."""
+    return box_ops.union_area(tiles(spark, sf), [], ("west", "south", "east", "north")).select(F.round("area", 4).alias("area"))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from brackish.functions import geo as G
 from brackish.functions import timeaxis as T
 from brackish.functions.vectors import DEGREES_PER_HOUR
-from brackish.operators import joins, series, spectra
+from brackish.operators import filters, joins, series, spectra
 from brackish.operators import nearest as spatial_ops
 from brackish.operators.ordered import Run, plan_slices, running
 from brackish.plans.cleaning import LONLAT_SQL, lonlat
@@ -383,6 +383,68 @@ def psd_peaks(spark, sf):
     return peaks.select("event_type", "band", F.round("period_hours", 6).alias("period_hours"), F.round("power", 6).alias("power"))
 
 
+_BANDS = filters.tide_bands(1.0, very_low_days=10.0)
+
+
+def _floats(values) -> str:
+    return "[" + ", ".join(f"{float(v)!r}::DOUBLE" for v in values) + "]"
+
+
+def _one_pass_sql(name: str, source: str, f: filters.Filter) -> str:
+    """The samples ``xs`` of each series one after the other: y is C s + D x, the next state A s + B x."""
+    x = "xs[j + 1]"
+    state = ", ".join(f"list_dot_product({_floats(row)}, s) + {float(b)!r} * {x}" for row, b in zip(f.a, f.b))
+    return f"""{name} AS (
+        SELECT event_type, 0 AS j, xs, [{", ".join(f"{float(v)!r} * xs[1]" for v in f.settled)}] AS s, NULL::DOUBLE AS y FROM {source}
+        UNION ALL SELECT event_type, j + 1, xs, [{state}], list_dot_product({_floats(f.c)}, s) + {float(f.d)!r} * {x} FROM {name} WHERE j < len(xs))"""
+
+
+def _band_sql(name: str, f: filters.Filter) -> str:
+    p = f.pad
+    return f"""{name}_x AS (
+        SELECT event_type, list_concat(list_transform(generate_series({p}, 1, -1), lambda k: 2 * v[1] - v[k + 1]), v,
+            list_transform(generate_series(1, {p}), lambda k: 2 * v[-1] - v[len(v) - k])) AS xs FROM lists),
+    {_one_pass_sql(name + "_f", name + "_x", f)},
+    {name}_y AS (SELECT event_type, list(y ORDER BY j DESC) AS xs FROM {name}_f WHERE j > 0 GROUP BY event_type),
+    {_one_pass_sql(name + "_g", name + "_y", f)},
+    {name} AS (SELECT event_type, len(xs) - j - {p} AS i, y FROM {name}_g WHERE j > 0 AND len(xs) - j - {p} >= 0 AND j > {p})"""
+
+
+_BANDED_SQL = f"""
+    WITH RECURSIVE {_HOURLY_SQL.lstrip()},
+    lists AS (SELECT event_type, list(v ORDER BY i) AS v FROM f GROUP BY event_type),
+    {", ".join(_band_sql(name, f) for name, f in _BANDS.items())},
+    banded AS (
+        SELECT event_type, TIMESTAMP '2024-01-01' + to_hours(CAST(i AS BIGINT)) AS t, a.y AS tidal, b.y AS subtidal, c.y AS very_low
+        FROM tidal a JOIN subtidal b USING (event_type, i) JOIN very_low c USING (event_type, i))"""
+
+
+def _banded(spark, sf):
+    axis = table(spark, sf, "events").withColumnRenamed("ts", "t")
+    slices = plan_slices(axis, "t")
+    return filters.filter_bands(hourly(spark, sf, slices), ["event_type"], "t", "v", _BANDS, slices)
+
+
+@query(
+    "band_filters",
+    _BANDED_SQL + " SELECT event_type, t, round(tidal, 6) AS tidal, round(subtidal, 6) AS subtidal, round(very_low, 6) AS very_low FROM banded",
+)
+def band_filters(spark, sf):
+    """Tidal, subtidal and very low part of each hourly series, by filters without phase."""
+    return _banded(spark, sf).select("event_type", "t", *[F.round(b, 6).alias(b) for b in _BANDS])
+
+
+@query(
+    "band_deviations",
+    _BANDED_SQL + """ SELECT event_type, count(*) AS rows, round(stddev_pop(tidal), 6) AS tidal, round(stddev_pop(subtidal), 6) AS subtidal, round(stddev_pop(very_low), 6) AS very_low
+    FROM banded GROUP BY event_type""",
+)
+def band_deviations(spark, sf):
+    """Deviation of each band of each series."""
+    spread = [F.round(F.stddev_pop(b), 6).alias(b) for b in _BANDS]
+    return _banded(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"), *spread)
+
+
 _FITTED = ("M2", "S2", "K1", "O1")
 _BASIS_SQL = ", ".join(["1.0::DOUBLE"] + [f"{wave}(radians(h * {DEGREES_PER_HOUR[n]!r}))" for n in _FITTED for wave in ("cos", "sin")])
 _NORMAL_SQL = ", ".join("[" + ", ".join([f"sum(b[{p}] * b[{q}])" for q in range(1, 10)] + [f"sum(b[{p}] * value)"]) + "]" for p in range(1, 10))

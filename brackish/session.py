@@ -49,3 +49,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Materialise to the reliable checkpoint folder, which outlives an executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def cut_rounds(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` for loops that join their own result round after round.
+
+    A checkpoint keeps the planner's estimate of its size, which is a product over the joins before it: over
+    rounds it would be squared again and again, up to numbers that take the planner minutes.  Here it is forgotten.
+    """
+    done, spark = cut_lineage(df), df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(done._jdf.toJavaRDD(), done._jdf.schema()), spark)

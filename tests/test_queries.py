@@ -14,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_matches_sql(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
