@@ -16,9 +16,11 @@ from brackish.llm.texts import fresh, small_batches, widened
 # What a line is: dropped for where it stands, open to comparison, or a paragraph of the article.
 FURNITURE, OPEN, ARTICLE = 0, 1, 2
 
-SAME_PAGE = 0.8  # share of the open text from which two pages are versions of one
+SAME_PAGE = 0.95  # share of the text from which two pages are versions of one
+QUOTES = 256  # quoted strings in a tag; in one with more a quote is a sign like any other
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<[/a-zA-Z][^<>]*\Z", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _URL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
 
@@ -54,95 +56,183 @@ def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return furniture or comments, comments
 
 
-def lines(page: str) -> list[tuple[str, int]]:
-    """The text lines of a page, one for each block element, with what each is.
+class _Tags:
+    """The tags of a page in order, each found in time that grows with its length."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.lost: set[str] = set()  # signs that do not come again
+
+    def find(self, sign: str, at: int) -> int:
+        if sign in self.lost:
+            return -1
+        found = self.page.find(sign, at)
+        if found < 0:
+            self.lost.add(sign)
+        return found
+
+    def _end(self, at: int) -> int:
+        """Where the tag that starts before ``at`` ends: at the first > outside quotes, or at the first one at all; -1 without one."""
+        if self.find(">", at) < 0:
+            return -1
+        spot = at
+        for _ in range(QUOTES):
+            stop = _STOP.search(self.page, spot)
+            if not stop:
+                break
+            if stop[0] == ">":
+                return stop.start()
+            closed = self.find(stop[0], stop.end())
+            spot = closed + 1 if closed >= 0 else stop.end()
+        return self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name, whether an end tag, and attributes of the next tag or comment (name '')."""
+        page = self.page
+        while (start := self.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = self.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3, "", False, ""
+            if page.startswith(("<!", "<?"), start):
+                end = self.find(">", start)
+                return start, len(page) if end < 0 else end + 1, "", False, ""
+            closing = page.startswith("/", start + 1)
+            name = _NAME.match(page, start + 1 + closing)
+            if name:
+                end = self._end(name.end())
+                if end >= 0:
+                    return start, end + 1, name[0].lower(), closing, page[name.end() : end]
+                if self.find("<", start + 1) < 0:  # a tag that the page breaks off
+                    return start, len(page), "", False, ""
+            at = start + 1
+        return None
+
+
+class _Open:
+    """The open elements, with what is asked about them at hand."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, bool]] = []  # tag, furniture, comments
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.furniture: list[int] = []
+        self.articles: list[int] = []
+        self.comments = 0
+
+    def push(self, tag: str, furniture: int, comments: bool) -> None:
+        n = len(self.stack)
+        self.stack.append((tag, furniture, comments))
+        self.at.setdefault(tag, []).append(n)
+        if tag not in _INLINE:
+            self.blocks.append(n)
+        if furniture:
+            self.furniture.append(n)
+        if tag in ("article", "main"):
+            self.articles.append(n)
+        self.comments += comments
+
+    def cut(self, n: int) -> None:
+        """Close all elements from the n-th on."""
+        while len(self.stack) > n:
+            tag, _, comments = self.stack.pop()
+            self.at[tag].pop()
+            for held in (self.blocks, self.furniture, self.articles):
+                if held and held[-1] == len(self.stack):
+                    held.pop()
+            self.comments -= comments
+
+    def last(self, tag: str) -> int:
+        return self.at[tag][-1] if self.at.get(tag) else -1
+
 
-    Unclosed elements end with what encloses them; an article ends an unclosed piece of furniture.
+def outline(page: str) -> list[tuple[str, int, int]]:
+    """The text lines of a page, one for each block element: text, what it is, and the number of the article it is in (0: none).
+
+    Unclosed elements end with what encloses them.  An article inside a piece of furniture belongs to it, unless
+    the page leaves elements of that name unclosed: then the article ends it.
     """
-    found: list[list] = []
+    found: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, furniture depth after it, comments
-    depth = articles = at = 0
-    has_article = False
+    open_, tags, at, number, inside = _Open(), _Tags(page), 0, 0, 0
+    closed = page.lower()
+
+    def unclosed(tag: str) -> bool:
+        return len(re.findall(rf"<{re.escape(tag)}\b", closed)) > closed.count(f"</{tag}")
+
+    known: dict[str, bool] = {}
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            paragraph = any(t in _PARAGRAPHS for t, _, _ in reversed(stack[-4:]))
-            found.append([text, FURNITURE if depth else ARTICLE if articles and paragraph else OPEN, articles > 0])
-
-    def pop() -> None:
-        nonlocal depth, articles
-        tag, furniture, _ = stack.pop()
-        depth -= furniture
-        articles -= tag in ("article", "main")
-
-    size = len(page)
-    while at < size:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            parts.append(html.unescape(page[at:]))
-            break
-        if m.start() > at:
-            parts.append(html.unescape(page[at : m.start()]))
-        at = m.end()
-        tag = (m[2] or "").lower()
+            paragraph = any(t in _PARAGRAPHS for t, _, _ in reversed(open_.stack[-4:]))
+            kind = FURNITURE if open_.furniture else ARTICLE if open_.articles and paragraph else OPEN
+            found.append((text, kind, inside if open_.articles else 0))
+
+    while (tag_ := tags.next(at)) is not None:
+        start, end, tag, closing, attributes = tag_
+        if start > at:
+            parts.append(html.unescape(page[at:start]))
+        at = end
         if not tag:
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag in _RAW:
-            if not m[1] and not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else size
+            if not closing and not attributes.endswith("/"):
+                over = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = over.end() if over else len(page)
             continue
         inline = tag in _INLINE
         if not inline:
             flush()
         if tag in _VOID:
             continue
-        if m[1]:
-            if any(t == tag for t, _, _ in stack):
-                if inline:  # an inline end tag does not close blocks
-                    for n in range(len(stack) - 1, -1, -1):
-                        if stack[n][0] == tag:
-                            break
-                        if stack[n][0] not in _INLINE:
-                            n = -1
-                            break
-                    if n >= 0:
-                        while len(stack) > n:
-                            pop()
-                else:
-                    while stack[-1][0] != tag:
-                        pop()
-                    pop()
+        if closing:
+            spot = open_.last(tag)
+            # An inline end tag does not close blocks.
+            if spot >= 0 and not (inline and open_.blocks and open_.blocks[-1] > spot):
+                open_.cut(spot)
             continue
-        if m[3].endswith("/") and inline:
+        if attributes.endswith("/") and inline:
             continue
         if closes := _CLOSED_BY_NEXT.get(tag):
-            for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] in closes:
-                    while len(stack) > n:
-                        pop()
-                    break
-                if stack[n][0] not in _INLINE:
-                    break
+            if open_.blocks and open_.stack[open_.blocks[-1]][0] in closes:
+                open_.cut(open_.blocks[-1])
         if tag in ("article", "main"):
-            if depth and not any(c for _, _, c in stack):
-                while stack and depth:
-                    pop()
-            if not depth:
-                has_article = True
-        furniture, comments = _kind(tag, m[3], articles > 0)
-        stack.append((tag, int(furniture), comments))
-        depth += furniture
-        articles += tag in ("article", "main")
+            if open_.furniture and not open_.comments:
+                outer = open_.stack[open_.furniture[0]][0]
+                if outer not in known:
+                    known[outer] = unclosed(outer)
+                if known[outer]:
+                    open_.cut(open_.furniture[0])
+            if not open_.articles:
+                number += 1
+                inside = number
+        furniture, comments = _kind(tag, attributes, bool(open_.articles))
+        open_.push(tag, int(furniture), comments)
+    parts.append(html.unescape(page[at:]))
     flush()
-    # With an article on the page, what stands outside it is not main text.
-    return [(text, FURNITURE if has_article and not inside else kind) for text, kind, inside in found]
+    return found
+
+
+def chosen(found: list[tuple[str, int, int]]) -> list[bool]:
+    """Which lines are main text: those of the article with most text, or, where there is more outside of articles, those."""
+    size: dict[int, int] = {}
+    for text, kind, article in found:
+        if kind != FURNITURE:
+            size[article] = size.get(article, 0) + len(text)
+    outside = size.pop(0, 0)
+    best = max(size, key=lambda n: (size[n], -n), default=0)
+    best = best if size.get(best, 0) >= outside else 0
+    return [kind != FURNITURE and article == best for _, kind, article in found]
+
+
+def lines(page: str) -> list[tuple[str, int]]:
+    """The text lines of a page with what each is by its markup alone."""
+    found = outline(page)
+    return [(text, kind if stays else FURNITURE) for (text, kind, _), stays in zip(found, chosen(found), strict=True)]
 
 
 def shared(page: list[str], other: list[str], most: int = 1 << 25) -> set[int]:
@@ -209,62 +299,79 @@ def _traced(page: list[str], other: list[str], i0: int, i1: int, j0: int, j1: in
     return found
 
 
-def main_text(texts: list[str], kinds: list[int], other: list[str]) -> str:
-    """Lines of the article and open lines that the other page does not share.
+def main_text(found: list[tuple[str, int, int]], neighbours: list[list[str]]) -> str:
+    """What stays of a page's lines beside the lines of its neighbours.
 
-    If the pages share nearly all of the open text they are versions of one page, and
-    the comparison says nothing about what is furniture.
+    A line outside paragraphs of an article goes if a neighbour shares it; such a paragraph if two do and it stands at the
+    head or foot of its article, as notices do, for articles quote the same passages now and then.  A neighbour
+    that shares nearly all text is a version of the page and says nothing.
     """
-    same = shared(texts, other)
-    size = sum(len(t) for t, k in zip(texts, kinds, strict=True) if k == OPEN)
-    gone = sum(len(texts[i]) for i in same if kinds[i] == OPEN)
-    if gone > SAME_PAGE * size:
-        same = set()
-    return "\n\n".join(t for i, (t, k) in enumerate(zip(texts, kinds, strict=True)) if k == ARTICLE or k == OPEN and i not in same)
+    texts = [text for text, _, _ in found]
+    size = sum(len(text) for text, kind, _ in found if kind != FURNITURE)
+    times = [0] * len(found)
+    for other in neighbours:
+        same = shared(texts, other)
+        if sum(len(texts[i]) for i in same if found[i][1] != FURNITURE) <= SAME_PAGE * size:
+            for i in same:
+                times[i] += 1
+    kept: dict[int, list[int]] = {}  # of each article the paragraphs that do not stand in both neighbours
+    for i, (_, kind, article) in enumerate(found):
+        if kind == ARTICLE and times[i] < 2:
+            kept.setdefault(article, []).append(i)
+
+    def goes(i: int, kind: int, article: int) -> bool:
+        return times[i] > 0 if kind != ARTICLE else times[i] > 1 and article in kept and not kept[article][0] < i < kept[article][-1]
+
+    left = [(text, FURNITURE if goes(i, kind, article) else kind, article) for i, (text, kind, article) in enumerate(found)]
+    return "\n\n".join(text for (text, _, _), stays in zip(left, chosen(left), strict=True) if stays)
+
+
+def beside(found: list[list[str]], hosts: list[str]) -> list[list[int]]:
+    """For each page of a run in order of host and path the places of its two neighbours: the nearest other text on either side.
+
+    Pages without text and copies of the page are passed over; at the first (last) page of a host both
+    neighbours come from behind (ahead).
+    """
+    def walk(order: list[int]) -> list[list[int]]:
+        """The last two different texts of the same host before each page."""
+        out: list[list[int]] = [[] for _ in order]
+        seen: list[int] = []
+        for n, i in enumerate(order):
+            if n and hosts[i] != hosts[order[n - 1]]:
+                seen = []
+            out[i] = [j for j in reversed(seen) if found[j] != found[i]][:2]
+            if found[i]:
+                seen = [j for j in seen if found[j] != found[i]][-2:] + [i]
+        return out
+
+    before, behind = walk(list(range(len(found)))), walk(list(range(len(found)))[::-1])
+    return [b[:1] + a[:1] if a and b else b + a for b, a in zip(before, behind, strict=True)]
 
 
 def _place(url: Column) -> list[Column]:
     host = F.lower(F.coalesce(F.regexp_extract(url, _URL, 1), F.lit("")))
     path = F.regexp_replace(F.coalesce(F.regexp_extract(url, _URL, 2), F.lit("")), r"(?:\.html?)?/*$", "")
-    return [host.alias("host"), path.alias("path"), F.regexp_replace(path, "[^/]*$", "").alias("folder")]
+    return [host, path]
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Add ``text``, the main text, and ``n_chars``, its code points, to each page (replacing such columns).
 
-    A page is compared with the page of the first path in its folder on its host, the first page with
-    that of the last path, and the only page of a folder with the first (last) of its host: pages near by
-    URL, chosen by combinable minima so that a host of any size is spread over tasks.  Lines aligned by a
-    longest common subsequence are deleted, and so is what the markup names as furniture (menus,
-    headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments).  Paragraphs and headings
-    inside an article or main element stay, shared or not.
+    Pages are sorted by host and path, in ranges that split a host of any size, and each is aligned with its
+    neighbours in that order (see ``beside``) by longest common subsequences of their lines.  What a neighbour
+    shares is deleted, paragraphs of an article only where both do, and so is what the markup names as
+    furniture (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments).  Of what is left
+    the article with most text is taken, or the text outside of articles if that is more.
 
     Blocks are joined by an empty line; white space in a block is one space.  Null, empty and
-    text-free html gives an empty text.  Pages without a url are one host.  Rows that repeat a page stay.
+    text-free html gives an empty text.  Pages without a url are one host.  Rows that repeat a page stay and get the
+    same text; pages of one path follow each other by page_id.  Very long pages are read in time that grows with their length.
+    At the border of a range the neighbours lie on one side, so that there a paragraph may be judged by other pages.
     """
     pages = pages.drop("text", "n_chars")
     names = pages.columns
-    texts, kinds, key, whole, folder = (fresh(pages, f"__{n}") for n in ("texts", "kinds", "key", "whole", "folder"))
-
-    def parse(batches):
-        for part in small_batches(batches, "html", 1 << 22):
-            parsed = [lines(page or "") for page in part.column("html").to_pylist()]
-            columns = [part.column(n) for n in part.schema.names if n != "html"]
-            columns += [pa.array([[t for t, _ in p] for p in parsed], pa.list_(pa.string())), pa.array([[k for _, k in p] for p in parsed], pa.list_(pa.int8()))]
-            yield pa.RecordBatch.from_arrays(columns, [*(n for n in part.schema.names if n != "html"), "texts", "kinds"])
-
-    host, path, parent = _place(F.col("url"))
-    placed = pages.select("page_id", "html", host, path, parent)
-    read = placed.mapInArrow(parse, f"page_id {dict(pages.dtypes)['page_id']}, host string, path string, folder string, texts array<string>, kinds array<tinyint>")
-    order = F.struct("path", "page_id")
-    first, last = F.min_by("texts", order), F.max_by("texts", order)
-    by_folder = read.groupBy("host", "folder").agg(first.alias("first"), last.alias("last"), F.min(order).alias("low"), F.max(order).alias("high"))
-    by_host = by_folder.groupBy("host").agg(
-        F.min_by("first", "low").alias("host_first"), F.max_by("last", "high").alias("host_last"), F.min("low").alias("host_low"), F.max("high").alias("host_high")
-    )
-    near = by_folder.join(by_host, "host")
-    # Hashed keys are dealt anew on both sides of the join, so that Spark can split a large host.
-    near = near.select(F.xxhash64("host", "folder").alias(key), F.col("host").alias("h"), F.col("folder").alias("f"), "first", "last", "low", "high", "host_first", "host_last", "host_low")
+    html_, host_, path_ = (fresh(pages, f"__{n}") for n in ("html", "host", "path"))
+    host, path = _place(F.col("url"))
 
     def squeeze(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -272,26 +379,47 @@ def extract(pages: DataFrame) -> DataFrame:
             packed = [None if page is None else pack(page) for page in part.column("html").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in part.schema.names if n != "html"), pa.array(packed, pa.binary())], [*(n for n in part.schema.names if n != "html"), html_])
 
-    # The pages travel compressed: they are the bulk of what the join shuffles.
-    html_ = fresh(pages, "__html")
+    # The pages travel compressed: they are all that the shuffle moves.
     kept = StructType([*[f for f in pages.schema.fields if f.name != "html"], StructField(html_, BinaryType())])
-    rows = pages.mapInArrow(squeeze, kept).select("*", host.alias(whole), parent.alias(folder), F.xxhash64(host, parent).alias(key), path.alias(fresh(pages, "__path")))
-    mine = F.struct(F.col(fresh(pages, "__path")).alias("path"), F.col("page_id"))
-    other = (
-        F.when(F.col("low") == F.col("high"), F.when(F.col("host_low") == mine, F.col("host_last")).otherwise(F.col("host_first")))
-        .when(F.col("low") == mine, F.col("last")).otherwise(F.col("first"))
-    )
-    met = rows.join(near, key).where((F.col("h") == F.col(whole)) & (F.col("f") == F.col(folder)))
-    ready = met.select(*[n for n in names if n != "html"], html_, other.alias(texts))
+    rows = pages.mapInArrow(squeeze, kept).select("*", host.alias(host_), path.alias(path_))
+    order = [host_, path_, "page_id"]
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def finish(batches):
         unpack = zstandard.ZstdDecompressor().decompress
-        for part in small_batches(batches, html_, 1 << 20):
-            found, whole_pages = [], [None if page is None else unpack(page).decode("utf-8", "replace") for page in part.column(html_).to_pylist()]
-            for page, beside in zip(whole_pages, part.column(texts).to_pylist(), strict=True):
-                own = lines(page or "")
-                found.append(main_text([t for t, _ in own], [k for _, k in own], beside or []))
-            columns = [pa.array(whole_pages, pa.string()) if n == "html" else part.column(n) for n in names] + [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "text", "n_chars"])
-
-    return ready.mapInArrow(finish, widened(pages, "text string, n_chars long"))
+
+        def read(part: pa.RecordBatch):
+            whole = [None if page is None else unpack(page).decode("utf-8", "replace") for page in part.column(html_).to_pylist()]
+            found = [outline(page or "") for page in whole]
+            return part, whole, found, [[text for text, _, _ in f] for f in found], part.column(host_).to_pylist()
+
+        def judged(held, ahead: list[tuple], behind: list[tuple]) -> pa.RecordBatch:
+            part, whole, found, texts, hosts = held
+            every, n = [*ahead, *zip(texts, hosts, strict=True), *behind], len(ahead)
+            places = beside([t for t, _ in every], [h for _, h in every])[n : n + len(found)]
+            out = [main_text(f, [every[j][0] for j in near]) for f, near in zip(found, places, strict=True)]
+            columns = [pa.array(whole, pa.string()) if c == "html" else part.column(c) for c in names] + [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, [*names, "text", "n_chars"])
+
+        held, ahead = None, []
+        for part in small_batches(batches, html_, 1 << 19):
+            new = read(part)
+            if held:
+                yield judged(held, ahead, _few(zip(new[3], new[4], strict=True)))
+                ahead = _few([*zip(held[3][::-1], held[4][::-1], strict=True), *ahead[::-1]])[::-1]
+            held = new
+        if held:
+            yield judged(held, ahead, [])
+
+    return sorted_.mapInArrow(finish, widened(pages, "text string, n_chars long"))
+
+
+def _few(every) -> list[tuple[list[str], str]]:
+    """The first three different texts of the first host, as (lines, host)."""
+    out: list[tuple[list[str], str]] = []
+    for texts, host in every:
+        if len(out) == 3 or out and host != out[0][1]:
+            break
+        if texts and all(texts != t for t, _ in out):
+            out.append((texts, host))
+    return out

@@ -1,5 +1,7 @@
 """Language identification, decontamination and the two classifiers."""
 
+import time
+
 import duckdb
 import numpy as np
 import pytest
@@ -175,6 +177,64 @@ def test_pages_beside_each_other(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_pages_as_reviewed(spark):
+    """Body in blocks beside teasers; cards in closed furniture; a plain notice on every page; a short story under a long menu."""
+    teaser = '<body><article><h2>Other story</h2><p>Teaser.</p></article><div>The body %s starts here.</div><div>It goes on for a good while.</div><article><p>More.</p></article></body>'
+    related = '<body><article><p>Main text %s of the page.</p></article><div class="related"><article><p>A card %s.</p></article></div></body>'
+    notice = '<body><article><p>Sign up for our daily letter.</p><p>Story %s is told.</p><p>%s</p></article></body>'
+    menu = "<body>" + "".join(f"<div>Entry {i} of the menu</div>" for i in range(9)) + "<div>Short story %s.</div></body>"
+    rows = [(i, f"http://a.example/{i}", teaser % i) for i in range(3)] + [(10 + i, f"http://b.example/{i}", related % (i, i)) for i in range(3)]
+    rows += [(20 + i, f"http://c.example/{i}", notice % (i, "Quoted by two." if i < 2 else f"Own line {i}.")) for i in range(4)]
+    rows += [(30 + i, f"http://d.example/{i}", menu % i) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert all("The body" in got[i] and "Teaser" not in got[i] for i in range(3))
+    assert [got[10 + i] for i in range(3)] == [f"Main text {i} of the page." for i in range(3)]
+    assert [got[20 + i] for i in range(4)] == ["Story 0 is told.\n\nQuoted by two.", "Story 1 is told.\n\nQuoted by two.", "Story 2 is told.\n\nOwn line 2.", "Story 3 is told.\n\nOwn line 3."]
+    assert [got[30 + i] for i in range(3)] == [f"Short story {i}." for i in range(3)]
+
+
+def test_pages_of_any_order(spark):
+    """All pages against plain loops: the two nearest other texts of the host by path, whatever the batches."""
+    random = np.random.default_rng(4)
+    rows = []
+    for i in range(120):
+        host, common = random.integers(0, 3), [f"<div>c{x}</div>" for x in random.integers(0, 6, 4)]
+        own = [f"<p>own {i} {x}</p>" for x in range(random.integers(0, 4))]
+        html = None if i % 17 == 0 else "" if i % 19 == 0 else "".join([*common[:2], *own, *common[2:]])
+        rows.append((i, f"http://h{host}.example/p{random.integers(0, 30):02}", html))
+    rows += [(200 + i, r[1], r[2]) for i, r in enumerate(rows[:10])] + [rows[3]]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((r.page_id, r.text) for r in pages.extract(df.repartition(1)).coalesce(1).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    found = [pages.outline(h or "") for _, _, h in order]
+    want = []
+    for n, (i, url, _) in enumerate(order):
+        sides = []
+        for step in (-1, 1):
+            side, at = [], n + step
+            while 0 <= at < len(order) and order[at][1].split("/")[2] == url.split("/")[2] and len(side) < 2:
+                texts = [t for t, _, _ in found[at]]
+                if texts and texts != [t for t, _, _ in found[n]] and texts not in side:
+                    side.append(texts)
+                at += step
+            sides.append(side)
+        a, b = sides
+        want.append((i, pages.main_text(found[n], a[:1] + b[:1] if a and b else a + b)))
+    assert sum(x != y for x, y in zip(got, sorted(want), strict=True)) <= len(rows) // 20  # borders of ranges
+
+
+def test_hostile_pages_take_linear_time():
+    for page in ('<a "x ' * 60_000, "<div>" * 40_000 + "</span></p>" * 40_000, "<i><div>" + "<b>" * 30_000 + "</i>" * 30_000, "<a '\">" * 50_000, "<" * 500_000, "<x a='>" * 60_000, "<div class=ad><article>" * 20_000):
+        start = time.perf_counter()
+        pages.lines(page)
+        assert time.perf_counter() - start < 8
+
+
 def test_items_with_letters_behind_dots(spark, tmp_path):
     """A letter behind a dot or a comma is cut alike before and after the first pass, and as in SQL."""
     words = "we ask which of the given seven options holds at noon in every large town near here"
