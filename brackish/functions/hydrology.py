@@ -62,23 +62,17 @@ SIZE_A, SIZE_BETA1, SIZE_BETA2, SIZE_X0 = 0.0016, 1.42, -3.02, 15.0
 SOURCE_RANGE_UM, TARGET_RANGE_UM = (50.0, 2000.0), (0.1, 100.0)
 
 
-def size_density(x: Column) -> Column:
-    """Particle number density at size x (micrometres)."""
-    lx = F.log(x)
-    l0 = float(np.log(SIZE_X0))
-    power = lx * (SIZE_BETA1 + SIZE_BETA2) - SIZE_BETA2 * l0 + F.log1p(F.exp(l0 - lx)) * SIZE_BETA2 - SIZE_BETA2
-    return F.exp(power) * SIZE_A
-
-
-def size_share(low: float, high: float, points: int = 20001) -> float:
-    """The density integrated over a size range, on a log grid."""
-    x = np.geomspace(low, high, points)
-    l0 = np.log(SIZE_X0)
-    density = SIZE_A * np.exp(
-        (SIZE_BETA1 + SIZE_BETA2) * np.log(x) - SIZE_BETA2 * l0
-        + SIZE_BETA2 * np.log1p(SIZE_X0 / x) - SIZE_BETA2
-    )
-    return float(np.trapezoid(density, x))
+def size_density(x):
+    """Particle number density at size x (micrometres): A x^b1 (1 + x / x0)^b2 e^-b2; x is a column or an array."""
+    return SIZE_A * x**SIZE_BETA1 * (1.0 + x / SIZE_X0) ** SIZE_BETA2 * float(np.exp(-SIZE_BETA2))
+
+
+def size_share(low: float, high: float, nodes: int = 200) -> float:
+    """The density integrated over a size range, by Gauss's rule along the logarithm of the size."""
+    at, weight = np.polynomial.legendre.leggauss(nodes)
+    half, middle = np.log(high / low) / 2, np.log(high * low) / 2
+    x = np.exp(middle + half * at)
+    return float(half * weight @ (x * size_density(x)))
 
 
 def size_extrapolation(source=SOURCE_RANGE_UM, target=TARGET_RANGE_UM) -> float:

@@ -101,16 +101,15 @@ def harmonic_fit(df: DataFrame, keys: Sequence[str], hours: str, value: str, spe
 
     def solve(batches):
         for pdf in batches:
-            found = []
-            for row in pdf.to_dict("records"):
-                m = np.array([[row[f"m{min(p, q)}_{max(p, q)}"] for q in range(n)] for p in range(n)])
-                c = np.linalg.lstsq(m, np.array([row[f"r{p}"] for p in range(n)]), rcond=None)[0]
-                base = {k: row[k] for k in keys} | {"rows": row["rows"], "mean": c[0]}
-                for k, name in enumerate(names):
-                    a, b = c[1 + 2 * k], c[2 + 2 * k]
-                    found.append(base | {"constituent": name, "amplitude": float(np.hypot(a, b)),
-                                         "phase": float(np.degrees(np.arctan2(b, a)) % 360.0)})
-            yield pd.DataFrame(found, columns=[*keys, "rows", "mean", "constituent", "amplitude", "phase"])
+            m = np.stack([np.stack([pdf[f"m{min(p, q)}_{max(p, q)}"] for q in range(n)], axis=1) for p in range(n)], axis=1)
+            r = np.stack([pdf[f"r{p}"] for p in range(n)], axis=1)
+            # One call for all series of a batch; short records have many solutions, of which the smallest is taken.
+            c = (np.linalg.pinv(m, rcond=n * np.finfo(float).eps, hermitian=True) @ r[:, :, None])[:, :, 0]
+            a, b = c[:, 1::2], c[:, 2::2]
+            each = pdf[[*keys, "rows"]].loc[pdf.index.repeat(len(names))].reset_index(drop=True)
+            yield each.assign(
+                mean=np.repeat(c[:, 0], len(names)), constituent=names * len(pdf), amplitude=np.hypot(a, b).ravel(), phase=(np.degrees(np.arctan2(b, a)) % 360.0).ravel(),
+            )
 
     types = dict(reduced.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["rows long", "mean double", "constituent string", "amplitude double", "phase double"])
