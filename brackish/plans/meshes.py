@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brackish.operators import arrangement, flownet, graph, mesh
+from brackish.operators import chains as chain_ops
 from brackish.operators.metrics import ratio_summary
 from brackish.operators.ordered import Run, running
 from brackish.plans.registry import query
@@ -378,3 +379,45 @@ def wet_domains(spark, sf):
     half = arrangement.half_edges(arrangement.noded(linework(spark, sf)))
     found = arrangement.seeded_domains(half, seeds(spark, sf), "seed", "x", "y", least_hole=1.0)
     return found.select("seed", F.round("area", 4).alias("area"), F.round("perimeter", 4).alias("perimeter"), "holes")
+
+
+def lattice_lines(spark, sf):
+    """Rows of a jittered lattice as lines of short segments, and a short segment per supplier among them."""
+    p = F.col("p_partkey")
+    x, y = (p % 50 + (p * 37 % 11) / 40.0).cast("double"), (F.floor(p / 50) + (p * 53 % 13) / 40.0).cast("double")
+    nodes = table(spark, sf, "part").select(p.alias("node"), F.floor(p / 50).alias("row"), x.alias("x"), y.alias("y"))
+    step = running(nodes, ["row"], ["node"], {"px": Run("lag", F.col("x")), "py": Run("lag", F.col("y"))})
+    lines = step.where("px is not null").select("row", "node", F.col("px").alias("x1"), F.col("py").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    s = F.col("s_suppkey")
+    sx, sy = (s * 37 % 50 + 0.3).cast("double"), (s * 29 % 40 + 0.2).cast("double")
+    others = table(spark, sf, "supplier").select(sx.alias("x1"), sy.alias("y1"), (sx + s % 5 - 2).alias("x2"), (sy + s % 3 - 1).alias("y2"))
+    return lines, others
+
+
+@query("line_difference")  # tested against distances at many places of every segment
+def line_difference(spark, sf):
+    """What of the lines lies farther than 0.6 from every other segment, without slivers."""
+    lines, others = lattice_lines(spark, sf)
+    left = chain_ops.away_from(lines, others, "row", "node", 0.6, least=0.25)
+    return left.select("row", "piece", "node", *[F.round(c, 6).alias(c) for c in ("from", "to", "x1", "y1", "x2", "y2", "piece_length")])
+
+
+_RESPACED_SQL = f"""
+    WITH p AS (SELECT node, node // 50 AS row, x::DOUBLE AS x, y::DOUBLE AS y, (0.2 + node % 7 * 0.15)::DOUBLE AS h FROM ({_NODES_SQL})),
+    s AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(h) OVER w AS ph FROM p WINDOW w AS (PARTITION BY row ORDER BY node)),
+    c AS (SELECT *, sqrt(pow(x - px, 2) + pow(y - py, 2)) AS d, sqrt(pow(x - px, 2) + pow(y - py, 2)) * (1 / ph + 1 / h) / 2 AS c FROM s),
+    n AS (SELECT *, coalesce(sum(c) OVER w, 0) AS n, coalesce(sum(d) OVER w, 0) AS s FROM c WINDOW w AS (PARTITION BY row ORDER BY node ROWS UNBOUNDED PRECEDING)),
+    t AS (SELECT row, max(n) AS total, ceil(max(n) - 1e-9) AS steps FROM n GROUP BY row),
+    k AS (SELECT row, CAST(unnest(generate_series(0, steps::BIGINT)) AS BIGINT) AS k, total, steps FROM t),
+    hit AS (SELECT k.row, k.k, k.total / k.steps * k.k AS goal, n.* EXCLUDE (row) FROM k ASOF JOIN (SELECT *, n - c AS before FROM n WHERE px IS NOT NULL) n ON k.row = n.row AND k.total / k.steps * k.k + 1e-12 * (k.k = 0)::INT >= n.before),
+    f AS (SELECT *, 2 * (goal - before) / (1 / ph + sqrt(greatest(0, 1 / (ph * ph) + 2 * (goal - before) * (1 / h - 1 / ph) / d))) / d AS share FROM hit)
+    SELECT row, k AS n, round(px + share * (x - px), 6) AS x, round(py + share * (y - py), 6) AS y, round(s - d + share * d, 6) AS along FROM f"""
+
+
+@query("respaced_chain", _RESPACED_SQL)
+def respaced_chain(spark, sf):
+    """Each row of the lattice at a spacing that varies along it."""
+    p = F.col("p_partkey")
+    x, y = (p % 50 + (p * 37 % 11) / 40.0).cast("double"), (F.floor(p / 50) + (p * 53 % 13) / 40.0).cast("double")
+    nodes = table(spark, sf, "part").select(F.floor(p / 50).alias("row"), p.alias("node"), x.alias("x"), y.alias("y"), (0.2 + p % 7 * 0.15).alias("h"))
+    return chain_ops.respaced(nodes, ["row"], "node", "x", "y", "h").select("row", "n", *[F.round(c, 6).alias(c) for c in ("x", "y", "along")])
