@@ -78,8 +78,7 @@ class Network:
         logits = self.logits(np.concatenate(rows))
         starts = np.r_[0, np.cumsum([len(r) for r in rows])[:-1]]
         sizes = np.array([len(r) for r in rows])
-        found = self.probability(np.add.reduceat(logits, starts) / sizes)
-        return [float(p) if data else 0.0 for p, data in zip(found, texts, strict=True)]
+        return self.probability(np.add.reduceat(logits, starts) / sizes).tolist()
 
 
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
@@ -170,7 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_docs:
 
 
 def score(docs: DataFrame, model: Network | float) -> DataFrame:
-    """Add ``score``, the probability of label 1, and ``predicted`` (replacing such columns); null and empty texts get 0."""
+    """Add ``score``, the probability of label 1, and ``predicted`` (replacing such columns).
+
+    Null and empty texts are read as a chunk of zero bytes.  Very long texts are read whole, chunk by chunk; rows that
+    repeat a text get the same score; an empty table gives no rows.
+    """
     docs = docs.drop("score", "predicted")
     names = docs.columns
 

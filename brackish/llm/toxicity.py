@@ -18,6 +18,7 @@ from brackish.llm.texts import blocks, small_batches, to_bytes, widened
 TRAIN_DOCS = 3000  # labelled documents of each class that the dictionaries are made from, at most
 WINDOW = 32  # bytes of a window, filled up to the end of a word
 ORDINARY_BYTES = 16384  # size of the ordinary dictionary
+MOST_SAMPLES = 200_000  # windows, evenly drawn from all, that the ordinary dictionary is trained on
 LEAST_G2 = 30.0  # log-likelihood ratio from which a word is held to be typical of toxic text
 LEAST_DOCS = 5  # toxic documents with it
 LEAST_RATIO = 8.0  # how much more frequent it must be there
@@ -146,8 +147,9 @@ def _typical(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
 
 def _dictionary(texts: list[bytes]) -> bytes:
     samples = [b" " + b" ".join(words[a:b]) + b" " for data in texts if (words := data.lower().split()) for a, b in windows(words)]
+    samples = samples[:: -(-len(samples) // MOST_SAMPLES) or 1]
     try:
-        return zstandard.train_dictionary(ORDINARY_BYTES, samples[:200_000]).as_bytes()
+        return zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself
         return b"".join(samples)[-ORDINARY_BYTES:] or b" "
 
