@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brackish.session import cut_lineage
+from brackish.session import cut_rounds
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -17,8 +17,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     combines map-side, or of a join whose other side has one row per node.
     """
     one = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
-    both = cut_lineage(one.union(one.select("v", "u")).distinct())
-    f = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")))
+    both = cut_rounds(one.union(one.select("v", "u")).distinct())
+    f = cut_rounds(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")))
     while True:
         parents = f.select(F.col("u").alias("p"), F.col("p").alias("g"))
         grand = f.join(parents, "p")
@@ -29,7 +29,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             F.inline(F.array(F.struct(F.col("u").alias("u"), F.least("m", "g").alias("p")), F.struct(F.col("p").alias("u"), F.col("m").alias("p"))))
         ).withColumn("old", F.lit(None))
         kept = f.select("u", "p", F.col("p").alias("old"))
-        new = cut_lineage(kept.union(offers).groupBy("u").agg(F.min("p").alias("p"), F.max("old").alias("old")))
+        new = cut_rounds(kept.union(offers).groupBy("u").agg(F.min("p").alias("p"), F.max("old").alias("old")))
         settled = new.where("p <> old").isEmpty()
         f = new.drop("old")
         if settled:
@@ -41,8 +41,8 @@ def hop_distance(
 ) -> DataFrame:
     """Breadth-first hops from the nearest seed; only the newest ring is joined each round."""
     one = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = cut_lineage(one.union(one.select("v", "u")).distinct())
-    ring = cut_lineage(seeds.select(F.col(node).alias("u")).distinct().withColumn("d", F.lit(0)))
+    both = cut_rounds(one.union(one.select("v", "u")).distinct())
+    ring = cut_rounds(seeds.select(F.col(node).alias("u")).distinct().withColumn("d", F.lit(0)))
     seen, before = ring, ring
     hop = 0
     while True:
@@ -50,12 +50,12 @@ def hop_distance(
         # What a ring can reach is older by at most one ring: no growing table is searched.
         reached = ring.join(both, "u").select(F.col("v").alias("u")).distinct()
         known = ring.select("u").union(before.select("u"))
-        before, ring = ring, cut_lineage(reached.join(known, "u", "left_anti").withColumn("d", F.lit(hop)))
+        before, ring = ring, cut_rounds(reached.join(known, "u", "left_anti").withColumn("d", F.lit(hop)))
         if ring.isEmpty():
             break
         seen = seen.union(ring)
         if hop % 64 == 0:
-            seen = cut_lineage(seen)
+            seen = cut_rounds(seen)
     return nodes.select(node).join(seen.withColumnRenamed("u", node), node, "left").select(
         node, F.coalesce("d", F.lit(unreachable)).alias("distance")
     )
@@ -68,7 +68,7 @@ def path_order(arcs: DataFrame, arc: str, down: str) -> DataFrame:
     longest path of up to 2^k hops and the arc 2^k hops below, so the rounds are
     the logarithm of the depth.  Arcs on a cycle get -1.
     """
-    state = cut_lineage(arcs.select(F.col(arc).alias("u"), F.col(down).alias("jump"), F.lit(0).cast("long").alias("above")))
+    state = cut_rounds(arcs.select(F.col(arc).alias("u"), F.col(down).alias("jump"), F.lit(0).cast("long").alias("above")))
     most = max(state.count(), 1)
     hops = 1
     while True:
@@ -76,7 +76,7 @@ def path_order(arcs: DataFrame, arc: str, down: str) -> DataFrame:
             F.col("jump").alias("u"), (F.col("above") + hops).alias("offer")
         ).groupBy("u").agg(F.max("offer").alias("offer"))
         far = state.select(F.col("u").alias("jump"), F.col("jump").alias("next"))
-        state = cut_lineage(
+        state = cut_rounds(
             state.join(offers, "u", "left").join(far, "jump", "left").select(
                 "u", F.col("next").alias("jump"), F.greatest("above", "offer").alias("above")
             )
@@ -107,22 +107,22 @@ def ring_order(arrows: DataFrame, a: str, b: str, turns: DataFrame | None = None
     else:
         told = turns.select(pair("before", "node").alias("u"), pair("node", "after").alias("next"))
         linked = one.join(told, "u", "left_anti").join(out, "end").select("u", "next").unionByName(told)
-    linked = cut_lineage(linked)
-    state = cut_lineage(linked.select("u", F.col("next").alias("jump"), F.least("u", "next").alias("low")))
+    linked = cut_rounds(linked)
+    state = cut_rounds(linked.select("u", F.col("next").alias("jump"), F.least("u", "next").alias("low")))
     most, hops = max(state.count(), 1), 1
     while hops <= most:
         far = state.select(F.col("u").alias("jump"), F.col("jump").alias("next"), F.col("low").alias("low2"))
-        state = cut_lineage(state.join(far, "jump").select("u", F.col("next").alias("jump"), F.least("low", "low2").alias("low")))
+        state = cut_rounds(state.join(far, "jump").select("u", F.col("next").alias("jump"), F.least("low", "low2").alias("low")))
         hops *= 2
     ring = state.select("u", F.col("low").alias("ring"))
     back = linked.select(F.col("next").alias("u"), F.col("u").alias("prev")).join(ring, "u")
-    rank = cut_lineage(
+    rank = cut_rounds(
         back.select("u", "ring", F.when(F.col("u") != F.col("ring"), F.col("prev")).alias("jump"),
                     F.when(F.col("u") != F.col("ring"), 1).otherwise(0).cast("long").alias("steps"))
     )
     while not rank.where("jump is not null").isEmpty():
         far = rank.select(F.col("u").alias("jump"), F.col("jump").alias("next"), F.col("steps").alias("more"))
-        rank = cut_lineage(
+        rank = cut_rounds(
             rank.join(far, "jump", "left").select(
                 "u", "ring", F.col("next").alias("jump"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
             )
