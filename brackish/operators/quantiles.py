@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brackish.operators import ordered
+from brackish.session import cut_lineage
 
 ACCURACY = 100_000
 
@@ -52,12 +53,12 @@ def _bracketed(df, keys, probabilities, out, nearest_rank, accuracy) -> DataFram
     n = F.col("_n")
     grouped = df.withColumn("_g", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
     values = grouped.where(F.col("_v").isNotNull()).select("_g", "_v")
-    sketch = values.groupBy("_g").agg(
+    sketch = cut_lineage(values.groupBy("_g").agg(
         F.count("_v").alias("_n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", F.array(*map(F.lit, wanted)), accuracy).alias("_b"),
-    )
+    ))
     small = n <= accuracy
 
     def rank(p):
@@ -78,13 +79,15 @@ def _bracketed(df, keys, probabilities, out, nearest_rank, accuracy) -> DataFram
     whole = F.array(F.struct(F.lit(-1).alias("i"), F.col("_min").alias("low"), F.col("_max").alias("high")))
     split = F.array(*[bracket(i, p) for i, p in enumerate(probabilities)])
     brackets = sketch.select("_g", "_n", F.when(small, whole).otherwise(split).alias("_k"))
-    # One row per group against all of its values: Spark sizes this join itself
-    # and splits a skewed group; no bracket row is ever replicated per value.
-    placed = values.join(brackets, "_g")
+    # Of groups larger than the sketch there is one per ``accuracy`` rows at most: their brackets are sent to the
+    # values, so that no group of any size is moved or sorted whole.  The values of the other groups meet by shuffle.
+    large = F.broadcast(brackets.where(~small))
+    placed = values.join(large, "_g")
     lows = [F.count_if(F.col("_v") < F.get("_k", F.lit(i))["low"]) for i in range(len(probabilities))]
-    below = placed.where(F.col("_k")[0]["i"] >= 0).groupBy("_g").agg(F.array(*lows).alias("_below"))
+    below = placed.groupBy("_g").agg(F.array(*lows).alias("_below"))
+    rest = values.join(F.broadcast(brackets.where(~small).select("_g")), "_g", "left_anti").join(brackets.where(small), "_g")
     inside = (
-        placed.select("_g", "_v", "_n", F.explode("_k").alias("k"))
+        placed.unionByName(rest).select("_g", "_v", "_n", F.explode("_k").alias("k"))
         .where(F.col("_v").between(F.col("k.low"), F.col("k.high")))
         .groupBy("_g", "_v", "_n", F.col("k.i").alias("i"))
         .agg(F.count(F.lit(1)).alias("c"))
