@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from brackish.functions.geo import cross, in_triangle
 
 _FINEST = 40
+FEW_EDGES = 32  # a ring of no more edges carries them with its box
 
 
 def _level(extent: Column) -> Column:
@@ -66,47 +67,71 @@ def locate_in_triangles(
     points: DataFrame, triangles: DataFrame, point_id: str, x: str, y: str, triangle_id: str,
     corners: Sequence[tuple[str, str]],
 ) -> DataFrame:
-    """Lowest-numbered triangle that holds each point; points outside are dropped."""
+    """Lowest-numbered triangle that holds each point; points outside are dropped.
+
+    Points at one place are looked up once, and of triangles with the same corners only the first can be found.
+    """
+    flat = [c for corner in corners for c in corner]
     xs, ys = [F.col(a) for a, _ in corners], [F.col(b) for _, b in corners]
-    boxed = triangles.withColumns(
+    boxed = triangles.groupBy(*flat).agg(F.min(triangle_id).alias("_tri")).withColumns(
         {"_w": F.least(*xs), "_e": F.greatest(*xs), "_s": F.least(*ys), "_n": F.greatest(*ys)}
     )
-    near = points_in_boxes(points, boxed, x, y, "_w", "_s", "_e", "_n")
-    hit = near.where(in_triangle(F.col(x), F.col(y), [(F.col(a), F.col(b)) for a, b in corners]))
+    place = points.select(F.col(x).alias("_px"), F.col(y).alias("_py")).where("_px is not null and _py is not null").distinct()
+    near = points_in_boxes(place, boxed, "_px", "_py", "_w", "_s", "_e", "_n")
+    hit = near.where(in_triangle(F.col("_px"), F.col("_py"), [(F.col(a), F.col(b)) for a, b in corners]))
+    first = hit.groupBy("_px", "_py").agg(F.min("_tri").alias("_tri"))
+    found = points.join(first, (points[x] == first["_px"]) & (points[y] == first["_py"]))
     carried = [c for c in points.columns if c != point_id]
-    return hit.groupBy(point_id).agg(
-        *[F.first(c).alias(c) for c in carried], F.min(triangle_id).alias(triangle_id)
-    )
+    return found.groupBy(point_id).agg(*[F.first(c).alias(c) for c in carried], F.min("_tri").alias(triangle_id))
 
 
 def points_in_rings(points: DataFrame, edges: DataFrame, point_id: str, x: str, y: str, ring: str) -> DataFrame:
     """(point, ring) where a closed ring covers the point, its border included.
 
-    ``edges`` holds ring, x1, y1, x2, y2.  After the box test, a point meets only
+    ``edges`` holds ring, x1, y1, x2, y2.  A ring of few edges carries them with its box, and the test
+    ends where the point meets the box.  Elsewhere, after the box test, a point meets only
     the edges of the ring that reach its own height: edges are filed by height on
     the level of their own extent, so long coastlines are not scanned per point.
     """
     box = edges.groupBy(ring).agg(
         F.min(F.least("x1", "x2")).alias("_w"), F.max(F.greatest("x1", "x2")).alias("_e"),
-        F.min(F.least("y1", "y2")).alias("_s"), F.max(F.greatest("y1", "y2")).alias("_n"),
+        F.min(F.least("y1", "y2")).alias("_s"), F.max(F.greatest("y1", "y2")).alias("_n"), F.count(F.lit(1)).alias("_edges"),
     )
-    near = points_in_boxes(points.select(point_id, x, y), box, x, y, "_w", "_s", "_e", "_n")
-    near = near.select(point_id, ring, F.col(x).alias("_px"), F.col(y).alias("_py"))
+    place = points.select(F.col(point_id).alias("_pid"), F.col(x).cast("double").alias("_px"), F.col(y).cast("double").alias("_py"))
+    short, long = box.where(F.col("_edges") <= FEW_EDGES), box.where(F.col("_edges") > FEW_EDGES)
+    carried = edges.join(short.select(ring), ring, "left_semi").groupBy(ring).agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_line")
+    )
+    near = points_in_boxes(place, short.join(carried, ring), "_px", "_py", "_w", "_s", "_e", "_n")
+    px, py = F.col("_px"), F.col("_py")
+
+    def crossed(x1, y1, x2, y2):
+        at = x1 + F.try_divide((py - y1) * (x2 - x1), y2 - y1)
+        return ((y1 > py) != (y2 > py)) & (px < at)
+
+    def touched(x1, y1, x2, y2):
+        beside = px.between(F.least(x1, x2), F.greatest(x1, x2)) & py.between(F.least(y1, y2), F.greatest(y1, y2))
+        return (cross(x1, y1, x2, y2, px, py) == 0) & beside
+
+    ends = lambda e: (e["x1"], e["y1"], e["x2"], e["y2"])
+    odd = F.size(F.filter("_line", lambda e: crossed(*ends(e)))) % 2 == 1
+    inside = near.where(odd | F.exists("_line", lambda e: touched(*ends(e)))).select("_pid", ring).distinct()
+
+    near = points_in_boxes(place.distinct(), long, "_px", "_py", "_w", "_s", "_e", "_n").select("_pid", ring, "_px", "_py")
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    filed = edges.withColumn("_level", F.greatest(_level(high - low), F.lit(-_FINEST)))
+    filed = edges.join(long.select(ring), ring, "left_semi").withColumn("_level", F.greatest(_level(high - low), F.lit(-_FINEST)))
     levels = sorted(r[0] for r in filed.select("_level").distinct().collect())
+    if not levels:
+        return inside.withColumnRenamed("_pid", point_id)
     filed = filed.withColumn("_cell", F.explode(F.sequence(_cell(low, F.col("_level")), _cell(high, F.col("_level")))))
-    asked = near.withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
-    asked = asked.withColumn("_cell", _cell(F.col("_py"), F.col("_level")))
-    px, py = F.col("_px"), F.col("_py")
-    straddles = (F.col("y1") > py) != (F.col("y2") > py)
-    at = F.col("x1") + F.try_divide((py - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1"))
-    on_line = cross(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), px, py) == 0
-    touches = on_line & px.between(F.least("x1", "x2"), F.greatest("x1", "x2")) & py.between(low, high)
-    met = asked.join(filed, [ring, "_level", "_cell"]).groupBy(point_id, ring).agg(
-        F.count_if(straddles & (px < at)).alias("_crossed"), F.bool_or(touches).alias("_on")
+    asked = near.withColumn("_level", F.explode(F.array(*map(F.lit, levels))))
+    asked = asked.withColumn("_cell", _cell(py, F.col("_level")))
+    sides = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+    met = asked.join(filed, [ring, "_level", "_cell"]).groupBy("_pid", ring).agg(
+        F.count_if(crossed(*sides)).alias("_crossed"), F.bool_or(touched(*sides)).alias("_on")
     )
-    return met.where((F.pmod(F.col("_crossed"), F.lit(2)) == 1) | F.col("_on")).select(point_id, ring)
+    far = met.where((F.pmod(F.col("_crossed"), F.lit(2)) == 1) | F.col("_on")).select("_pid", ring)
+    return inside.unionByName(far).withColumnRenamed("_pid", point_id)
 
 
 def interpolate_in_triangles(
