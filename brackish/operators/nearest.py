@@ -5,9 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import AtomicType, DoubleType, IntegerType, StructField, StructType
 
 from brackish.operators.ordered import Run, running
 from brackish.session import cut_lineage
@@ -16,6 +21,10 @@ LEAF_ROWS = 32
 _DEEPEST = 12
 _KNOTS = 1024
 _SPLIT = 4
+GROUP_POINTS = 128  # points of a group, about
+GROUP_SOURCES = 20_000  # sources a group may meet; beyond that its points walk one by one
+CHUNK_POINTS = 50_000  # points of a group in one task
+_CELLS_AT_ONCE = 1 << 21
 
 
 def nearest_on_axis(left: DataFrame, right: DataFrame, left_value: str, right_value: str, right_id: str) -> DataFrame:
@@ -71,17 +80,101 @@ def nearest_of_few(choices: Sequence[tuple[str, Column]]) -> Column:
     return F.array_min(F.filter(entries, lambda e: e["distance"].isNotNull()))
 
 
+def _walk(asking: DataFrame, place: DataFrame, who: str, k: int, depth: int, cell_at) -> DataFrame:
+    """(who, its box, _cell): cells of ``place`` at ``depth`` that may hold one of the ``k`` nearest of any place in the box.
+
+    From the counts and tight bounds of the cells a box still considers follows a radius that holds ``k``
+    sources wherever in the box one stands; cells farther than it are dropped.
+    """
+    box = ["_pw", "_pe", "_ps", "_pn"]
+    candidates = asking
+    for level in range(1, depth + 1):
+        cells = place.groupBy(cell_at(level).alias("_child")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_sx").alias("_w"), F.max("_sx").alias("_e"),
+            F.min("_sy").alias("_s"), F.max("_sy").alias("_nn"),
+        )
+        parent = F.struct(
+            F.floor(F.col("_child.i") / _SPLIT).cast("long").alias("i"),
+            F.floor(F.col("_child.j") / _SPLIT).cast("long").alias("j"),
+        )
+        if level == 1:  # at most sixteen cells: all are considered
+            first = [
+                F.struct(
+                    F.struct(F.lit(r["_child"]["i"]).cast("long").alias("i"), F.lit(r["_child"]["j"]).cast("long").alias("j")).alias("_child"),
+                    *[F.lit(r[c]).alias(c) for c in ("_n", "_w", "_e", "_s", "_nn")],
+                )
+                for r in cells.collect()
+            ]
+            opened = candidates.select("*", F.inline(F.array(*first)))
+        else:
+            opened = candidates.join(cells.withColumn("_cell", parent), "_cell")
+        zero = F.lit(0.0)
+        near_x = F.greatest(F.col("_w") - F.col("_pe"), F.col("_pw") - F.col("_e"), zero)
+        near_y = F.greatest(F.col("_s") - F.col("_pn"), F.col("_ps") - F.col("_nn"), zero)
+        far_x = F.greatest(F.abs(F.col("_pe") - F.col("_w")), F.abs(F.col("_e") - F.col("_pw")))
+        far_y = F.greatest(F.abs(F.col("_pn") - F.col("_s")), F.abs(F.col("_nn") - F.col("_ps")))
+        measured = opened.withColumns(
+            {"_near": near_x * near_x + near_y * near_y, "_far": far_x * far_x + far_y * far_y}
+        )
+        outward = W.partitionBy(who).orderBy("_far").rowsBetween(W.unboundedPreceding, 0)
+        held = measured.withColumn("_held", F.sum("_n").over(outward))
+        radius = F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(W.partitionBy(who))
+        pruned = held.withColumn("_radius", radius).where(
+            # Squares that differ in their last bits may have one root, and then ids decide.
+            F.col("_radius").isNull() | (F.col("_near") <= F.col("_radius") * (1.0 + 1e-12))
+        )
+        candidates = pruned.select(who, *box, F.col("_child").alias("_cell"), F.col("_n").alias("_in_cell"))
+        if level < depth:
+            candidates = candidates.drop("_in_cell")
+    return candidates
+
+
+def _nearest_of_group(k: int, schema: pa.Schema):
+    """Cogrouped: points of a group and all sources that may be near one of them, in; the ``k`` nearest of each point, out."""
+
+    def run(points: pa.Table, sources: pa.Table) -> pa.Table:
+        if not points.num_rows or not sources.num_rows:
+            return schema.empty_table()
+        sources = sources.take(pc.sort_indices(sources, sort_keys=[("_sid", "ascending")], null_placement="at_start"))
+        sx, sy = sources.column("_sx").to_numpy(), sources.column("_sy").to_numpy()
+        px, py = points.column("_px").to_numpy(), points.column("_py").to_numpy()
+        most = min(k, len(sx))
+        step = max(1, _CELLS_AT_ONCE // len(sx))
+        who, which, away = [], [], []
+        for at in range(0, len(px), step):
+            dx, dy = sx - px[at : at + step, None], sy - py[at : at + step, None]
+            distance = np.sqrt(dx * dx + dy * dy)
+            # Ids ascend, so a stable order gives equal distances to the smaller id.
+            limit = np.partition(distance, most - 1, axis=1)[:, most - 1]
+            rows, found = np.nonzero(distance <= limit[:, None])
+            near = distance[rows, found]
+            order = np.lexsort((found, near, rows))
+            rows, found, near = rows[order], found[order], near[order]
+            rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            kept = rank < most
+            who.append(rows[kept] + at), which.append(found[kept]), away.append(near[kept])
+        who, which, away = np.concatenate(who), np.concatenate(which), np.concatenate(away)
+        rank = np.arange(len(who)) - np.searchsorted(who, who) + 1
+        columns = [points.column("_pid").take(pa.array(who)), sources.column("_sid").take(pa.array(which)), pa.array(away), pa.array(rank, pa.int32())]
+        return pa.Table.from_arrays([c.cast(t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+    return run
+
+
 def k_nearest(
     points: DataFrame, sources: DataFrame, point_id: str, source_id: str, xy: tuple[str, str] = ("x", "y"),
-    k: int = 1, leaf_rows: int = LEAF_ROWS,
+    k: int = 1, leaf_rows: int = LEAF_ROWS, group_points: int = GROUP_POINTS,
 ) -> DataFrame:
     """The exact ``k`` nearest sources of each point: (point_id, source_id, distance, rank).
 
     Sources are counted in cells that shrink fourfold per level until the
     fullest one holds ``leaf_rows``.  Cells divide the ranks on each axis, taken from a bounded
-    sketch, so that far or unset positions do not crowd all others into one cell.  Points then walk down the levels: from the
-    counts and tight bounds of the cells a point still considers follows a radius
-    that must hold ``k`` sources, and cells farther than it are dropped.  Only
+    sketch, so that far or unset positions do not crowd all others into one cell.  Points are put into groups
+    of about ``group_points`` by the cells they lie in.  Groups then walk down the levels: from the
+    counts and tight bounds of the cells a group still considers follows a radius
+    that must hold ``k`` sources, and cells farther than it are dropped.  Points of a group meet
+    the sources of the cells that are left, so that each point is moved a fixed number of times.  Where these are too many
+    (a dense cluster, or points far apart), and where ids of points repeat or are null, each point walks by itself, and only
     surviving leaf cells are opened.  A dense cluster therefore costs one cell per
     level until a point really is near it, and the number of candidates per point
     does not grow with the number of sources.  Sources at the very same place
@@ -117,54 +210,46 @@ def k_nearest(
     fullest = place.select(F.inline(each)).groupBy("d", "c").count().groupBy("d").agg(F.max("count").alias("n"))
     depth = min([r["d"] for r in fullest.where(F.col("n") <= leaf_rows).collect()], default=deepest)
 
-    px, py = F.col("_px"), F.col("_py")
-    candidates = wanted
-    for level in range(1, depth + 1):
-        cells = place.groupBy(cell_at(level).alias("_child")).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_sx").alias("_w"), F.max("_sx").alias("_e"),
-            F.min("_sy").alias("_s"), F.max("_sy").alias("_nn"),
-        )
-        parent = F.struct(
-            F.floor(F.col("_child.i") / _SPLIT).cast("long").alias("i"),
-            F.floor(F.col("_child.j") / _SPLIT).cast("long").alias("j"),
-        )
-        if level == 1:  # at most sixteen cells: every point considers them all
-            first = [
-                F.struct(
-                    F.struct(F.lit(r["_child"]["i"]).cast("long").alias("i"), F.lit(r["_child"]["j"]).cast("long").alias("j")).alias("_child"),
-                    *[F.lit(r[c]).alias(c) for c in ("_n", "_w", "_e", "_s", "_nn")],
-                )
-                for r in cells.collect()
-            ]
-            opened = candidates.select("*", F.inline(F.array(*first)))
-        else:
-            opened = candidates.join(cells.withColumn("_cell", parent), "_cell")
-        zero = F.lit(0.0)
-        near_x = F.greatest(F.col("_w") - px, px - F.col("_e"), zero)
-        near_y = F.greatest(F.col("_s") - py, py - F.col("_nn"), zero)
-        far_x = F.greatest(F.abs(F.col("_w") - px), F.abs(F.col("_e") - px))
-        far_y = F.greatest(F.abs(F.col("_s") - py), F.abs(F.col("_nn") - py))
-        measured = opened.withColumns(
-            {"_near": near_x * near_x + near_y * near_y, "_far": far_x * far_x + far_y * far_y}
-        )
-        outward = W.partitionBy("_pid").orderBy("_far").rowsBetween(W.unboundedPreceding, 0)
-        held = measured.withColumn("_held", F.sum("_n").over(outward))
-        radius = F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(W.partitionBy("_pid"))
-        pruned = held.withColumn("_radius", radius).where(
-            F.col("_radius").isNull() | (F.col("_near") <= F.col("_radius"))
-        )
-        candidates = pruned.select("_pid", "_px", "_py", F.col("_child").alias("_cell"))
-
-    dx, dy = F.col("_sx") - px, F.col("_sy") - py
-    pairs = candidates.join(place.withColumn("_cell", cell_at(depth)), "_cell").withColumn(
-        "distance", F.sqrt(dx * dx + dy * dy)
-    )
-    rank = F.row_number().over(W.partitionBy("_pid").orderBy("distance", "_sid"))
-    return (
-        pairs.withColumn("rank", rank)
-        .where(F.col("rank") <= k)
-        .select(F.col("_pid").alias(point_id), F.col("_sid").alias(source_id), "distance", "rank")
+    def one_by_one(alone: DataFrame) -> DataFrame:
+        spot = [F.col(c).alias(n) for c, n in (("_px", "_pw"), ("_px", "_pe"), ("_py", "_ps"), ("_py", "_pn"))]
+        candidates = _walk(alone.select("_pid", *spot), place, "_pid", k, depth, cell_at)
+        dx, dy = F.col("_sx") - F.col("_pw"), F.col("_sy") - F.col("_ps")
+        pairs = candidates.join(place.withColumn("_cell", cell_at(depth)), "_cell").withColumn("distance", F.sqrt(dx * dx + dy * dy))
+        rank = F.row_number().over(W.partitionBy("_pid").orderBy("distance", "_sid"))
+        return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("_pid", "_sid", "distance", "rank")
+
+    def named(found: DataFrame) -> DataFrame:
+        return found.select(F.col("_pid").alias(point_id), F.col("_sid").alias(source_id), "distance", "rank")
+
+    # Groups are cells, sixteen times as many a level; numbers, text and times can be sorted in the tasks.
+    groups_at = int(math.log(max(wanted.count() / group_points, 1.0), _SPLIT**2))
+    plain = all(isinstance(df.schema[c].dataType, AtomicType) for df, c in ((place, "_sid"), (wanted, "_pid")))
+    if groups_at < 1 or not plain:
+        return named(one_by_one(wanted))
+    ranked = wanted.withColumns({"_ux": _rank(F.col("_px"), xs), "_uy": _rank(F.col("_py"), ys)})
+    often = F.count(F.lit(1)).over(W.partitionBy("_pid"))
+    grouped = cut_lineage(ranked.select("_pid", "_px", "_py", cell_at(groups_at).alias("_group"), often.alias("_often")))
+    lone = F.col("_pid").isNotNull() & (F.col("_often") == 1) & ~F.isnan("_px") & ~F.isnan("_py")
+    boxes = grouped.where(lone).groupBy("_group").agg(
+        F.min("_px").alias("_pw"), F.max("_px").alias("_pe"), F.min("_py").alias("_ps"), F.max("_py").alias("_pn"), F.count(F.lit(1)).alias("_points")
     )
+    leaf = min(depth, groups_at + 1)
+    reached = cut_lineage(_walk(boxes.drop("_points"), place, "_group", k, leaf, cell_at).select("_group", "_cell", "_in_cell"))
+    light = reached.groupBy("_group").agg(F.sum("_in_cell").alias("_sources")).where(F.col("_sources") <= GROUP_SOURCES)
+    chunks = light.join(boxes, "_group").select("_group", F.ceil(F.col("_points") / CHUNK_POINTS).cast("int").alias("_chunks"))
+    told = cut_lineage(grouped.join(chunks, "_group", "left"))
+    mine = lone & F.col("_chunks").isNotNull()
+    chunk = F.pmod(F.xxhash64("_px", "_py", "_pid"), F.col("_chunks")).cast("int")
+    near = reached.join(chunks, "_group").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    offered = near.join(place.withColumn("_cell", cell_at(leaf)), "_cell").select("_group", "_chunk", "_sid", "_sx", "_sy")
+    asked = told.where(mine).select("_group", chunk.alias("_chunk"), "_pid", "_px", "_py")
+    kinds = StructType([
+        StructField("_pid", asked.schema["_pid"].dataType), StructField("_sid", offered.schema["_sid"].dataType),
+        StructField("distance", DoubleType()), StructField("rank", IntegerType()),
+    ])
+    by = lambda df: df.withColumns({"_i": F.col("_group.i"), "_j": F.col("_group.j")}).drop("_group").groupBy("_i", "_j", "_chunk")
+    met = by(asked).cogroup(by(offered)).applyInArrow(_nearest_of_group(k, to_arrow_schema(kinds)), kinds)
+    return named(met.unionByName(one_by_one(told.where(~mine).select("_pid", "_px", "_py"))))
 
 
 def inverse_distance(
