@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 from brackish.functions.geo import degree_cell_area_m2
 from brackish.operators.nearest import k_nearest
 from brackish.operators.ordered import Run, Slices, running
-from brackish.session import cut_lineage
+from brackish.session import cut_lineage, cut_rounds
 
 GRAVITY = 9.807  # fixed value
+BLOCK_CELLS = 1 << 20  # cells of a block that one task settles at a time
+LONGEST_BLOCK = 1 << 14  # cells along a narrow block
 
 
 def bilinear(
@@ -145,92 +148,206 @@ def depth_gradient(grid: DataFrame, value: str, dx: float, dy: float) -> DataFra
     return met.withColumn("gradient", F.sqrt(gx * gx + gy * gy)).drop("w", "e", "s", "n")
 
 
+def _doubled(free: np.ndarray) -> list[np.ndarray]:
+    """For steps of 1, 2, 4, ... along rows: from which cells so many single steps in a row are free."""
+    found, step = [], 1
+    while free.shape[1] > 0:
+        found.append(free)
+        free, step = free[:, :-step] & free[:, step:], 2 * step
+    return found
+
+
+def _sweep(fresh: np.ndarray, pass_on: Callable[[int, int], bool]) -> None:
+    """Down and up over the rows until ``pass_on(row, from row)`` changes none; only rows that changed are passed on."""
+    down, up = fresh.tolist(), fresh.tolist()
+    last = len(down) - 1
+    while any(down) or any(up):
+        for waiting, order, way in ((down, range(last + 1), 1), (up, range(last, -1, -1), -1)):
+            for k in order:
+                if waiting[k]:
+                    waiting[k] = False
+                    if 0 <= k + way <= last and pass_on(k + way, k):
+                        down[k + way] = up[k + way] = True
+
+
+def _lower_envelope(value: np.ndarray, opened: np.ndarray, along: float, across: float, slant: float | None) -> None:
+    """Lowers each open value, in place, to the least other one plus the path length to it."""
+    runs = _doubled(opened[:, :-1] & opened[:, 1:])
+
+    def spread(j: int) -> None:
+        row = value[j]
+        for n, free in enumerate(runs):
+            s, way = 1 << n, along * (1 << n)
+            right, left = row[:-s] + way, row[s:] + way
+            if n == 0 and not (free[j] & ((right < row[1:] - 1e-9) | (left < row[:-1] - 1e-9))).any():
+                return
+            np.minimum(row[:-s], left, out=row[:-s], where=free[j])
+            np.minimum(row[s:], right, out=row[s:], where=free[j])
+
+    def pass_on(j: int, k: int) -> bool:
+        row, before = value[j], value[k]
+        offer = before + across
+        if slant is not None:
+            np.minimum(offer[1:], before[:-1] + slant, out=offer[1:])
+            np.minimum(offer[:-1], before[1:] + slant, out=offer[:-1])
+        better = opened[j] & (offer < row - 1e-9)
+        if not better.any():
+            return False
+        row[better] = offer[better]
+        spread(j)
+        return True
+
+    known = np.isfinite(value).any(axis=1)
+    for j in np.flatnonzero(known):
+        spread(j)
+    _sweep(known, pass_on)
+
+
+def _envelope_labels(value: np.ndarray, mark: np.ndarray, along: float, across: float, slant: float | None) -> None:
+    """Lowers each mark, in place, to the least one whose cell gives this cell its value."""
+    with np.errstate(invalid="ignore"):
+        slack = np.where(np.isfinite(value), np.maximum(1e-9, 64 * np.spacing(value)), -1.0)
+
+        def gives(there, here, length):
+            return np.abs(value[there] + length - value[here]) <= slack[here]
+
+        every, low, high = slice(None), slice(None, -1), slice(1, None)
+        right, left = _doubled(gives((every, low), (every, high), along)), _doubled(gives((every, high), (every, low), along))
+        # Columns of a row and of the row it is passed on to.
+        ways = [(every, every, across)] + ([(low, high, slant), (high, low, slant)] if slant is not None else [])
+        down = [(there, here, gives((low, there), (high, here), d)) for there, here, d in ways]
+        up = [(there, here, gives((high, there), (low, here), d)) for there, here, d in ways]
+
+    def spread(j: int) -> None:
+        row = mark[j]
+        for n in range(len(right)):
+            s = 1 << n
+            np.minimum(row[s:], row[:-s], out=row[s:], where=right[n][j])
+            np.minimum(row[:-s], row[s:], out=row[:-s], where=left[n][j])
+
+    def pass_on(j: int, k: int) -> bool:
+        row, before = mark[j], mark[j].copy()
+        for there, here, free in down if j > k else up:
+            np.minimum(row[here], mark[k][there], out=row[here], where=free[min(j, k)])
+        if np.array_equal(row, before):
+            return False
+        spread(j)
+        return True
+
+    for j in range(len(mark)):
+        spread(j)
+    _sweep(np.ones(len(mark), bool), pass_on)
+
+
+def _block_shape(rows: int, columns: int) -> tuple[int, int]:
+    """Height and width of blocks of up to BLOCK_CELLS cells; a narrow grid is cut across only."""
+    side = math.isqrt(BLOCK_CELLS)
+    if min(rows, columns) >= side:
+        return side, side
+    narrow = max(min(rows, columns), 1)
+    long = min(BLOCK_CELLS // narrow, LONGEST_BLOCK)
+    return (narrow, long) if rows < columns else (long, narrow)
+
+
 def relax(
     grid: DataFrame, cost: str, dx: float, dy: float, weight: float = 1.0, connectivity: int = 8,
-    label: str | None = None, block: int = 128,
+    label: str | None = None, block: int | None = None,
 ) -> DataFrame:
     """Lower envelope: each cell becomes the least ``cost + weight * path length`` of any cell.
 
-    Paths run over the cells of the table only.  The grid is cut into square
-    blocks with a one-cell border.  A round settles every block inside its own
-    task and passes borders on, so the number of rounds is the number of blocks
-    a path crosses, not the number of cells.  ``label`` travels with the value
-    (smallest on a tie).  Unreached cells keep a null cost.
+    Paths run over the cells of the table only.  The grid is cut into blocks (squares of ``block``
+    cells a side, or large ones of a shape that suits the grid).  A round settles, each inside its own
+    task, the blocks whose neighbours changed on their borders, and hands on only what
+    changed on theirs; when no border changes, all cells are settled once.  So the number of
+    rounds is the number of blocks a path crosses, and a round moves the cells of
+    the blocks at work only.  ``label`` travels with the value (smallest on a
+    tie).  Unreached cells keep a null cost.
     """
-    def near(c, shift):
-        return F.floor((F.col(c) + shift) / F.lit(block)).cast("long")
-
-    homes = F.array_distinct(
-        F.array(*[F.struct(near("j", a).alias("bj"), near("i", b).alias("bi")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    )
     lab = label or "_label"
     work = grid if label else grid.withColumn(lab, F.lit(0).cast("long"))
     work = work.withColumns({cost: F.col(cost).cast("double"), lab: F.col(lab).cast("long")})
     rest = [c for c in work.columns if c not in ("j", "i", cost, lab)]
-    state = work.select(F.col("j").cast("long").alias("j"), F.col("i").cast("long").alias("i"), cost, lab)
-    ways = [(0, 1, dx), (0, -1, dx), (1, 0, dy), (-1, 0, dy)]
-    if connectivity == 8:
-        ways += [(a, b, float(np.hypot(dx, dy))) for a in (-1, 1) for b in (-1, 1)]
+    places = work.where("j is not null and i is not null").select(F.col("j").cast("long").alias("j"), F.col("i").cast("long").alias("i"), cost, lab)
+    top, bottom, west, east = places.agg(F.min("j"), F.max("j"), F.min("i"), F.max("i")).first()
+    if top is None:
+        top = bottom = west = east = 0
+    tall, wide = (block, block) if block else _block_shape(bottom - top + 1, east - west + 1)
+    along, across = weight * dx, weight * dy
+    slant = weight * float(np.hypot(dx, dy)) if connectivity == 8 else None
+
+    def home(a: int, b: int) -> list[Column]:
+        return [F.floor((F.col("j") - top + a) / F.lit(tall)).cast("long").alias("bj"), F.floor((F.col("i") - west + b) / F.lit(wide)).cast("long").alias("bi")]
 
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        bj, bi = int(pdf["bj"].iloc[0]), int(pdf["bi"].iloc[0])
+    homes = F.array_distinct(F.array(*[F.struct(*home(a, b)) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
+
+    def settled(pdf: pd.DataFrame, whole: bool) -> pd.DataFrame:
         none = np.iinfo(np.int64).max
-        labels = pdf[lab].astype("Int64").fillna(none).to_numpy(np.int64)
-        rows = pdf["j"].to_numpy() - bj * block + 1
-        cols = pdf["i"].to_numpy() - bi * block + 1
-        value = np.full((block + 2, block + 2), np.inf)
-        mark = np.full(value.shape, none)
-        open_ = np.zeros(value.shape, bool)
-        value[rows, cols] = pdf[cost].fillna(np.inf).to_numpy()
-        mark[rows, cols] = labels
-        open_[rows, cols] = True
-        while True:
-            best, tag = value.copy(), mark.copy()
-            for dj, di, length in ways:
-                a = slice(max(dj, 0), value.shape[0] + min(dj, 0))
-                b = slice(max(di, 0), value.shape[1] + min(di, 0))
-                c = slice(max(-dj, 0), value.shape[0] + min(-dj, 0))
-                d = slice(max(-di, 0), value.shape[1] + min(-di, 0))
-                offer, origin = value[c, d] + weight * length, mark[c, d]
-                here = open_[a, b]
-                better = here & (offer < best[a, b] - 1e-9)
-                tied = here & np.isfinite(offer) & (offer >= best[a, b] - 1e-9) & (offer <= best[a, b] + 1e-9) & (origin < tag[a, b])
-                best[a, b] = np.where(better, offer, best[a, b])
-                tag[a, b] = np.where(better | tied, origin, tag[a, b])
-            if np.array_equal(best, value) and np.array_equal(tag, mark):
-                break
-            value, mark = best, tag
-        own = (rows >= 1) & (rows <= block) & (cols >= 1) & (cols <= block)
-        got, who = value[rows[own], cols[own]], mark[rows[own], cols[own]]
-        before, tags = pdf[cost].to_numpy()[own], labels[own]
-        old = np.where(np.isnan(before), np.inf, before)
+        j0, i0 = int(pdf["j"].min()), int(pdf["i"].min())
+        rows, cols = pdf["j"].to_numpy() - j0, pdf["i"].to_numpy() - i0
+        shape = int(rows.max()) + 1, int(cols.max()) + 1
+        start, mark, opened = np.full(shape, np.inf), np.full(shape, none), np.zeros(shape, bool)
+        given = pdf[cost].fillna(np.inf).to_numpy()
+        names = pdf[lab].astype("Int64").fillna(none).to_numpy(np.int64)
+        last = np.lexsort((names, given))[::-1]  # of several rows for a cell the least stays
+        start[rows[last], cols[last]], mark[rows[last], cols[last]], opened[rows, cols] = given[last], names[last], True
+        steps = along, across, slant
+        turned = shape[0] < shape[1]  # rows are passed on along the longer side
+        if turned:
+            start, mark, opened = (np.ascontiguousarray(x.T) for x in (start, mark, opened))
+            steps = across, along, slant
+        value = start.copy()
+        _lower_envelope(value, opened, *steps)
+        if label:
+            mark[value < start - 1e-9] = none
+            _envelope_labels(value, mark, *steps)
+        if turned:
+            value, mark = value.T, mark.T
+        if whole:
+            own = pdf["own"].to_numpy()
+            rows, cols = rows[own], cols[own]
+        else:
+            bj, bi = int(pdf["bj"].iloc[0]) * tall + top, int(pdf["bi"].iloc[0]) * wide + west
+            j, i = np.arange(shape[0])[:, None] + j0 - bj, np.arange(shape[1])[None, :] + i0 - bi
+            inside = (j >= 0) & (j < tall) & (i >= 0) & (i < wide)
+            edge = (j == 0) | (j == tall - 1) | (i == 0) | (i == wide - 1)
+            rows, cols = np.nonzero(inside & edge & np.isfinite(value))
+        got, who = value[rows, cols], mark[rows, cols]
         known = np.isfinite(got)
+        named = known & (who != none)
         return pd.DataFrame(
-            {
-                "j": pdf["j"].to_numpy()[own], "i": pdf["i"].to_numpy()[own],
-                cost: np.where(known, got, np.nan),
-                lab: pd.Series(np.where(known, who, 0)).astype("Int64").where(known),
-                "_changed": (got < old) | (known & (who != tags)),
-            }
+            {"j": rows + j0, "i": cols + i0, cost: np.where(known, got, np.nan), lab: pd.Series(np.where(named, who, 0)).astype("Int64").where(named)}
         )
 
-    schema = f"j long, i long, `{cost}` double, `{lab}` long, _changed boolean"
-    active = None  # blocks that saw a change in the round before; at first all
-    while True:
-        opened = state.select("j", "i", cost, lab, F.inline(homes))
-        if active is not None:
-            opened = opened.join(active, ["bj", "bi"], "left_semi")
-        settled = opened.groupBy("bj", "bi").applyInPandas(settle, schema)
-        settled = settled.withColumn(cost, F.when(~F.isnan(cost), F.col(cost)))
-        if active is not None:
-            idle = state.withColumns({"bj": near("j", 0), "bi": near("i", 0), "_changed": F.lit(False)})
-            settled = settled.union(idle.join(active, ["bj", "bi"], "left_anti").select(*settled.columns))
-        state = cut_lineage(settled)
-        changed = state.where("_changed")
-        if changed.isEmpty():
-            break
-        active = changed.select(F.inline(homes)).distinct()
-    done = state.drop("_changed") if label else state.drop("_changed", lab)
+    schema = f"j long, i long, `{cost}` double, `{lab}` long"
+    facts = ["j", "i", cost, lab]
+
+    def settle(cells: DataFrame, known: DataFrame | None, whole: bool) -> DataFrame:
+        if known is not None:
+            cells = cells.unionByName(known)
+        return cells.groupBy("bj", "bi").applyInPandas(lambda pdf: settled(pdf, whole), schema)
+
+    cells = places.select(*facts, *home(0, 0), F.lit(True).alias("own"))
+    border = None
+    if bottom - top >= tall or east - west >= wide or block:
+        cells = cut_lineage(cells)
+        active = cells.where(F.col(cost).isNotNull()).select("bj", "bi").distinct()
+        border = cut_rounds(cells.select(*facts).limit(0))
+        told = lambda: border.select(*facts, F.inline(homes), F.lit(False).alias("own"))
+        while True:
+            at_work = lambda df: df.join(active, ["bj", "bi"], "left_semi")
+            old = border.select("j", "i", F.col(cost).alias("_cost"), F.col(lab).alias("_lab"))
+            met = settle(at_work(cells), at_work(told()), whole=False).join(old, ["j", "i"], "left")
+            lower = F.col("_cost").isNull() | (F.col(cost) < F.col("_cost") - 1e-9)
+            renamed = (F.col(cost) <= F.col("_cost") + 1e-9) & (F.col(lab) < F.coalesce("_lab", F.lit(np.iinfo(np.int64).max)))
+            changed = cut_rounds(met.where(lower | renamed).select("j", "i", F.least(cost, "_cost").alias(cost), lab))
+            if changed.isEmpty():
+                break
+            border = cut_rounds(border.join(changed, ["j", "i"], "left_anti").unionByName(changed))
+            active = changed.select(F.inline(F.array_except(homes, F.array(F.struct(*home(0, 0)))))).distinct()
+    # A border cell tells its own block too, which then agrees with what its neighbours were told.
+    state = settle(cells, told() if border is not None else None, whole=True)
+    state = cut_lineage(state.withColumn(cost, F.when(~F.isnan(cost), F.col(cost))))
+    done = state if label else state.drop(lab)
     kept = work.select(F.col("j").cast("long").alias("j"), F.col("i").cast("long").alias("i"), *rest)
     return kept.join(done, ["j", "i"]) if rest else done
 
