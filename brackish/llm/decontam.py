@@ -17,7 +17,7 @@ UNITS = (
 ).split()
 
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
-_NAMED = r"([\p{Ll}\p{N},;\x01] )(\p{Lu}\p{Ll}+)"  # a capitalised word that does not begin a sentence
+_NAMED = r"(\p{Lu}(?<=[\p{Ll}\p{N},;\x01] \p{Lu})\p{Ll}+)"  # a capitalised word that does not begin a sentence
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
 _UNIT = r"(\x02[\p{N}.,]*) +(%|(?:" + "|".join(UNITS) + r")\b)"
 _BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01\x02\x03.,]|[.,]+(?:[^\p{N}]|$))+"
@@ -25,8 +25,7 @@ _BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01\x02\x03.,]|[.,]+(?:[^\p{N}]|$))+"
 
 def _marked(text: Column) -> Column:
     """Placeholders in the text, each followed by its value."""
-    for _ in range(2):  # the second pass reaches names that follow a name
-        text = F.regexp_replace(text, _NAMED, f"$1{NAME}$2")
+    text = F.regexp_replace(text, _NAMED, f"{NAME}$1")
     counted = F.regexp_replace(text, _NUMBER, f" {NUMBER}$1 ")
     counted = F.regexp_replace(counted, _UNIT, f"$1 {UNIT}$2")
     return F.when(text.rlike(r"\p{N}"), counted).otherwise(text)
@@ -38,7 +37,8 @@ def valued(text: Column) -> Column:
 
 
 def _is_slot(token: Column) -> Column:
-    return F.substring(token, 1, 1).isin(NAME, NUMBER, UNIT)
+    """Whether a token begins with a mark: no other token begins with a character as low."""
+    return token < F.lit("\x04")
 
 
 def _bare(tokens: Column) -> Column:
@@ -56,18 +56,27 @@ def _spots(tokens: Column, length: int) -> Column:
     return F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _each_length(tokens: Column, lengths: list[int], make) -> Column:
-    """``make(start, length)`` of every window of every length, in one array."""
+def _token_hashes(tokens: Column) -> Column:
+    """One hash a token, so that windows hash numbers and no token is hashed once a window."""
+    return F.transform(tokens, lambda t: F.when(_is_slot(t), F.xxhash64(F.substring(t, 1, 1))).otherwise(F.xxhash64(F.lower(t))))
 
-    def of(n: int) -> Column:
-        return F.transform(_spots(tokens, n), lambda i: make(i, n))
 
-    found = [of(n) for n in lengths]
-    return F.concat(*found) if len(found) > 1 else found[0]
+def _hashed_windows(rows: DataFrame, key: str, hashes: str, lengths: list[int]) -> DataFrame:
+    """(key, hash) of every window of every length over an array of token hashes.
+
+    Starts are exploded first and windows hashed row by row, which Spark compiles, as it does not for lambdas.
+    """
 
+    def whole(n: int) -> Column:
+        tokens = [F.get(hashes, F.col("at") + k) for k in range(n)]
+        return F.when(F.col("at") + n <= F.size(hashes), F.xxhash64(*tokens))
 
-def _hashes(tokens: Column, lengths: list[int]) -> Column:
-    return _each_length(tokens, lengths, lambda i, n: F.xxhash64(F.slice(tokens, i, n)))
+    last = F.size(hashes) - min(lengths)
+    # No filter on the size: it would be pushed below the tokens, which would then be cut twice.
+    starts = rows.select(key, hashes, F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("at"))
+    if len(lengths) == 1:
+        return starts.select(key, whole(lengths[0]).alias("hash"))
+    return starts.select(key, F.explode(F.array(*map(whole, lengths))).alias("hash")).where("hash is not null")
 
 
 def _forms(tokens: Column, lengths: list[int]) -> Column:
@@ -81,7 +90,11 @@ def _forms(tokens: Column, lengths: list[int]) -> Column:
             F.size(F.filter(window, lambda t: ~_is_slot(t) & ~t.rlike(r"^\p{N}"))).alias("literals"),
         )
 
-    return _each_length(tokens, lengths, one)
+    def of(n: int) -> Column:
+        return F.transform(_spots(tokens, n), lambda i: one(i, n))
+
+    found = [of(n) for n in lengths]
+    return F.concat(*found) if len(found) > 1 else found[0]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -125,14 +138,13 @@ def _found(docs: DataFrame, benchmark: DataFrame, cut, first_as_name: bool = Fal
         for n in lengths:
             own_first = begun.where(F.size("tokens") == n).select("item_id", F.explode(_forms(F.col("tokens"), [n])).alias("w")).select("item_id", "w.*", F.lit(True).alias("inside"))
             windows = windows.union(own_first.where(F.col("literals") >= LITERALS))
-    known = windows.select(F.xxhash64(F.split("form", " ")).alias("hash")).distinct()
+    known = windows.select(F.xxhash64(F.transform(F.split("form", " "), lambda t: F.xxhash64(t))).alias("hash")).distinct()
     count = known.count()
     fewest = min(LEAST_WINDOWS, sizes.agg(F.min("item_windows")).first()[0] or 1)
     small = F.broadcast if count <= BROADCAST_WINDOWS else (lambda df: df)
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tokens = rows.select("doc_id", _bare(cut(F.col("text"))).alias("tokens"))
-    hashed = tokens.select("doc_id", F.explode(_hashes(F.col("tokens"), lengths)).alias("hash"))
+    hashed = _hashed_windows(rows.select("doc_id", _token_hashes(cut(F.col("text"))).alias("hashes")), "doc_id", "hashes", lengths)
     hit = hashed.join(small(known), "hash", "left_semi").groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") >= fewest)
 
     again = rows.join(hit.select("doc_id"), "doc_id", "left_semi").select("doc_id", cut(F.col("text")).alias("tokens"))
