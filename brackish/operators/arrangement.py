@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,26 @@ def close_pairs(segments: DataFrame) -> DataFrame:
     return met.where(meet & (F.col("cx") == _cell(west, F.col("at"))) & (F.col("cy") == _cell(south, F.col("at")))).select("a", "b")
 
 
+def _apart(segments: DataFrame) -> DataFrame:
+    """Segments (x1, y1, x2, y2) that run along an axis, cut at each other's ends where they lie on one line, each piece once.
+
+    Of pieces that cover each other every crossing would be found again and again.
+    """
+    upright = F.col("x1") == F.col("x2")
+    axis = segments.where(upright | (F.col("y1") == F.col("y2"))).select(
+        upright.alias("upright"), F.when(upright, F.col("x1")).otherwise(F.col("y1")).alias("at"),
+        F.when(upright, F.least("y1", "y2")).otherwise(F.least("x1", "x2")).alias("lo"),
+        F.when(upright, F.greatest("y1", "y2")).otherwise(F.greatest("x1", "x2")).alias("hi"),
+    )
+    ends = axis.select("upright", "at", F.inline(F.array(*[F.struct(F.col(c).alias("to"), F.lit(n).cast("long").alias("turn")) for c, n in (("lo", 1), ("hi", -1))])))
+    ends = cut_lineage(ends.groupBy("upright", "at", "to").agg(F.sum("turn").alias("turn")))
+    walked = running(ends, ["upright", "at"], ["to"], {"since": Run("lag", F.col("to")), "over": Run("sum", F.col("turn"))})
+    pieces = walked.where("since is not null and over > turn")  # something lies over the stretch before this end
+    corner = lambda c: [F.when(F.col("upright"), F.col("at")).otherwise(F.col(c)), F.when(F.col("upright"), F.col(c)).otherwise(F.col("at"))]
+    cut = pieces.select(*[c.alias(n) for c, n in zip(corner("since") + corner("to"), ("x1", "y1", "x2", "y2"), strict=True)])
+    return segments.where(~upright & (F.col("y1") != F.col("y2"))).unionByName(cut)
+
+
 def noded(segments: DataFrame, digits: int = 9) -> DataFrame:
     """Distinct edges (u, v), u before v, into which segments (x1, y1, x2, y2) cut each other.
 
@@ -66,7 +88,7 @@ def noded(segments: DataFrame, digits: int = 9) -> DataFrame:
     plain = segments.select(*x.values()).where(whole & ((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))))
     turned = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
     plain = plain.select(*[F.when(turned, F.col(o)).otherwise(F.col(c)).alias(c) for c, o in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))]).distinct()
-    known = cut_lineage(plain.withColumn("id", F.monotonically_increasing_id()))
+    known = cut_lineage(_apart(cut_lineage(plain)).withColumn("id", F.monotonically_increasing_id()))
 
     pairs = close_pairs(known)
     corner = lambda s, k: (F.col(f"{s}.x{k}"), F.col(f"{s}.y{k}"))
@@ -109,15 +131,19 @@ def _next(arrows: DataFrame) -> DataFrame:
 def _labelled(linked: DataFrame) -> DataFrame:
     """(arrow, next, ring): the least half-edge of the closed chain that each half-edge is on, in logarithmic rounds."""
     linked = cut_rounds(linked)
-    state = linked.select("arrow", F.col("next").alias("jump"), F.least("arrow", "next").alias("ring"))
+    state = cut_rounds(linked.select("arrow", F.col("next").alias("jump"), F.least("arrow", "next").alias("ring")))
+    whole = []
     while True:
-        state = cut_rounds(state)
         far = state.select(F.col("arrow").alias("jump"), F.col("jump").alias("farther"), F.col("ring").alias("other"))
         met = cut_rounds(state.join(far, "jump"))
-        # Stretches of the same length lie end to end: where all agree with the next one, each has seen its whole chain.
-        if met.where("ring <> other").isEmpty():
-            return linked.join(state.select("arrow", "ring"), "arrow")
-        state = met.select("arrow", F.col("farther").alias("jump"), F.least("ring", "other").alias("ring"))
+        # Stretches of the same length lie end to end: where all with a label agree with the next one, each has seen
+        # its whole chain, which takes no part in further rounds.
+        short = cut_rounds(met.where("ring <> other").select("ring").distinct())
+        if short.isEmpty():
+            whole.append(met.select("arrow", "ring"))
+            return linked.join(reduce(DataFrame.unionByName, whole), "arrow")
+        whole.append(cut_rounds(met.join(short, "ring", "left_anti").select("arrow", "ring")))
+        state = cut_rounds(met.join(short, "ring", "left_semi").select("arrow", F.col("farther").alias("jump"), F.least("ring", "other").alias("ring")))
 
 
 def half_edges(edges: DataFrame) -> DataFrame:
