@@ -15,9 +15,13 @@ from brackish.session import cut_lineage
 
 
 def corners(triangles: DataFrame, nodes: DataFrame, carry: Sequence[str] = ("x", "y")) -> DataFrame:
-    """One row per triangle with the fields of its three nodes: one join, one regroup."""
+    """One row per triangle with the fields of its three nodes: one join, one regroup.
+
+    Both sides are as long as the mesh, which the planner's estimate (packed file size, one row per triangle) hides:
+    it would send the opened triangles through the driver, so the join is by merge.
+    """
     opened = triangles.select("tri", F.posexplode(F.array("n1", "n2", "n3")).alias("pos", "node"))
-    met = opened.join(nodes.select("node", *carry), "node")
+    met = opened.join(nodes.select("node", *carry).hint("merge"), "node")
     pick = [F.max(F.when(F.col("pos") == p, F.col(c))).alias(f"{c}{p + 1}") for p in range(3) for c in carry]
     return met.groupBy("tri").agg(*pick)
 
